@@ -63,6 +63,11 @@ RAW = {
     "range_text": """CASE event_id % 3 WHEN 0 THEN '0-100' WHEN 1 THEN ' 50 - 150.5'
         ELSE 'n/a' END""",
 }
+# Placeholder rows, and a value that every third document states on two pages.
+FILE_NAME = """CASE WHEN event_id % 40 = 7 THEN 'test_name'
+    WHEN event_id % 12 IN (1, 3) THEN 'View' ELSE raw_name END"""
+FILE_RESULT = """CASE WHEN event_id % 40 = 7 THEN 'result'
+    WHEN event_id % 12 IN (1, 3) THEN '55.5' ELSE result END"""
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -185,11 +190,7 @@ def report_files(spark: SparkSession, sf: str) -> DataFrame:
     some come again under new ids (``_b``) or with the same ids and other content (``_c``).
     """
     rows = raw_results(spark, sf).withColumn("doc_no", F.floor(F.col("event_id") / 4))
-    placeholder = F.col("event_id") % 40 == 7
-    rows = rows.withColumns({
-        "raw_name": F.when(placeholder, "test_name").otherwise(F.col("raw_name")),
-        "result": F.when(placeholder, "result").otherwise(F.col("result")),
-    })
+    rows = rows.withColumns({"raw_name": F.expr(FILE_NAME), "result": F.expr(FILE_RESULT)})
     alpha_row = F.struct(F.col("page").alias("page_no"), F.col("range_text").alias("range"),
                          "result", F.col("raw_name").alias("test_name"), "unit")
     beta_row = F.struct(F.col("raw_name").alias("test"), F.col("result").alias("value"),

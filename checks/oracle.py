@@ -6,7 +6,7 @@ step.
 
 from __future__ import annotations
 
-from checks.inputs import MEDICINES, RANGES, RAW, TESTS, UNITS
+from checks.inputs import FILE_NAME, FILE_RESULT, MEDICINES, RANGES, RAW, TESTS, UNITS
 from checks.queries import AGE, CUT_NAME, DECORATED, GENDER, MEDICINE_TEXT
 
 ORACLE: dict[str, str] = {}
@@ -211,9 +211,6 @@ ORACLE["parse_numeric"] = sql(
 _lo, _hi = bounds("range_text")
 ORACLE["parse_range"] = sql([RAW_PART], f"SELECT event_id, {_lo} AS low, {_hi} AS high FROM raw")
 COMPOSITE = "([A-Za-z][A-Za-z0-9 /().,&+\\-]*?)\\s*-\\s*([0-9.]+)"
-_parts = lambda text: f"""CASE WHEN contains({text}, ',') AND  -- noqa: E731
-    len(regexp_extract_all({text}, '{COMPOSITE}', 1)) >= 2 THEN list_zip(
-      regexp_extract_all({text}, '{COMPOSITE}', 1), regexp_extract_all({text}, '{COMPOSITE}', 2)) END"""
 _parts = lambda text: (
     f"CASE WHEN contains({text}, ',') AND len(regexp_extract_all({text}, '{COMPOSITE}', 1)) >= 2 "
     f"THEN list_transform(regexp_extract_all({text}, '{COMPOSITE}', 1), lambda x, k: "
@@ -461,8 +458,7 @@ def lab_lines(src: str) -> list[str]:
     return [
         f"""lines AS (SELECT f.*, r.event_id % 4 AS row_ord, r.unit, r.range_text,
             CASE WHEN f.clinic_id <> 'beta' THEN CAST(r.page AS VARCHAR) END AS page_number,
-            CASE WHEN r.event_id % 40 = 7 THEN 'test_name' ELSE r.raw_name END AS row_name,
-            CASE WHEN r.event_id % 40 = 7 THEN 'result' ELSE r.result END AS row_result
+            {FILE_NAME} AS row_name, {FILE_RESULT} AS row_result
             FROM {src} f JOIN raw r ON r.event_id // 4 = f.doc_no
             WHERE NOT (f.clinic_id = 'alpha' AND r.event_id % 40 = 7))""",
         exploded("lines", "row_name", "row_result", "subs"),
@@ -588,6 +584,9 @@ ORACLE["record_search"] = sql(PIPELINE, """SELECT DISTINCT document_id, clinic_i
       THEN 'Lab' END AS hospital_name FROM records)
     WHERE document_id ILIKE '%p u1%' OR uhid ILIKE '%p u1%' OR patient_name ILIKE '%p u1%'
     ORDER BY document_id, clinic_id, patient_name, uhid NULLS FIRST, hospital_name NULLS FIRST LIMIT 50""")
+ORACLE["record_detail"] = sql(PIPELINE, """SELECT document_id, record_type, page_number, id, true AS raw_found
+    FROM records WHERE document_id = (SELECT document_id FROM records GROUP BY document_id
+      ORDER BY count(*) DESC, document_id LIMIT 1)""")
 ORACLE["audit_trail"] = sql(PIPELINE, """SELECT k.file_path AS source_file, k.clinic_id, k.document_id,
     CAST(count(r.id) AS INTEGER) AS n_rows,
     arg_min(coalesce(r.test_name_original, '-'), r.block * 1000 + (r.row_ord + 1) * 10 + r.sub_ord) AS first_name

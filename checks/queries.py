@@ -11,7 +11,7 @@ from labweave import functions as fn
 from labweave.operators import dedup, mapping, matching, measures, sinks, stats
 from labweave.plans import pipeline, reports
 from labweave.session import scratch_path
-from labweave.sources.config import Dims, make_dims, small
+from labweave.sources.config import Dims, alias_pool, small
 from labweave.sources.files import parse_documents
 from labweave.streaming import ingest
 
@@ -302,20 +302,13 @@ def _part_names(spark, sf) -> DataFrame:
 
 
 def _part_dims(spark, sf) -> Dims:
+    d = dims(spark)
     names = table(spark, sf, "part").groupBy("p_name").agg(F.min("p_partkey").alias("ord"))
     tests = names.select(
         "ord", F.col("p_name").alias("canonical_name"), F.lit("numeric").alias("value_type"),
         F.lit(None).cast("string").alias("unit_canonical"),
         F.array(F.concat("p_name", F.lit(" unit"))).alias("aliases"))
-    d = dims(spark)
-    ranges = d.range.select(
-        "canonical", F.col("cfg_low").alias("low"), F.col("cfg_high").alias("high"), "outlier_low",
-        "outlier_high")
-    return make_dims(
-        tests=tests, ranges=ranges,
-        units=d.unit.select("unit_key", F.col("unit_to").alias("canonical"), "factor"),
-        medicines=d.medicine.select(F.lit(0).alias("ord"), "generic_name", "drug_class",
-                                    F.array("med_norm").alias("brand_names")))
+    return Dims(alias=small(alias_pool(tests)), test=d.test, unit=d.unit, medicine=d.medicine)
 
 
 @query
@@ -627,7 +620,7 @@ def record_detail(spark, sf):
     audit = sinks.audit_rows(run.documents, run.rows)
     return reports.record_detail(records, audit, top["document_id"]).select(
         "document_id", "record_type", "page_number", "id",
-        F.length("raw_json").alias("raw_length"))
+        F.contains("raw_json", F.col("document_id")).alias("raw_found"))
 
 
 @query
@@ -639,21 +632,26 @@ def audit_trail(spark, sf):
         F.transform("rows", lambda r: r["test_name_original"])[0].alias("first_name"))
 
 
+def _dashboard(spark, sf) -> dict[str, DataFrame]:
+    run = _run(spark, sf)
+    log = run.summary.select(F.lit(run.run_id).alias("run_id"),
+                             F.current_timestamp().alias("finished_at"), "*")
+    return reports.dashboard(_records(spark, sf), log, run.errors)
+
+
 @query
 def record_types(spark, sf):
-    return reports.dashboard(_records(spark, sf), _run(spark, sf).summary, _run(spark, sf).errors)[
-        "record_type_breakdown"]
+    return _dashboard(spark, sf)["record_type_breakdown"]
 
 
 @query
 def dashboard_status(spark, sf):
-    return reports.dashboard(_records(spark, sf), _run(spark, sf).summary, _run(spark, sf).errors)[
-        "flagged_breakdown"]
+    return _dashboard(spark, sf)["flagged_breakdown"]
 
 
 @query
 def dashboard_totals(spark, sf):
-    parts = reports.dashboard(_records(spark, sf), _run(spark, sf).summary, _run(spark, sf).errors)
+    parts = _dashboard(spark, sf)
     out = parts["total_records"].select(F.lit("records").alias("what"), "c")
     return out.unionByName(parts["error_count"].select(F.lit("errors").alias("what"), "c"))
 
@@ -721,8 +719,9 @@ def streamed_counts(spark, sf):
 @query
 def streamed_error_rate(spark, sf):
     """Failures per event-time hour, with a watermark for late events."""
+    events = _event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
     rates = ingest.rolling_error_rate(
-        _event_stream(spark, sf), "ts", F.col("event_type") == "error", window="1 hour")
+        events, "ts", F.col("event_type") == "error", window="1 hour")
     landed = _drain(rates, "update", scratch_path(spark, "stream"))
     return dedup.keep_last(landed, ["window_start"], ["batch_id"]).select(
         "window_start", "seen", "failed", F.round("error_rate", 6).alias("error_rate"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from labweave.operators.skew import HOT_ROWS, split_hot_join
 from labweave.session import checkpoint
+from labweave.sources.config import broadcast_if_small
 
 # Texts stored with suppressed and repeated rows.
 DUPLICATE_REASON = "duplicate_document_id_correlation_id_or_content"
@@ -49,11 +50,10 @@ def greedy_kept(
     document when its key or its content belongs to an already kept one.
 
     A dropped document's keys are not remembered, so this is the first maximal independent
-    set of the shares-a-value graph, not its components. Each round settles every document
-    that is first in both of its groups and everything sharing a value with those; rounds
-    repeat until none is open. ``seen`` adds ``(k, h)`` of documents kept earlier.
+    set of the shares-a-value graph, not its components. Documents sharing nothing are kept
+    at once. Among the others each round settles every document that is first in both of its
+    groups and everything sharing a value with those; rounds repeat until none is open. ``seen`` adds ``(k, h)`` of documents kept earlier.
     """
-    spark = docs.sparkSession
     open_ = _pairs(docs, key, content, order)
     if seen is not None:
         open_ = checkpoint(open_, "dedup-batch")
@@ -61,8 +61,9 @@ def greedy_kept(
             # Reduce the long history to the values this batch has before it meets the batch.
             hit = seen.select(col).join(open_.select(col).distinct(), col, "left_semi").distinct()
             open_ = open_.join(hit, col, "left_anti")
-    open_ = checkpoint(open_, "dedup-open")
-    kept: list[DataFrame] = []
+    marked = checkpoint(_mark_shared(open_, hot_rows), "dedup-marked")
+    kept = [marked.filter("not shared").select("o", "k", "h")]
+    open_ = marked.filter("shared").select("k", "h", "o")
     while not open_.isEmpty():
         firsts = _first_of_both(open_).select("o", "k", "h")
         firsts = checkpoint(firsts, "dedup-kept")
@@ -71,12 +72,23 @@ def greedy_kept(
             _without(_without(open_, firsts, "k", hot_rows), firsts, "h", hot_rows),
             "dedup-open",
         )
-    out = spark.createDataFrame([], open_.select("o", "k", "h").schema)
-    for part in kept:
+    out = kept[0]
+    for part in kept[1:]:
         out = out.unionByName(part)
     return out.select(F.col("o").alias(order), F.col("k").alias(key), F.col("h").alias(content))
 
 
+def _mark_shared(pairs: DataFrame, hot_rows: int) -> DataFrame:
+    """Add ``shared``: whether another pair has the same key or the same content."""
+    for col in ("k", "h"):
+        groups = pairs.groupBy(col).agg(F.count("*").alias("n")).filter("n > 1")
+        pairs = split_hot_join(
+            pairs, groups.select(col, F.lit(True).alias(f"shared_{col}")), [col], groups,
+            how="left", spread=["o"], hot_rows=hot_rows)
+    return pairs.select(
+        "o", "k", "h", F.coalesce("shared_k", "shared_h", F.lit(False)).alias("shared"))
+
+
 def _without(open_: DataFrame, kept: DataFrame, col: str, hot_rows: int) -> DataFrame:
     counts = open_.groupBy(col).agg(F.count("*").alias("n"))
     return split_hot_join(
@@ -88,11 +100,18 @@ def dedup_documents(
     docs: DataFrame, *, key: str = "dedup_key", content: str = "content_hash",
     order: str = "path_parts", enabled: bool = True, hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(kept, suppressed)`` documents."""
+    """``(kept, suppressed)`` documents. What is dropped is mostly the smaller part, so that
+    list meets the documents, whose bodies then stay where they are."""
     if not enabled:
-        return docs, docs.limit(0)
-    kept = greedy_kept(docs, key=key, content=content, order=order, hot_rows=hot_rows).select(order)
-    return docs.join(kept, order, "left_semi"), docs.join(kept, order, "left_anti")
+        return docs, docs.filter(F.lit(False))
+    kept = greedy_kept(docs, key=key, content=content, order=order, hot_rows=hot_rows)
+    return split_by_kept(docs, kept, order)
+
+
+def split_by_kept(docs: DataFrame, kept: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    gone = docs.select(order).join(kept.select(order), order, "left_anti")
+    gone = broadcast_if_small(checkpoint(gone, "dedup-gone"))
+    return docs.join(gone, order, "left_anti"), docs.join(gone, order, "left_semi")
 
 
 def suppressed_rows(suppressed: DataFrame) -> DataFrame:

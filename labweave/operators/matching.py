@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from labweave.functions.text import clean, normalise_medicine, normalise_name
 from labweave.operators.skew import HOT_ROWS, split_hot_join
-from labweave.sources.config import Dims
+from labweave.session import checkpoint
+from labweave.sources.config import Dims, fits_broadcast
 
 # Method labels and truncation gates (shortest name, share of the alias).
 EXACT = "exact_alias_match"
@@ -193,15 +194,17 @@ def match_names(
 ) -> DataFrame:
     """Add ``canonical, method, confidence`` to every row.
 
-    A frequent name may hold a large share of the rows, so names above ``hot_rows`` are split
-    on the way back to the rows.
+    The vocabulary is resolved once and landed. When it fits the broadcast bound the rows are
+    not shuffled at all; beyond it, names above ``hot_rows`` are split on the way back.
     """
-    names = distinct_names(df, name)
-    resolved = name_map(names, dims)
-    out = split_hot_join(
-        df.withColumn("name_norm", F.when(clean(name) != "", normalise_name(name))),
-        resolved, ["name_norm"], names, how="left", spread=spread, hot_rows=hot_rows,
-    )
+    names = checkpoint(distinct_names(df, name), "names")
+    resolved = checkpoint(name_map(names, dims), "name-map")
+    rows = df.withColumn("name_norm", F.when(clean(name) != "", normalise_name(name)))
+    if fits_broadcast(resolved):
+        out = rows.join(F.broadcast(resolved), "name_norm", "left")
+    else:
+        out = split_hot_join(rows, resolved, ["name_norm"], names, how="left", spread=spread,
+                             hot_rows=hot_rows)
     return out.withColumns({
         "method": F.coalesce("method", F.lit(EMPTY)),
         "confidence": F.coalesce("confidence", F.lit(0.0)),

@@ -43,8 +43,7 @@ def measure(
     ``"converted"`` the one in the canonical unit; ``range_from="reported_first"`` lets the
     report's own range decide above/below where it has one.
     """
-    rows = df.join(dims.test, "canonical", "left").join(dims.range, "canonical", "left")
-    rows = add_units(rows, unit, dims.unit)
+    rows = add_units(df.join(dims.test, "canonical", "left"), unit, dims.unit)
     rows = rows.withColumns({
         "number": parse_number(result),
         "reported": parse_range(range_),

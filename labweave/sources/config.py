@@ -17,16 +17,25 @@ BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 64 * 1024 * 1024
 
 
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS) -> DataFrame:
-    """Hint a broadcast only after measuring ``df``; a larger one is left to shuffle joins,
-    which AQE splits where a key is hot. A small one is also kept for its many uses."""
-    df = df.persist()
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS
+) -> bool:
+    """Measure ``df`` against the broadcast bound."""
     rows, chars = df.select(F.length(F.to_json(F.struct("*"))).alias("c")).agg(
         F.count("*"), F.coalesce(F.sum("c"), F.lit(0))
     ).first()
-    if rows <= max_rows and chars <= max_chars:
-        return F.broadcast(df)
-    return df.unpersist()
+    return rows <= max_rows and chars <= max_chars
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast only after measuring ``df``; a larger one is left to shuffle joins."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def small(df: DataFrame) -> DataFrame:
+    """:func:`broadcast_if_small` for dictionaries, kept in memory for their many uses."""
+    df = df.persist()
+    return F.broadcast(df) if fits_broadcast(df) else df.unpersist()
 
 
 @dataclass(frozen=True)
@@ -34,8 +43,7 @@ class Dims:
     """Dictionary tables, each broadcast-hinted where its measured size allows.
 
     alias     alias_norm, canonical, pool_ord, alias_len   one row per distinct alias
-    test      canonical, unit_expected, value_type
-    range     canonical, cfg_low, cfg_high, outlier_low, outlier_high
+    test      canonical, unit_expected, value_type, cfg_low, cfg_high, outlier_low, outlier_high
     unit      unit_key, unit_to, factor
     medicine  med_norm, generic_name, drug_class, is_generic
     clinic    clinic_id and one column per layout property
@@ -43,29 +51,14 @@ class Dims:
 
     alias: DataFrame
     test: DataFrame
-    range: DataFrame
     unit: DataFrame
     medicine: DataFrame
     clinic: DataFrame | None = None
     threshold: float = 0.9
 
 
-def make_dims(
-    *,
-    tests: DataFrame,
-    ranges: DataFrame,
-    units: DataFrame,
-    medicines: DataFrame,
-    clinics: DataFrame | None = None,
-    threshold: float = 0.9,
-) -> Dims:
-    """Dictionaries from plain tables.
-
-    tests      ord, canonical_name, value_type, unit_canonical, aliases array<string>
-    ranges     canonical, low, high, outlier_low, outlier_high
-    units      unit_key, canonical, factor
-    medicines  ord, generic_name, drug_class, brand_names array<string>
-    """
+def alias_pool(tests: DataFrame) -> DataFrame:
+    """Every name a test goes by, normalised, with its place in the dictionary."""
     names = tests.select(
         "ord",
         "canonical_name",
@@ -78,7 +71,7 @@ def make_dims(
         F.struct("ord", "i").alias("pool_ord"),
     )
     # An alias listed twice resolves to its last entry; first-wins tiers use its first place.
-    alias = (
+    return (
         names.filter("alias_norm != ''")
         .groupBy("alias_norm")
         .agg(
@@ -87,6 +80,24 @@ def make_dims(
             F.min_by("canonical", "pool_ord").alias("first_canonical"),
         )
     )
+
+
+def make_dims(
+    *,
+    tests: DataFrame,
+    ranges: DataFrame,
+    units: DataFrame,
+    medicines: DataFrame,
+    clinics: DataFrame | None = None,
+    threshold: float = 0.9,
+) -> Dims:
+    """Dictionaries from plain tables.
+
+    tests      ord, canonical_name, value_type, unit_canonical, aliases array<string>
+    ranges     canonical, low, high, outlier_low, outlier_high
+    units      unit_key, canonical, factor
+    medicines  ord, generic_name, drug_class, brand_names array<string>
+    """
     test = tests.groupBy(F.col("canonical_name").alias("canonical")).agg(
         F.max_by("unit_canonical", "ord").alias("unit_expected"),
         F.max_by(F.coalesce("value_type", F.lit("text")), "ord").alias("value_type"),
@@ -122,8 +133,8 @@ def make_dims(
         .select("med_norm", "m.*")
     )
     return Dims(
-        alias=small(alias), test=small(test), range=small(range_), unit=small(unit),
-        medicine=small(medicine), clinic=None if clinics is None else small(clinics),
+        alias=small(alias_pool(tests)), test=small(test.join(range_, "canonical", "full")),
+        unit=small(unit), medicine=small(medicine), clinic=None if clinics is None else small(clinics),
         threshold=threshold,
     )
 

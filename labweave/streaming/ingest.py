@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from labweave.operators import sinks
-from labweave.operators.dedup import greedy_kept, suppressed_rows
+from labweave.operators.dedup import greedy_kept, split_by_kept, suppressed_rows
 from labweave.plans.pipeline import load_rows, standardise
 from labweave.session import checkpoint, configure
 from labweave.sources.config import Dims
@@ -29,8 +29,7 @@ def ingest_batch(files: DataFrame, batch_id: int, dims: Dims, out: str) -> None:
     parsed = checkpoint(parse_documents(files, dims.clinic), "documents")
     good = good_documents(parsed)
     kept = checkpoint(greedy_kept(good, seen=kept_keys(spark, out, batch_id)), "kept")
-    docs = good.join(kept.select("path_parts"), "path_parts", "left_semi")
-    dropped = good.join(kept.select("path_parts"), "path_parts", "left_anti")
+    docs, dropped = split_by_kept(good, kept, "path_parts")
     rows, errors = standardise(docs, dims)
     rows = checkpoint(rows, "rows")
     sinks.upsert_parquet(load_rows(rows), f"{out}/records", ["id"])
