@@ -578,7 +578,7 @@ ORACLE["flagged_queue_filtered"] = sql(PIPELINE, f"""SELECT id, document_id, tes
     FROM records WHERE {_queue} AND test_analytics = 'Outlier' AND clinic_id = 'alpha'
     ORDER BY {_severity}, id LIMIT 40""")
 ORACLE["flagged_queue_repeats"] = sql(PIPELINE, f"""SELECT id, document_id, duplicate_within_report
-    FROM records WHERE duplicate_within_report ORDER BY {_severity}, id LIMIT 300""")
+    FROM all_rows WHERE duplicate_within_report ORDER BY {_severity}, id LIMIT 300""")
 ORACLE["record_search"] = sql(PIPELINE, """SELECT DISTINCT document_id, clinic_id, patient_name, uhid,
     hospital_name FROM (SELECT *, CASE WHEN clinic_id = 'alpha' AND record_type = 'lab_test'
       THEN 'Lab' END AS hospital_name FROM records)

@@ -33,8 +33,8 @@ def _spread(df: DataFrame, col: str, *fields: str) -> DataFrame:
 
 @query
 def parse_numeric(spark, sf):
-    df = raw_results(spark, sf).select("event_id", fn.parse_number("result").alias("n"))
-    return _spread(df, "n", "value", "flag", "residual_unit", "is_numeric", "contradictory", "raw")
+    df = fn.with_number(raw_results(spark, sf).select("event_id", "result"), "result", "n")
+    return _spread(df.drop("result"), "n", "value", "flag", "residual_unit", "is_numeric", "contradictory", "raw")
 
 
 @query
@@ -601,7 +601,8 @@ def flagged_queue_filtered(spark, sf):
 
 @query
 def flagged_queue_repeats(spark, sf):
-    return reports.flagged_queue(_records(spark, sf), flag="WithinReportDuplicate").select(
+    """Restated values, which equal ids would collapse on load, so ahead of it."""
+    return reports.flagged_queue(_run(spark, sf).rows, flag="WithinReportDuplicate").select(
         "id", "document_id", "duplicate_within_report")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from labweave.functions.text import _col, clean
@@ -12,6 +14,8 @@ FALLBACK_FORMATS = [
     "d/M/yyyy", "M/d/yyyy", "yyyy-M-d", "d-M-yyyy", "d.M.yyyy",
     "d-MMM-yyyy", "d/MMM/yyyy", "d-MMMM-yyyy", "d/MMMM/yyyy",
 ]
+_SHAPES = {"d": "[0-9]{1,2}", "M": "[0-9]{1,2}", "yyyy": "[0-9]{4}", "MMM": "[A-Za-z]{3}",
+           "MMMM": "[A-Za-z]{3,9}"}
 # Strptime directive -> Spark pattern letters.
 DIRECTIVES = {
     "%d": "d", "%m": "M", "%Y": "yyyy", "%y": "yy", "%b": "MMM", "%B": "MMMM",
@@ -27,10 +31,15 @@ def spark_date_pattern(c: Column | str) -> Column:
     return out
 
 
+def _shape(pattern: str) -> str:
+    return "^" + re.sub(r"[A-Za-z]+", lambda m: _SHAPES[m[0]], pattern.replace(".", "[.]")) + "$"
+
+
 def parse_date(c: Column | str, declared: Column | str | None = None) -> Column:
     """Date from text: the declared Spark pattern first, then the fallbacks; null if none fits."""
     text = clean(c)
-    tries = [F.try_to_date(text, f) for f in FALLBACK_FORMATS]
+    # A failed parse costs an exception, so a format is tried only on text of its shape.
+    tries = [F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in FALLBACK_FORMATS]
     if declared is not None:
         pattern = F.lit(declared) if isinstance(declared, str) else declared
         tries.insert(0, F.call_function("try_to_date", text, pattern))

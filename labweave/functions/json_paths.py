@@ -44,6 +44,11 @@ def members(value: Column | str) -> Column:
     return _get(_col(value), F.lit("$"), "map<string,variant>")
 
 
+def is_object(value: Column | str) -> Column:
+    """Whether a VARIANT is an object, without copying its members."""
+    return _get(_col(value), F.lit("$"), "struct<_: variant>").isNotNull()
+
+
 def shape_ok(value: Column | str, required: Column | str) -> Column:
     """Whether every required top-level key is present; a null value still counts."""
     keys = F.map_keys(members(value))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from labweave.functions.text import _col, clean, none_if_blank
 
@@ -18,36 +18,50 @@ FLAG = r"(?i)^([HL])\b"
 COMPOSITE = r"([A-Za-z][A-Za-z0-9 /().,&+\-]*?)\s*-\s*([0-9.]+)"
 
 
-def parse_number(c: Column | str) -> Column:
-    """``struct(value, flag, residual_unit, is_numeric, contradictory, raw)`` from result text.
+def with_number(df: DataFrame, result: str, out: str = "number") -> DataFrame:
+    """Add ``out``: ``struct(value, flag, residual_unit, is_numeric, contradictory, raw)``.
 
     The first number wins; a leading stand-alone H or L is a flag; text that is only
-    a range is contradictory, and known words are not numbers.
+    a range is contradictory, and known words are not numbers. Each step is a projection of
+    its own, so a pattern runs once per row however often its outcome is used later.
     """
-    raw = _col(c)
-    text = clean(raw)
-    low = F.lower(text)
+    t, body, number = F.col("_t"), F.col("_body"), F.col("_number")
+    low = F.lower(t)
     word = low.isin(NON_NUMERIC_WORDS) | F.replace(low, F.lit(" "), F.lit("")).isin(
         NON_NUMERIC_WORDS
     )
-    is_range = text.rlike(RANGE)
-    plain = F.coalesce((text != "") & ~word & ~is_range, F.lit(False))
-    flag = F.upper(F.regexp_extract(text, FLAG, 1))
-    body = F.when(flag != "", clean(F.substring(text, F.lit(2), F.length(text)))).otherwise(text)
-    number = F.regexp_extract(body, NUMBER, 0)
-    value = F.when(plain & (number != ""), number.try_cast("double"))
-    around = F.regexp_extract(body, rf"(?s)^(.*?){NUMBER}(.*)$", 1)
-    after = F.regexp_extract(body, rf"(?s)^(.*?){NUMBER}(.*)$", 2)
-    return F.struct(
-        value.alias("value"),
-        F.when(plain, none_if_blank(flag)).alias("flag"),
-        F.when(value.isNotNull(), none_if_blank(clean(F.concat(around, after)))).alias(
-            "residual_unit"
-        ),
-        value.isNotNull().alias("is_numeric"),
-        F.coalesce((text != "") & ~word & is_range, F.lit(False)).alias("contradictory"),
-        raw.alias("raw"),
-    )
+    steps = [
+        {"_t": clean(result)},
+        {
+            "_word": F.coalesce(word | (t == ""), F.lit(True)),
+            "_range": F.coalesce(t.rlike(RANGE), F.lit(False)),
+            "_flag": F.upper(F.regexp_extract(t, FLAG, 1)),
+        },
+        {
+            "_body": F.when(F.col("_flag") != "", clean(F.substring(t, F.lit(2), F.length(t))))
+            .otherwise(t),
+            "_plain": ~F.col("_word") & ~F.col("_range"),
+        },
+        {"_number": F.when(F.col("_plain"), none_if_blank(F.regexp_extract(body, NUMBER, 0)))},
+        {
+            # The first occurrence of the number found is where it was found.
+            "_around": F.when(number.isNotNull(), F.concat(
+                F.substring(body, F.lit(1), F.position(number, body) - 1),
+                F.substring(body, F.position(number, body) + F.length(number), F.length(body)),
+            )),
+            "_value": number.try_cast("double"),
+        },
+    ]
+    for step in steps:
+        df = df.withColumns(step)
+    return df.withColumn(out, F.struct(
+        F.col("_value").alias("value"),
+        F.when(F.col("_plain"), none_if_blank("_flag")).alias("flag"),
+        none_if_blank(clean("_around")).alias("residual_unit"),
+        F.col("_value").isNotNull().alias("is_numeric"),
+        (~F.col("_word") & F.col("_range")).alias("contradictory"),
+        F.col(result).alias("raw"),
+    )).drop("_t", "_word", "_range", "_flag", "_body", "_plain", "_number", "_around", "_value")
 
 
 def parse_range(c: Column | str) -> Column:

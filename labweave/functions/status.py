@@ -39,7 +39,7 @@ def classify(
 ) -> Column:
     """``struct(status, reason, exclude)``.
 
-    ``number`` is a :func:`parse_number` struct. ``value`` (default: the parsed number) is
+    ``number`` is a :func:`with_number` struct. ``value`` (default: the parsed number) is
     compared with the bounds; null outlier bounds mean that no range is configured. The
     first rule that applies decides: text, unit of another kind, range-shaped, missing,
     not a number, no range, outlier (strict), below, above, within (inclusive).

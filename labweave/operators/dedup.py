@@ -64,14 +64,14 @@ def greedy_kept(
     marked = checkpoint(_mark_shared(open_, hot_rows), "dedup-marked")
     kept = [marked.filter("not shared").select("o", "k", "h")]
     open_ = marked.filter("shared").select("k", "h", "o")
-    while not open_.isEmpty():
+    # Counting a landed table reads its footers only.
+    while n := open_.count():
         firsts = _first_of_both(open_).select("o", "k", "h")
         firsts = checkpoint(firsts, "dedup-kept")
         kept.append(firsts)
-        open_ = checkpoint(
-            _without(_without(open_, firsts, "k", hot_rows), firsts, "h", hot_rows),
-            "dedup-open",
-        )
+        for col in ("k", "h"):
+            open_ = _without(open_, firsts, col, hot_rows if n > hot_rows else None)
+        open_ = checkpoint(open_, "dedup-open")
     out = kept[0]
     for part in kept[1:]:
         out = out.unionByName(part)
@@ -89,7 +89,9 @@ def _mark_shared(pairs: DataFrame, hot_rows: int) -> DataFrame:
         "o", "k", "h", F.coalesce("shared_k", "shared_h", F.lit(False)).alias("shared"))
 
 
-def _without(open_: DataFrame, kept: DataFrame, col: str, hot_rows: int) -> DataFrame:
+def _without(open_: DataFrame, kept: DataFrame, col: str, hot_rows: int | None) -> DataFrame:
+    if hot_rows is None:  # fewer rows in all than a hot key would have
+        return open_.join(kept.select(col), col, "left_anti").select("k", "h", "o")
     counts = open_.groupBy(col).agg(F.count("*").alias("n"))
     return split_hot_join(
         open_, kept.select(col), [col], counts, how="left_anti", spread=["o"], hot_rows=hot_rows

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from labweave.functions.dates import parse_date
 from labweave.functions.json_paths import (
-    field_path, flatten_value, members, path_text, path_value,
+    field_path, flatten_value, is_object, members, path_text, path_value,
 )
 from labweave.functions.numbers import split_composite
 from labweave.functions.people import parse_age, parse_gender
@@ -27,14 +27,15 @@ META_KEYS = {
 }
 
 
-def _mapped(root: Column | str, mapping: Column | str, field: str) -> Column:
-    """Text of the member that the layout maps ``field`` to, null when it maps to none."""
-    m = F.col(mapping) if isinstance(mapping, str) else mapping
-    return path_text(root, field_path(F.try_element_at(m, F.lit(field))))
+def _mapped_value(members_: str, mapping: str, field: str) -> Column:
+    """The member that the layout maps ``field`` to, null when it maps to none. Looking names
+    up in a members map spares parsing a path per field and row."""
+    name = F.try_element_at(F.col(mapping), F.lit(field))
+    return F.try_element_at(F.col(members_), name)
 
 
-def _mapped_value(root: Column | str, mapping: str, field: str) -> Column:
-    return path_value(root, field_path(F.try_element_at(F.col(mapping), F.lit(field))))
+def _mapped(members_: str, mapping: str, field: str) -> Column:
+    return _mapped_value(members_, mapping, field).cast("string")
 
 
 def add_lineage(docs: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def explode_blocks(docs: DataFrame, clinic: DataFrame) -> DataFrame:
     ).otherwise(F.coalesce(F.try_element_at("type_map", F.lit("default")), F.lit("lab_report")))
     return b.withColumns({
         "classifier": found,
-        "block_ok": F.col("blocks_path").isNull() | members("block").isNotNull(),
+        "block_ok": F.col("blocks_path").isNull() | is_object("block"),
         "record_type": kind,
     })
 
@@ -102,7 +103,7 @@ def _root(path: str) -> Column:
 
 def demographics(blocks: DataFrame) -> DataFrame:
     """Patient and report columns of lab blocks."""
-    b = blocks.withColumn("demo", _root("demo_path"))
+    b = blocks.withColumn("demo", members(_root("demo_path")))
     b = b.withColumn("age", parse_age(_mapped("demo", "demo_map", "age")))
     text = lambda f: _mapped("demo", "demo_map", f)
     return b.withColumns({
@@ -110,7 +111,8 @@ def demographics(blocks: DataFrame) -> DataFrame:
         "uhid": text("uhid"),
         "gender": parse_gender(text("gender")),
         "hospital_name": text("hospital_name"),
-        "lab_or_hospital_name": path_text("demo", F.lit("$['lab_or_hospital_name']")),
+        "lab_or_hospital_name": F.try_element_at(
+            "demo", F.lit("lab_or_hospital_name")).cast("string"),
         "bill_date": parse_date(text("bill_date"), F.col("date_pattern")),
         "reports_date": parse_date(text("reports_date"), F.col("date_pattern")),
         "report_date": text("reports_date"),
@@ -136,12 +138,12 @@ def test_rows(blocks: DataFrame) -> DataFrame:
         *LINEAGE, "path_parts", "block_ord", *DEMOGRAPHICS, "row_map", "skip_map",
         F.posexplode(path_value("block", "rows_path", "array<variant>")).alias("row_ord", "row"),
     )
-    rows = rows.filter(members("row").isNotNull())
+    rows = rows.withColumn("row", members("row")).filter("row is not null")
     is_placeholder = F.coalesce(
         (F.size("skip_map") > 0) & F.forall(
             F.map_entries("skip_map"),
             lambda e: F.coalesce(
-                path_text("row", field_path(e["key"])) == e["value"], F.lit(False)),
+                F.try_element_at("row", e["key"]).cast("string") == e["value"], F.lit(False)),
         ),
         F.lit(False),
     )
@@ -181,7 +183,7 @@ SUMMARY_TEXTS = [
 
 def _discharge_blocks(blocks: DataFrame) -> DataFrame:
     dis = blocks.filter("block_ok and record_type = 'discharge_summary' and has_discharge")
-    return dis.withColumn("root", _root("dis_path"))
+    return dis.withColumn("root", members(_root("dis_path")))
 
 
 def discharge_rows(blocks: DataFrame) -> DataFrame:
@@ -216,8 +218,8 @@ def medication_rows(blocks: DataFrame, medicine: DataFrame) -> DataFrame:
         *LINEAGE, "path_parts", "block_ord", "med_map",
         _mapped("root", "dis_map", "patient_name").alias("patient_name"),
         F.posexplode(path_value("block", "meds_path", "array<variant>")).alias("row_ord", "row"),
-    ).filter(members("row").isNotNull())
-    b = b.withColumns({
+    )
+    b = b.withColumn("row", members("row")).filter("row is not null").withColumns({
         "record_type": F.lit("medication"), "sub_ord": F.lit(0),
         "medicine": _mapped("row", "med_map", "medicine"),
         "dose": _mapped("row", "med_map", "dose"),

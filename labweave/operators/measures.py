@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from labweave.functions.numbers import convert_value, parse_number, parse_range
+from labweave.functions.numbers import convert_value, parse_range, with_number
 from labweave.functions.status import classify, range_source
 from labweave.functions.text import clean
 from labweave.sources.config import Dims
@@ -44,8 +44,7 @@ def measure(
     report's own range decide above/below where it has one.
     """
     rows = add_units(df.join(dims.test, "canonical", "left"), unit, dims.unit)
-    rows = rows.withColumns({
-        "number": parse_number(result),
+    rows = with_number(rows, result).withColumns({
         "reported": parse_range(range_),
         "unit_canonical": canonical_unit(unit),
         "value_type": F.coalesce("value_type", F.lit("text")),
