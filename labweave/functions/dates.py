@@ -16,8 +16,9 @@ FALLBACK_FORMATS = [
 ]
 _SHAPES = {"d": "[0-9]{1,2}", "M": "[0-9]{1,2}", "yyyy": "[0-9]{4}", "MMM": "[A-Za-z]{3}",
            "MMMM": "[A-Za-z]{3,9}"}
-# Strptime directive -> Spark pattern letters.
+# Strptime directive -> Spark pattern letters; run-together ones need all digits.
 DIRECTIVES = {
+    "%Y%m%d": "yyyyMMdd", "%d%m%Y": "ddMMyyyy", "%m%d%Y": "MMddyyyy",
     "%d": "d", "%m": "M", "%Y": "yyyy", "%y": "yy", "%b": "MMM", "%B": "MMMM",
     "%H": "H", "%M": "m", "%S": "s",
 }
