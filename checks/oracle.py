@@ -369,19 +369,34 @@ _resub = """d AS (SELECT doc_id, concat_ws('-', source, n_chars) AS k, text AS h
 ORACLE["file_dedup_first_round"] = sql([_resub], """SELECT doc_id FROM (SELECT doc_id,
     row_number() OVER (PARTITION BY k ORDER BY doc_id) AS a,
     row_number() OVER (PARTITION BY h ORDER BY doc_id) AS b FROM d) WHERE a = 1 AND b = 1""")
-# One document per step, in order, remembering the numbers of the keys and texts kept so far.
-ORACLE["file_dedup_greedy"] = sql([
-    _resub,
-    """n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, dense_rank() OVER (ORDER BY k) AS k,
-        dense_rank() OVER (ORDER BY h) AS h FROM d)""",
-    """walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS doc_id, false AS kept,
-          CAST([] AS BIGINT[]) AS ks, CAST([] AS BIGINT[]) AS hs
-        UNION ALL
-        SELECT n.i, n.doc_id, NOT (list_contains(ks, n.k) OR list_contains(hs, n.h)),
-          CASE WHEN list_contains(ks, n.k) OR list_contains(hs, n.h) THEN ks ELSE list_append(ks, n.k) END,
-          CASE WHEN list_contains(ks, n.k) OR list_contains(hs, n.h) THEN hs ELSE list_append(hs, n.h) END
-        FROM walk JOIN n ON n.i = walk.i + 1)""",
-], "SELECT doc_id FROM walk WHERE kept")
+
+
+def walk(source: str, order: str, lane: str) -> list[str]:
+    """The pass itself: one document per step and lane, in order, remembering the keys and
+    contents kept so far. Documents of different lanes share nothing; a value that occurs once
+    need not be remembered."""
+    return [
+        f"""n AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY o) AS i FROM (
+            SELECT {order} AS o, {lane} AS lane, k, h, count(*) OVER (PARTITION BY k) > 1 AS kk,
+              count(*) OVER (PARTITION BY h) > 1 AS hh FROM {source}))""",
+        """walk AS (SELECT DISTINCT lane, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS o, false AS kept,
+              CAST([] AS VARCHAR[]) AS ks, CAST([] AS VARCHAR[]) AS hs FROM n
+            UNION ALL
+            SELECT lane, i, o, NOT dup, CASE WHEN dup OR NOT kk THEN ks ELSE list_append(ks, k) END,
+              CASE WHEN dup OR NOT hh THEN hs ELSE list_append(hs, h) END
+            FROM (SELECT n.*, ks, hs, list_contains(ks, k) OR list_contains(hs, h) AS dup
+              FROM walk JOIN n ON n.i = walk.i + 1 AND n.lane = walk.lane))""",
+    ]
+
+
+_resub_short = _resub.replace("text AS h", "md5(text) AS h")
+ORACLE["file_dedup_greedy"] = sql([_resub_short, *walk("d", "doc_id", "0")],
+                                  "SELECT o AS doc_id FROM walk WHERE kept")
+ORACLE["file_dedup_chains"] = sql([
+    """d AS (SELECT o_orderkey, o_custkey % 50 AS lane, CAST(o_custkey AS VARCHAR) AS k,
+        CAST(CAST(floor(o_totalprice / 20000) AS INTEGER) AS VARCHAR) || '-' || o_custkey % 50 AS h
+        FROM orders)""", *walk("d", "o_orderkey", "lane")],
+    "SELECT o AS o_orderkey FROM walk WHERE kept")
 ORACLE["repeat_flag"] = sql([RAW_PART], """SELECT event_id, rn > 1 AS repeated, CASE WHEN rn > 1 THEN
     'same value already recorded on page ' || p || ' of this document -- likely a restated result, not a new measurement'
     END AS note FROM (SELECT event_id,

@@ -308,7 +308,7 @@ def _part_dims(spark, sf) -> Dims:
         "ord", F.col("p_name").alias("canonical_name"), F.lit("numeric").alias("value_type"),
         F.lit(None).cast("string").alias("unit_canonical"),
         F.array(F.concat("p_name", F.lit(" unit"))).alias("aliases"))
-    return Dims(alias=small(alias_pool(tests)), test=d.test, unit=d.unit, medicine=d.medicine)
+    return Dims(alias=small(alias_pool(tests), hint=False), test=d.test, unit=d.unit, medicine=d.medicine)
 
 
 @query
@@ -436,7 +436,8 @@ def _dense(spark, sf) -> DataFrame:
     """Few keys and few contents, so that chains of drops occur."""
     return table(spark, sf, "orders").select(
         "o_orderkey", F.concat(F.lit("k"), F.col("o_custkey")).alias("dedup_key"),
-        F.concat(F.lit("h"), F.floor(F.col("o_totalprice") / 300)).alias("content_hash"))
+        F.concat(F.lit("h"), F.col("o_custkey") % 50, F.lit("-"),
+                 F.floor(F.col("o_totalprice") / 20000)).alias("content_hash"))
 
 
 @query

@@ -9,14 +9,14 @@ from labweave.functions.numbers import (
     with_number,
 )
 from labweave.functions.people import parse_age, parse_gender
-from labweave.functions.dates import parse_date, spark_date_pattern
+from labweave.functions.dates import date_shape, parse_date, spark_date_pattern
 from labweave.functions.status import (
     classify, display_class, range_source, severity_rank,
 )
 from labweave.functions.text import clean, normalise_medicine, normalise_name
 
 __all__ = [
-    "classify", "clean", "convert_value", "display_class", "document_key",
+    "classify", "clean", "convert_value", "date_shape", "display_class", "document_key",
     "flatten_value", "json_path", "normalise_medicine", "normalise_name", "number_text",
     "pairs_to_map", "parse_age", "parse_date", "parse_gender", "parse_range", "path_text", "path_value", "payload_hash", "range_source",
     "range_text", "result_text", "row_id", "severity_rank", "shape_ok",

@@ -36,12 +36,27 @@ def _shape(pattern: str) -> str:
     return "^" + re.sub(r"[A-Za-z]+", lambda m: _SHAPES[m[0]], pattern.replace(".", "[.]")) + "$"
 
 
-def parse_date(c: Column | str, declared: Column | str | None = None) -> Column:
-    """Date from text: the declared Spark pattern first, then the fallbacks; null if none fits."""
+def date_shape(c: Column | str) -> Column:
+    """A ``%d/%m/%Y`` style format as a pattern every text it accepts must match."""
+    out = F.replace(_col(c), F.lit("."), F.lit("[.]"))
+    for directive, letters in DIRECTIVES.items():
+        if len(directive) == 2:
+            out = F.replace(out, F.lit(directive), F.lit(_SHAPES.get(letters, "[0-9]{1,2}")))
+    return F.concat(F.lit("^"), out, F.lit("$"))
+
+
+def parse_date(
+    c: Column | str, declared: Column | str | None = None, shape: Column | None = None
+) -> Column:
+    """Date from text: the declared Spark pattern first, then the fallbacks; null if none fits.
+
+    A failed parse costs an exception, so a format is tried only on text of its shape;
+    ``shape`` is the declared format's (:func:`date_shape`).
+    """
     text = clean(c)
-    # A failed parse costs an exception, so a format is tried only on text of its shape.
     tries = [F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in FALLBACK_FORMATS]
     if declared is not None:
         pattern = F.lit(declared) if isinstance(declared, str) else declared
-        tries.insert(0, F.call_function("try_to_date", text, pattern))
+        first = F.call_function("try_to_date", text, pattern)
+        tries.insert(0, first if shape is None else F.when(F.rlike(text, shape), first))
     return F.when((text != "") & ~F.upper(text).isin(NO_DATE), F.coalesce(*tries))

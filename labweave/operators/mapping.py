@@ -101,26 +101,30 @@ def _root(path: str) -> Column:
     return F.when(F.col(path).isNotNull(), F.coalesce(at, F.col("block"))).otherwise(F.col("block"))
 
 
+AGE_FIELDS = ["age_text", "age_years", "age_months", "age_days"]
+
+
+def _declared_date(column: str) -> Column:
+    return parse_date(column, F.col("date_pattern"), F.col("date_shape"))
+
+
 def demographics(blocks: DataFrame) -> DataFrame:
     """Patient and report columns of lab blocks."""
     b = blocks.withColumn("demo", members(_root("demo_path")))
-    b = b.withColumn("age", parse_age(_mapped("demo", "demo_map", "age")))
-    text = lambda f: _mapped("demo", "demo_map", f)
-    return b.withColumns({
-        "patient_name": text("patient_name"),
-        "uhid": text("uhid"),
-        "gender": parse_gender(text("gender")),
-        "hospital_name": text("hospital_name"),
+    # Raw texts first, as columns of their own, so that the parsers look each up once.
+    texts = ["patient_name", "uhid", "gender", "hospital_name", "bill_date", "reports_date", "age"]
+    b = b.withColumns({f: _mapped("demo", "demo_map", f) for f in texts} | {
         "lab_or_hospital_name": F.try_element_at(
             "demo", F.lit("lab_or_hospital_name")).cast("string"),
-        "bill_date": parse_date(text("bill_date"), F.col("date_pattern")),
-        "reports_date": parse_date(text("reports_date"), F.col("date_pattern")),
-        "report_date": text("reports_date"),
-        "age_text": F.col("age.age_text"),
-        "age_years": F.col("age.age_years"),
-        "age_months": F.col("age.age_months"),
-        "age_days": F.col("age.age_days"),
-    }).drop("demo", "age")
+    })
+    b = b.withColumns({
+        "report_date": F.col("reports_date"),
+        "gender": parse_gender("gender"),
+        "bill_date": _declared_date("bill_date"),
+        "reports_date": _declared_date("reports_date"),
+        "age": parse_age("age"),
+    })
+    return b.withColumns({f: F.col(f"age.{f}") for f in AGE_FIELDS}).drop("demo", "age")
 
 
 DEMOGRAPHICS = [
@@ -189,22 +193,19 @@ def _discharge_blocks(blocks: DataFrame) -> DataFrame:
 def discharge_rows(blocks: DataFrame) -> DataFrame:
     """One summary row per discharge block; list-valued fields become one text."""
     b = _discharge_blocks(blocks)
-    text = lambda f: _mapped("root", "dis_map", f)
-    b = b.withColumn("age", parse_age(text("age")))
-    out = b.withColumns({
-        "record_type": F.lit("discharge_summary"),
-        "patient_name": text("patient_name"),
-        "gender": parse_gender(text("gender")),
-        "hospital_name": text("hospital_name"),
-        "admission_date": parse_date(text("admission_date"), F.col("date_pattern")),
-        "discharge_date": parse_date(text("discharge_date"), F.col("date_pattern")),
-        "age_text": F.col("age.age_text"),
-        "age_years": F.col("age.age_years"),
-        "age_months": F.col("age.age_months"),
-        "age_days": F.col("age.age_days"),
+    texts = ["patient_name", "gender", "hospital_name", "admission_date", "discharge_date", "age"]
+    b = b.withColumns({f: _mapped("root", "dis_map", f) for f in texts})
+    b = b.withColumns({
+        "gender": parse_gender("gender"),
+        "admission_date": _declared_date("admission_date"),
+        "discharge_date": _declared_date("discharge_date"),
+        "age": parse_age("age"),
         **{f: flatten_value(_mapped_value("root", "dis_map", f)) for f in SUMMARY_TEXTS},
-        "row_ord": F.lit(-1), "sub_ord": F.lit(0),
-    }).withColumn("other_med_inj_investigations", F.col("medicine_injections_investigation"))
+    })
+    out = b.withColumns({f: F.col(f"age.{f}") for f in AGE_FIELDS} | {
+        "record_type": F.lit("discharge_summary"), "row_ord": F.lit(-1), "sub_ord": F.lit(0),
+        "other_med_inj_investigations": F.col("medicine_injections_investigation"),
+    })
     return out.select(
         *LINEAGE, *ORDER, "record_type", "patient_name", "gender", "hospital_name",
         "admission_date", "discharge_date", "age_text", "age_years", "age_months", "age_days",

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from labweave.functions.dates import spark_date_pattern
+from labweave.functions.dates import date_shape, spark_date_pattern
 from labweave.functions.json_paths import json_path
 from labweave.functions.text import normalise_medicine, normalise_name
 
@@ -32,17 +32,23 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
-def small(df: DataFrame) -> DataFrame:
-    """:func:`broadcast_if_small` for dictionaries, kept in memory for their many uses."""
+def small(df: DataFrame, *, hint: bool = True) -> DataFrame:
+    """:func:`broadcast_if_small` for dictionaries, kept in memory for their many uses.
+
+    Without ``hint`` the joins go by the size in memory: for tables that are multiplied
+    ahead of a join, where a hint would carry over to the larger result.
+    """
     df = df.persist()
-    return F.broadcast(df) if fits_broadcast(df) else df.unpersist()
+    if not fits_broadcast(df):
+        return df.unpersist()
+    return F.broadcast(df) if hint else df
 
 
 @dataclass(frozen=True)
 class Dims:
-    """Dictionary tables, each broadcast-hinted where its measured size allows.
+    """Dictionary tables, broadcast-hinted (but for ``alias``) where their measured size allows.
 
-    alias     alias_norm, canonical, pool_ord, alias_len   one row per distinct alias
+    alias     alias_norm, canonical, pool_ord, first_canonical   one row per distinct alias
     test      canonical, unit_expected, value_type, cfg_low, cfg_high, outlier_low, outlier_high
     unit      unit_key, unit_to, factor
     medicine  med_norm, generic_name, drug_class, is_generic
@@ -133,7 +139,7 @@ def make_dims(
         .select("med_norm", "m.*")
     )
     return Dims(
-        alias=small(alias_pool(tests)), test=small(test.join(range_, "canonical", "full")),
+        alias=small(alias_pool(tests), hint=False), test=small(test.join(range_, "canonical", "full")),
         unit=small(unit), medicine=small(medicine), clinic=None if clinics is None else small(clinics),
         threshold=threshold,
     )
@@ -187,6 +193,7 @@ def clinics_from_files(configs: DataFrame) -> DataFrame:
             "file_name",
             F.col("c.source_system").alias("source_system"),
             spark_date_pattern("c.date_format").alias("date_pattern"),
+            date_shape("c.date_format").alias("date_shape"),
             F.when(shape_checked, F.coalesce("c.match.required_keys", F.array().cast("array<string>")))
             .otherwise(F.array().cast("array<string>")).alias("required_keys"),
             json_path(env["trace_id_path"]).alias("trace_path"),
