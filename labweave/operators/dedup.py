@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from labweave.operators.skew import HOT_ROWS, split_hot_join
+from labweave.operators.skew import HOT_ROWS, join_groups, split_hot_join
 from labweave.session import checkpoint
 from labweave.sources.config import broadcast_if_small
 
@@ -54,9 +54,8 @@ def greedy_kept(
     at once. Among the others each round settles every document that is first in both of its
     groups and everything sharing a value with those; rounds repeat until none is open. ``seen`` adds ``(k, h)`` of documents kept earlier.
     """
-    open_ = _pairs(docs, key, content, order)
+    open_ = checkpoint(_pairs(docs, key, content, order), "dedup-pairs")
     if seen is not None:
-        open_ = checkpoint(open_, "dedup-batch")
         for col in ("k", "h"):
             # Reduce the long history to the values this batch has before it meets the batch.
             hit = seen.select(col).join(open_.select(col).distinct(), col, "left_semi").distinct()
@@ -80,12 +79,12 @@ def greedy_kept(
 
 def _mark_shared(pairs: DataFrame, hot_rows: int) -> DataFrame:
     """Add ``shared``: whether another pair has the same key or the same content."""
+    marked = pairs
     for col in ("k", "h"):
         groups = pairs.groupBy(col).agg(F.count("*").alias("n")).filter("n > 1")
-        pairs = split_hot_join(
-            pairs, groups.select(col, F.lit(True).alias(f"shared_{col}")), [col], groups,
-            how="left", spread=["o"], hot_rows=hot_rows)
-    return pairs.select(
+        marked = join_groups(marked, groups.withColumn(f"shared_{col}", F.lit(True)), [col],
+                             spread=["o"], hot_rows=hot_rows)
+    return marked.select(
         "o", "k", "h", F.coalesce("shared_k", "shared_h", F.lit(False)).alias("shared"))
 
 
@@ -142,27 +141,22 @@ def flag_repeats(
 ) -> DataFrame:
     """Flag every row after the first with equal ``keys`` and note the first one's page.
 
-    The first row of each group is found by a partial aggregate and sent back through a join
-    that splits large groups, so a group may be of any size. Null keys equal each other.
+    The first row of each group is found by a partial aggregate and sent back to the rows of
+    groups that have a repeat, so a group may be of any size. Null keys equal each other.
     """
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     stats = df.groupBy(*keys).agg(
-        F.min_by(F.struct(F.struct(*order).alias("o"), F.col(page).alias("p")),
-                 F.struct(*order)).alias("_first"),
+        F.min(place).alias("_first"), F.min_by(page, place).alias("_page"),
         F.count("*").alias("n"),
     )
-    # A group of one has no repeat, so only larger groups travel back.
-    repeated = stats.filter("n > 1")
-    joined = split_hot_join(
-        df, repeated.select(*keys, "_first"), keys, repeated.select(*keys, "n"),
-        how="left", spread=list(order), hot_rows=hot_rows,
-    )
-    again = F.coalesce(F.struct(*order) > F.col("_first.o"), F.lit(False))
+    joined = join_groups(df, stats.filter("n > 1"), keys, spread=list(order), hot_rows=hot_rows)
+    again = F.coalesce(place > F.col("_first"), F.lit(False))
     note = F.concat(
         F.lit(REPEAT_NOTE[0]),
-        F.coalesce(F.col("_first.p").cast("string"), F.lit("None")),
+        F.coalesce(F.col("_page").cast("string"), F.lit("None")),
         F.lit(REPEAT_NOTE[1]),
     )
     noted = F.when(again, F.concat_ws("; ", F.nullif(F.col(reason), F.lit("")), note)).otherwise(
         F.col(reason)
     )
-    return joined.withColumns({flag: again, reason: noted}).drop("_first")
+    return joined.withColumns({flag: again, reason: noted}).drop("_first", "_page")

@@ -14,9 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from labweave.functions.text import clean, normalise_medicine, normalise_name
-from labweave.operators.skew import HOT_ROWS, split_hot_join
+from labweave.operators.skew import HOT_ROWS, join_groups
 from labweave.session import checkpoint
-from labweave.sources.config import Dims, fits_broadcast
+from labweave.sources.config import Dims
 
 # Method labels and truncation gates (shortest name, share of the alias).
 EXACT = "exact_alias_match"
@@ -198,13 +198,9 @@ def match_names(
     not shuffled at all; beyond it, names above ``hot_rows`` are split on the way back.
     """
     names = checkpoint(distinct_names(df, name), "names")
-    resolved = checkpoint(name_map(names, dims), "name-map")
+    resolved = name_map(names, dims).join(names, "name_norm")
     rows = df.withColumn("name_norm", F.when(clean(name) != "", normalise_name(name)))
-    if fits_broadcast(resolved):
-        out = rows.join(F.broadcast(resolved), "name_norm", "left")
-    else:
-        out = split_hot_join(rows, resolved, ["name_norm"], names, how="left", spread=spread,
-                             hot_rows=hot_rows)
+    out = join_groups(rows, resolved, ["name_norm"], spread=spread, hot_rows=hot_rows)
     return out.withColumns({
         "method": F.coalesce("method", F.lit(EMPTY)),
         "confidence": F.coalesce("confidence", F.lit(0.0)),

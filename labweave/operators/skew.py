@@ -7,9 +7,36 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from labweave.session import checkpoint
+from labweave.sources.config import fits_broadcast
+
 HOT_ROWS = 2_000_000
 
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
+def join_groups(
+    left: DataFrame, groups: DataFrame, keys: Sequence[str], *, spread: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left join of rows with a table that has one row per group and the group's size ``n``.
+
+    The groups are landed once. If they fit the broadcast bound the rows are not shuffled;
+    beyond it the join is split where a group is large.
+    """
+    keys = list(keys)
+    groups = checkpoint(groups, "groups")
+    if not fits_broadcast(groups):
+        return split_hot_join(
+            left, groups.drop("n"), keys, groups.select(*keys, "n"), spread=spread,
+            hot_rows=hot_rows)
+    renamed = groups.drop("n").withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    return left.join(F.broadcast(renamed), _same(keys, "_r_"), "left").drop(
+        *[f"_r_{k}" for k in keys])
+
+
 def split_hot_join(
     left: DataFrame,
     right: DataFrame,
@@ -34,13 +61,8 @@ def split_hot_join(
         F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_parts"),
     )
 
-    def same(prefix: str) -> Column:
-        return reduce(
-            lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
-        )
-
     def with_parts(df: DataFrame) -> DataFrame:
-        out = df.join(F.broadcast(hot), same("_h_"), "left")
+        out = df.join(F.broadcast(hot), _same(keys, "_h_"), "left")
         return out.withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop(
             *[f"_h_{k}" for k in keys]
         )
@@ -55,5 +77,5 @@ def split_hot_join(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
         *[c for c in copies.columns if c not in keys],
     )
-    on = same("_r_") & (F.col("_salt") == F.col("_part"))
+    on = _same(keys, "_r_") & (F.col("_salt") == F.col("_part"))
     return salted.join(copies, on, how).drop("_salt", "_part", *[f"_r_{k}" for k in keys])

@@ -65,11 +65,14 @@ def lab_rows(blocks: DataFrame, dims: Dims, *, scope: str = "block", hot_rows: i
     measured = checkpoint(
         measured.select(*[c for c in LAB_COLUMNS if c != "duplicate_within_report"], "exclude"),
         "lab-rows")
-    where = ["file_path", "block_ord"] if scope == "block" else ["document_id"]
+    # Within one block the file and the block are settled, so one number gives the order.
+    line = F.shiftleft(F.col("row_ord").cast("long"), 32) + F.col("sub_ord")
+    where, order = (["file_path", "block_ord"], ["line"]) if scope == "block" else (
+        ["document_id"], mapping.ORDER)
     kept = flag_repeats(
-        measured.filter("not exclude").drop("exclude"),
-        [*where, "test_name_canonical", "result_text"], mapping.ORDER, hot_rows=hot_rows,
-    )
+        measured.filter("not exclude").drop("exclude").withColumn("line", line),
+        [*where, "test_name_canonical", "result_text"], order, hot_rows=hot_rows,
+    ).drop("line")
     return kept, measured.filter("exclude")
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from labweave.operators import dedup, sinks
+from labweave.operators import dedup, sinks, skew
 from labweave.operators.skew import split_hot_join
 
 
@@ -20,7 +20,9 @@ def greedy(rows, seen_k=(), seen_h=()):
 
 
 @pytest.mark.parametrize("seed, keys, hot", [(1, 4, 2), (2, 40, 3), (3, 200, 10**6), (4, 15, 1)])
-def test_greedy_equals_the_sequential_pass(spark, seed, keys, hot):
+def test_greedy_equals_the_sequential_pass(spark, monkeypatch, seed, keys, hot):
+    if hot < 10**6:
+        monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
     rng = random.Random(seed)
     rows = [(o, f"k{rng.randrange(keys)}", f"h{rng.randrange(keys)}") for o in range(200)]
     # a third of all rows share one key
@@ -56,7 +58,9 @@ def test_a_long_chain_of_drops(spark):
 
 
 @pytest.mark.parametrize("hot", [2, 10**6])
-def test_repeats(spark, hot):
+@pytest.mark.parametrize("fits", [True, False])
+def test_repeats(spark, monkeypatch, hot, fits):
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: fits)
     rng = random.Random(3)
     rows = [(i, rng.choice(["a", "b", None]), rng.choice(["x", None]), i % 4, None) for i in range(60)]
     df = spark.createDataFrame(

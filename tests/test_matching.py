@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from labweave.operators import matching
+from labweave.operators import matching, skew
 from labweave.sources.config import alias_pool, dims_from_folder
 from tests import sample
 
@@ -44,7 +44,7 @@ def test_tiers(spark, dims):
 
 
 def test_tiers_with_a_vocabulary_too_large_to_broadcast(spark, dims, monkeypatch):
-    monkeypatch.setattr(matching, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
     assert _match(spark, dims, hot_rows=1) == CASES
 
 
