@@ -24,6 +24,12 @@ DISPLAY_CLASSES = {
 }
 
 
+def unit_mismatch(unit: Column | str, expected: Column | str) -> Column:
+    """Whether a row's known unit is of another kind than the one its test is defined in."""
+    u, want = _col(unit), _col(expected)
+    return F.coalesce((want != "") & (u != "") & (u != want), F.lit(False))
+
+
 def classify(
     *,
     name: Column | str,
@@ -51,7 +57,7 @@ def classify(
     want = F.lit(None).cast("string") if expected_unit is None else _col(expected_unit)
     lo, hi, olo, ohi = (_col(c) for c in (low, high, outlier_low, outlier_high))
     missing = F.coalesce(clean(n["raw"]) == "", F.lit(True))
-    mismatch = F.coalesce((want != "") & (unit_c != "") & (unit_c != want), F.lit(False))
+    mismatch = unit_mismatch(unit_c, want)
     no_range = nm.isNull() | olo.isNull() | ohi.isNull()
 
     # (applies, status, reason, excluded) in order of precedence

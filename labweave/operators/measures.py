@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labweave.functions.numbers import convert_value, parse_range, with_number
-from labweave.functions.status import classify, range_source
+from labweave.functions.status import classify, range_source, unit_mismatch
 from labweave.functions.text import clean
 from labweave.sources.config import Dims
 
@@ -65,6 +65,8 @@ def measure(
         "range_high": F.coalesce("reported.high", "cfg_high"),
         "status": F.col("verdict.status"),
         "reason": F.col("verdict.reason"),
-        "exclude": F.col("verdict.exclude"),
+        # Same as the verdict's, from the units alone: a filter on it is pushed down to them
+        # and does not carry the parsing along.
+        "exclude": (F.col("value_type") != "text") & unit_mismatch("unit_canonical", "unit_expected"),
     }).drop("verdict", "reported", "unit_known", "unit_to", "factor", "cfg_low", "cfg_high",
             "outlier_low", "outlier_high")

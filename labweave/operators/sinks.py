@@ -29,6 +29,11 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         raise
 
 
+def _by_bucket(df: DataFrame):
+    """Writer with a bucket's rows together; AQE cuts large buckets and joins small ones."""
+    return df.hint("rebalance", "key_bucket").write
+
+
 def upsert_parquet(
     batch: DataFrame, path: str, keys: Sequence[str], *, buckets: int = BUCKETS,
     reset: bool = False,
@@ -44,18 +49,15 @@ def upsert_parquet(
         "key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     target = None if reset else read_table(spark, path)
     if target is None:
-        batch.repartition("key_bucket").write.mode("overwrite").partitionBy("key_bucket").parquet(path)
+        _by_bucket(batch).mode("overwrite").partitionBy("key_bucket").parquet(path)
         return
     # At most `buckets` small integers: they become a partition filter on the target.
     touched = [r[0] for r in batch.select("key_bucket").distinct().collect()]
     if not touched:
         return
     merged = upsert(target.filter(F.col("key_bucket").isin(touched)), batch, keys)
-    (
-        merged.repartition("key_bucket", F.pmod(F.xxhash64(*keys), F.lit(8)))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("key_bucket").parquet(path)
-    )
+    _by_bucket(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "key_bucket").parquet(path)
 
 
 def merge_into_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
