@@ -12,6 +12,7 @@ from labweave.functions.numbers import split_composite
 from labweave.functions.people import parse_age, parse_gender
 from labweave.functions.text import clean
 from labweave.operators.matching import match_medicines
+from labweave.session import checkpoint
 from labweave.sources.files import error_rows
 
 LINEAGE = [
@@ -69,6 +70,14 @@ def explode_blocks(docs: DataFrame, clinic: DataFrame) -> DataFrame:
     })
 
 
+def land_blocks(blocks: DataFrame, clinic: DataFrame) -> DataFrame:
+    """Blocks written once by record type, so that each branch reads its own kind only; the
+    layout columns are joined again rather than stored."""
+    own = [*LINEAGE, "path_parts", "block_ord", "block", "classifier", "block_ok", "record_type"]
+    landed = checkpoint(blocks.select(*own), "blocks", by="record_type")
+    return landed.join(clinic.drop("source_system"), "clinic_id")
+
+
 def block_errors(blocks: DataFrame) -> DataFrame:
     """Dead letters of blocks that no branch takes."""
     rt = F.col("record_type")

@@ -81,6 +81,7 @@ def standardise(docs: DataFrame, dims: Dims, *, reference_ids: bool = False, **o
     """``(rows, row_errors)`` of parsed documents: every record type in one wide table, ahead
     of the collapse by id."""
     blocks = mapping.explode_blocks(mapping.add_lineage(docs), dims.clinic)
+    blocks = mapping.land_blocks(blocks, dims.clinic)
     lab, excluded = lab_rows(blocks, dims, **options)
     rows = (
         lab.unionByName(mapping.discharge_rows(blocks), allowMissingColumns=True)

@@ -38,13 +38,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/labweave/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
+def checkpoint(df: DataFrame, name: str = "stage", *, by: str | None = None) -> DataFrame:
     """Cut the lineage of ``df`` by writing it to the shared folder as Parquet.
 
-    Columnar, so later steps read only the columns they need, and it outlives any
-    executor.
+    Columnar, so later steps read only the columns they need (and, laid out ``by`` a column,
+    only the values they filter for), and it outlives any executor.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
