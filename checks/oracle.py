@@ -535,11 +535,11 @@ PIPELINE = [
     """records AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id
         ORDER BY clinic_id, date_str, file_path, block, row_ord, sub_ord) AS rn FROM all_rows) WHERE rn = 1)""",
 ]
-ORACLE["pipeline_records"] = sql(PIPELINE, """SELECT file_path, id, document_id, clinic_id, record_type,
+ORACLE["stored_records"] = sql(PIPELINE, """SELECT file_path, id, document_id, clinic_id, record_type,
     patient_name, test_name_canonical, test_name_original, result_value, result_text, unit_canonical,
     range_low, range_high, range_source, test_analytics, normalization_method, duplicate_within_report,
     page_number, medicine, generic_name, claim_no, reports_date FROM records""")
-ORACLE["pipeline_suppressed"] = sql(FILES, """SELECT file_path, clinic_id,
+ORACLE["suppressed_files"] = sql(FILES, """SELECT file_path, clinic_id,
     'duplicate_document_id_correlation_id_or_content' AS reason FROM good WHERE suppressed""")
 ERRORS = """errors AS (
     SELECT file_path, clinic_id, 'ingestion' AS stage, reason FROM paths WHERE reason IS NOT NULL
@@ -549,7 +549,7 @@ ERRORS = """errors AS (
       WHERE exclude
     UNION ALL SELECT file_path, clinic_id, 'test_name_normalisation', 'unresolved_test_name'
       FROM measured WHERE NOT exclude AND method = 'unresolved')"""
-ORACLE["pipeline_errors"] = sql([*PIPELINE, ERRORS], """SELECT file_path, clinic_id, stage, reason,
+ORACLE["dead_letters"] = sql([*PIPELINE, ERRORS], """SELECT file_path, clinic_id, stage, reason,
     count(*) AS n FROM errors GROUP BY ALL""")
 ORACLE["clinic_stats"] = sql(PIPELINE, """SELECT p.clinic_id, files_seen, files_failed, duplicates_suppressed,
     coalesce(rows_loaded, 0) AS rows_loaded, coalesce(unresolved_test_names, 0) AS unresolved_test_names,

@@ -531,7 +531,7 @@ def _records(spark, sf) -> DataFrame:
 
 
 @query
-def pipeline_records(spark, sf):
+def stored_records(spark, sf):
     """Files to stored rows: parse, suppress, map, match, measure, flag, collapse by id."""
     result = pipeline.process(report_files(spark, sf), dims(spark))
     return pipeline.load_rows(result.rows).select(
@@ -543,12 +543,12 @@ def pipeline_records(spark, sf):
 
 
 @query
-def pipeline_suppressed(spark, sf):
+def suppressed_files(spark, sf):
     return _run(spark, sf).suppressed.select("file_path", "clinic_id", "reason")
 
 
 @query
-def pipeline_errors(spark, sf):
+def dead_letters(spark, sf):
     e = _run(spark, sf).errors
     return e.groupBy("file_path", "clinic_id", "stage", "reason").agg(F.count("*").alias("n"))
 
