@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labweave.llm.common import crc_rest, table
+from labweave.llm.decontam import digest, find_items
 from labweave.llm.line_rules import quality_rules
+from labweave.llm.pieces import encode_texts
 from labweave.llm.shards import shard_rows
 from labweave.llm.url_rules import judge_urls
 
+#: Folder of the public vocabularies.
+TOKENIZERS = "/opt/tokenizers"
 #: The url rules in force: host, path start, verdict.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -23,12 +27,21 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_shared_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(table(spark, sf_dir, "documents"), TOKENIZERS + "/piece_bpe_32k.model")
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -36,7 +49,9 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_line_frequency": op3_line_frequency,
+    "op6_fm_index": op6_fm_index,
     "op8_ring_shards": op8_ring_shards,
+    "op9_shared_prefix": op9_shared_prefix,
     "op10_url_rules": op10_url_rules,
 }
 
