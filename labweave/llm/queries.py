@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from labweave.llm.common import crc_rest, table
 from labweave.llm.decontam import digest, find_items
 from labweave.llm.line_rules import quality_rules
+from labweave.llm.near_dup import near_duplicates
 from labweave.llm.pieces import encode_texts
 from labweave.llm.shards import shard_rows
 from labweave.llm.url_rules import judge_urls
@@ -32,6 +33,11 @@ def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "copies", "n_shingles")
+
+
 def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -50,6 +56,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_line_frequency": op3_line_frequency,
     "op6_fm_index": op6_fm_index,
+    "op7_lsh_forest": op7_lsh_forest,
     "op8_ring_shards": op8_ring_shards,
     "op9_shared_prefix": op9_shared_prefix,
     "op10_url_rules": op10_url_rules,
