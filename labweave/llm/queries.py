@@ -10,6 +10,7 @@ from labweave.llm.line_rules import quality_rules
 from labweave.llm.near_dup import near_duplicates
 from labweave.llm.pieces import encode_texts
 from labweave.llm.shards import shard_rows
+from labweave.llm.token_counts import token_counts
 from labweave.llm.url_rules import judge_urls
 
 #: Folder of the public vocabularies.
@@ -24,6 +25,11 @@ URL_RULES = [
 ]
 
 
+def op1_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(
+        table(spark, sf_dir, "documents"), TOKENIZERS + "/byte_bpe_50k.tiktoken", rule="majority")
+
+
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_section_tokens": op1_section_tokens,
     "op3_line_frequency": op3_line_frequency,
     "op6_fm_index": op6_fm_index,
     "op7_lsh_forest": op7_lsh_forest,
