@@ -8,6 +8,7 @@ from labweave.llm.common import crc_rest, table
 from labweave.llm.decontam import digest, find_items
 from labweave.llm.line_rules import quality_rules
 from labweave.llm.near_dup import near_duplicates
+from labweave.llm.page_text import extract_text
 from labweave.llm.pieces import encode_texts
 from labweave.llm.shards import shard_rows
 from labweave.llm.token_counts import token_counts
@@ -34,6 +35,10 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_page_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -62,6 +67,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_section_tokens": op1_section_tokens,
     "op3_line_frequency": op3_line_frequency,
+    "op4_page_differences": op4_page_differences,
     "op6_fm_index": op6_fm_index,
     "op7_lsh_forest": op7_lsh_forest,
     "op8_ring_shards": op8_ring_shards,
