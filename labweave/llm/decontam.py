@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from labweave.llm.common import in_arrow, row_key
 
@@ -235,6 +235,29 @@ _FOUND = pa.schema([
 _FOUND_SQL = "n_words long, spans array<array<int>>, items array<string>"
 
 
+def item_blocks(items: DataFrame, max_chars: int) -> Iterator[list[tuple[str, str]]]:
+    """The items' (id as text, text) in blocks of about ``max_chars`` characters; one at least."""
+    named = items.select(F.col("item_id").cast("string").alias("name"), "text").filter(
+        "name is not null and text is not null").distinct()
+    chars = named.agg(F.coalesce(F.sum(F.length("text") + 20), F.lit(0))).first()[0]
+    blocks = max(1, -(-chars // max_chars))
+    for k in range(blocks):
+        part = named.filter(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k)
+        yield [tuple(r) for r in part.collect()]
+
+
+def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    held, chars = [], 0
+    for batch in batches:
+        held.append(batch)
+        chars += batch.column("text").nbytes
+        if chars >= SHARD_CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
+
+
 def _pass(
     docs: DataFrame, items: list[tuple[str, str]], window: int, out: Sequence[str]
 ) -> DataFrame:
@@ -242,12 +265,11 @@ def _pass(
     phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, chars = [], 0
-
-        def shard() -> Iterator[pa.RecordBatch]:
+        none = ([], ())
+        for held in shards_of(batches):
             texts = (t for b in held for t in b.column("text").to_pylist())
             sizes, hits = find_in_shard(texts, phrases.value)
-            d, none = 0, ([], ())
+            d = 0
             for b in held:
                 mine = [hits.get(i, none) for i in range(d, d + b.num_rows)]
                 found = [pa.array(sizes[d:d + b.num_rows], pa.int64()),
@@ -257,15 +279,6 @@ def _pass(
                 yield pa.RecordBatch.from_arrays(
                     [*[b.column(c) for c in out], *found], names=[*out, *_FOUND.names])
 
-        for batch in batches:
-            held.append(batch)
-            chars += batch.column("text").nbytes
-            if chars >= SHARD_CHARS:
-                yield from shard()
-                held, chars = [], 0
-        if held:
-            yield from shard()
-
     kinds = dict(docs.dtypes)
     return in_arrow(docs, run, ", ".join(f"`{c}` {kinds[c]}" for c in out) + f", {_FOUND_SQL}")
 
@@ -283,21 +296,13 @@ def find_items(
     word intervals covered by windows) and ``items`` (their ids as text, sorted)."""
     src = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], "text")
     out = [f"keep_{c}" for c in keep]
-    named = items.select(F.col("item_id").cast("string").alias("name"), "text").filter(
-        "name is not null and text is not null").distinct()
-    chars = named.agg(F.coalesce(F.sum(F.length("text") + 20), F.lit(0))).first()[0]
-    blocks = max(1, -(-chars // max_chars))
-
-    def block(k: int) -> list[tuple[str, str]]:
-        part = F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k
-        return [tuple(r) for r in named.filter(part).collect()]  # at most about max_chars
-
-    if blocks == 1:
-        found = _pass(src, block(0), window, out)
+    blocks = list(item_blocks(items, max_chars))
+    if len(blocks) == 1:
+        found = _pass(src, blocks[0], window, out)
     else:  # several passes; what each found is gathered by row, a small array a pass
         src = src.withColumn("row", row_key(*[F.col(c) for c in src.columns]))
-        found = _pass(src, block(0), window, [*out, "row"])
-        others = [_pass(src, block(k), window, ["row"]) for k in range(1, blocks)]
+        found = _pass(src, blocks[0], window, [*out, "row"])
+        others = [_pass(src, b, window, ["row"]) for b in blocks[1:]]
         more = reduce(DataFrame.unionByName, others).filter(F.size("items") > 0).groupBy(
             "row").agg(F.flatten(F.collect_set("spans")).alias("more_spans"),
                        F.flatten(F.collect_set("items")).alias("more_items"))
@@ -330,12 +335,36 @@ def without_spans(text: str, spans: Iterable[Sequence[int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-@F.pandas_udf(StringType())
-def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
-    return text.combine(spans, lambda t, s: without_spans(t, s) if len(s) else t)
+def clean_text(text: str, phrases: Phrases) -> str:
+    """The text without all phrases, also those that a removal brings together."""
+    while hits := find_in_shard([text], phrases)[1]:
+        text = without_spans(text, hits[0][0])
+    return text
+
+
+def remove_items(
+    docs: DataFrame, items: DataFrame, *, window: int = 10, max_chars: int = MAX_CHARS
+) -> DataFrame:
+    """All rows and columns of ``docs``, with every word inside an occurrence of a window taken
+    out of ``text``."""
+    for block in item_blocks(items, max_chars):
+        docs = _cut_pass(docs, block, window)
+    return docs
+
+
+def _cut_pass(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
+    phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
+    names = docs.columns
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in shards_of(batches):
+            texts = [t for b in held for t in b.column("text").to_pylist()]
+            for d, (spans, _) in find_in_shard(texts, phrases.value)[1].items():
+                texts[d] = clean_text(without_spans(texts[d], spans), phrases.value)
+            for b in held:
+                mine = pa.array(texts[:b.num_rows], pa.string())
+                del texts[:b.num_rows]
+                yield pa.RecordBatch.from_arrays(
+                    [mine if c == "text" else b.column(c) for c in names], names=names)
 
-def remove_found(found: DataFrame) -> DataFrame:
-    """:func:`find_items` rows that kept ``text``, without the hit words."""
-    return found.withColumn(
-        "text", F.when(F.size("spans") > 0, _cut("text", "spans")).otherwise(F.col("text")))
+    return in_arrow(docs, run, ", ".join(f"`{c}` {k}" for c, k in docs.dtypes))

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from labweave.llm.common import crc_rest, table
 from labweave.llm.decontam import digest, find_items
 from labweave.llm.line_rules import quality_rules
+from labweave.llm.lm_score import lm_scores
 from labweave.llm.near_dup import near_duplicates
 from labweave.llm.page_text import extract_text
 from labweave.llm.pieces import encode_texts
+from labweave.llm.quality_classifier import classify
 from labweave.llm.shards import shard_rows
 from labweave.llm.token_counts import token_counts
 from labweave.llm.url_rules import judge_urls
@@ -31,6 +33,12 @@ def op1_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), TOKENIZERS + "/byte_bpe_50k.tiktoken", rule="majority")
 
 
+def op2_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (crc_rest(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -39,6 +47,14 @@ def op4_page_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op5_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scores(
+        table(spark, sf_dir, "documents"), crc_rest(F.col("doc_id"), 10) != 0)
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -66,8 +82,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_section_tokens": op1_section_tokens,
+    "op2_pu_classifier": op2_pu_classifier,
     "op3_line_frequency": op3_line_frequency,
     "op4_page_differences": op4_page_differences,
+    "op5_backoff_automaton": op5_backoff_automaton,
     "op6_fm_index": op6_fm_index,
     "op7_lsh_forest": op7_lsh_forest,
     "op8_ring_shards": op8_ring_shards,

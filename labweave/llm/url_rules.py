@@ -44,14 +44,15 @@ def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, F.lit("\n"), path), 256)
 
 
-def expressions(host: str, path: str, lengths: str) -> Column:
-    """Array of (host suffix, path prefix) structs; ``lengths`` holds the rules' path lengths."""
+def expressions(host: str, path: str, lengths: list[int]) -> Column:
+    """Array of (host suffix, path prefix) structs; ``lengths`` are the rules' path lengths, at
+    most as many as the longest path has characters."""
     labels = F.split(F.col(host), r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.transform(
-        F.filter(F.col(lengths), lambda n: n <= F.length(path)),
+        F.filter(F.lit(lengths).cast("array<int>"), lambda n: n <= F.length(path)),
         lambda n: F.substring(F.col(path), F.lit(1), n))
     return F.flatten(F.transform(suffixes, lambda h: F.transform(
         prefixes, lambda p: F.struct(h.alias("h"), p.alias("p")))))
@@ -67,11 +68,11 @@ def judge_urls(
     rule are moved; their verdicts are looked up by pair, as a broadcast if measured small.
     """
     table = checkpoint(rule_table(rules), "url-rules")
-    lengths = table.agg(F.array_sort(F.collect_set(F.length("rule_path"))).alias("lengths"))
+    lengths = sorted(r[0] for r in table.select(F.length("rule_path")).distinct().collect())
     host, path = split_url(F.col(url))
     parsed = pages.select(F.col(key), host.alias("host"), path.alias("path"))
-    pairs = parsed.select("host", "path").distinct().join(F.broadcast(lengths))
-    grown = pairs.select("host", "path", F.explode(expressions("host", "path", "lengths")).alias("x"))
+    pairs = parsed.select("host", "path").distinct()
+    grown = pairs.select("host", "path", F.explode(expressions("host", "path", lengths)).alias("x"))
     grown = grown.select("host", "path", _digest(F.col("x.h"), F.col("x.p")).alias("digest"))
     short = table.select("*", F.substring("rule_digest", 1, PREFIX).alias("short"))
     short = F.broadcast(short) if fits_broadcast(table) else short

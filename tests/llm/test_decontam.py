@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 
 from labweave.llm.decontam import (
-    Phrases, ShardIndex, digest, find_in_shard, find_items, merge_spans, remove_found, suffix_order,
-    without_spans,
+    Phrases, ShardIndex, clean_text, digest, find_in_shard, find_items, merge_spans, remove_items,
+    suffix_order, without_spans,
 )
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -92,13 +92,19 @@ def test_frames(spark, max_chars):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
 
 
-def test_removal_leaves_nothing(spark):
+@pytest.mark.parametrize("max_chars", [10**6, 60])
+def test_removal_leaves_nothing(spark, max_chars):
     docs, rows, items, _ = frames(spark)
-    found = find_items(docs, items, keep=["doc_id", "text", "items"][:2])
-    cut = remove_found(found).select("doc_id", "text")
-    again = digest(find_items(cut, items))
-    assert again.filter("contaminated").count() == 0 and again.count() == len(rows)
-    assert {r.text for r in cut.filter("doc_id = 2").collect()} == {"nothing here"}
+    cut = remove_items(docs, items, max_chars=max_chars)
+    assert cut.columns == docs.columns and cut.count() == len(rows)
+    assert digest(find_items(cut, items)).filter("contaminated").count() == 0
+    assert {r.text for r in cut.filter("doc_id in (2, 3, 4)").collect()} == {"nothing here", None, ""}
+    assert {r.text for r in cut.filter("doc_id = 1").collect()} == {"Start. , end"}
+
+
+def test_removal_closes_a_gap():
+    phrases = Phrases([("1", "a b c")], 10)
+    assert clean_text("x a a b c b c y", phrases).split() == ["x", "y"]
 
 
 def test_empty(spark):
