@@ -398,7 +398,7 @@ ORACLE["file_dedup_chains"] = sql([
         FROM orders)""", *walk("d", "o_orderkey", "lane")],
     "SELECT o AS o_orderkey FROM walk WHERE kept")
 ORACLE["repeat_flag"] = sql([RAW_PART], """SELECT event_id, rn > 1 AS repeated, CASE WHEN rn > 1 THEN
-    'same value already recorded on page ' || p || ' of this document -- likely a restated result, not a new measurement'
+    'repeats the value on page ' || p || ' of this document'
     END AS note FROM (SELECT event_id,
       row_number() OVER (PARTITION BY doc, raw_name, result ORDER BY event_id) AS rn,
       first_value(page) OVER (PARTITION BY doc, raw_name, result ORDER BY event_id) AS p FROM raw)""")
@@ -540,7 +540,7 @@ ORACLE["stored_records"] = sql(PIPELINE, """SELECT file_path, id, document_id, c
     range_low, range_high, range_source, test_analytics, normalization_method, duplicate_within_report,
     page_number, medicine, generic_name, claim_no, reports_date FROM records""")
 ORACLE["suppressed_files"] = sql(FILES, """SELECT file_path, clinic_id,
-    'duplicate_document_id_correlation_id_or_content' AS reason FROM good WHERE suppressed""")
+    'shares_ids_or_content_with_a_kept_document' AS reason FROM good WHERE suppressed""")
 ERRORS = """errors AS (
     SELECT file_path, clinic_id, 'ingestion' AS stage, reason FROM paths WHERE reason IS NOT NULL
     UNION ALL SELECT file_path, clinic_id, 'block_routing', 'unknown_classifier' FROM blocks

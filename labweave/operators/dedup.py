@@ -10,12 +10,9 @@ from labweave.operators.skew import HOT_ROWS, join_groups, split_hot_join
 from labweave.session import checkpoint
 from labweave.sources.config import broadcast_if_small
 
-# Texts stored with suppressed and repeated rows.
-DUPLICATE_REASON = "duplicate_document_id_correlation_id_or_content"
-REPEAT_NOTE = (
-    "same value already recorded on page ",
-    " of this document -- likely a restated result, not a new measurement",
-)
+# Texts stored with suppressed and repeated rows.
+DUPLICATE_REASON = "shares_ids_or_content_with_a_kept_document"
+REPEAT_NOTE = ("repeats the value on page ", " of this document")
 
 
 def _pairs(docs: DataFrame, key: str, content: str, order: str) -> DataFrame:
@@ -52,14 +49,16 @@ def greedy_kept(
     A dropped document's keys are not remembered, so this is the first maximal independent
     set of the shares-a-value graph, not its components. Documents sharing nothing are kept
     at once. Among the others each round settles every document that is first in both of its
-    groups and everything sharing a value with those; rounds repeat until none is open. ``seen`` adds ``(k, h)`` of documents kept earlier.
+    groups and everything sharing a value with those; rounds repeat until none is open. ``seen``
+    adds ``(k, h)`` of documents kept earlier. Null is a value like any other here: documents
+    without a key share that, whatever the sizes.
     """
     open_ = checkpoint(_pairs(docs, key, content, order), "dedup-pairs")
     if seen is not None:
         for col in ("k", "h"):
             # Reduce the long history to the values this batch has before it meets the batch.
-            hit = seen.select(col).join(open_.select(col).distinct(), col, "left_semi").distinct()
-            open_ = open_.join(hit, col, "left_anti")
+            hit = _same_value(seen.select(col), open_.select(col).distinct(), col, "left_semi")
+            open_ = _same_value(open_, hit.distinct(), col, "left_anti")
     marked = checkpoint(_mark_shared(open_, hot_rows), "dedup-marked")
     kept = [marked.filter("not shared").select("o", "k", "h")]
     open_ = marked.filter("shared").select("k", "h", "o")
@@ -88,9 +87,15 @@ def _mark_shared(pairs: DataFrame, hot_rows: int) -> DataFrame:
         "o", "k", "h", F.coalesce("shared_k", "shared_h", F.lit(False)).alias("shared"))
 
 
+def _same_value(left: DataFrame, right: DataFrame, col: str, how: str) -> DataFrame:
+    """Semi or anti join on one column in which null equals null."""
+    other = right.select(F.col(col).alias("_value"))
+    return left.join(other, F.col(col).eqNullSafe(F.col("_value")), how)
+
+
 def _without(open_: DataFrame, kept: DataFrame, col: str, hot_rows: int | None) -> DataFrame:
     if hot_rows is None:  # fewer rows in all than a hot key would have
-        return open_.join(kept.select(col), col, "left_anti").select("k", "h", "o")
+        return _same_value(open_, kept.select(col), col, "left_anti").select("k", "h", "o")
     counts = open_.groupBy(col).agg(F.count("*").alias("n"))
     return split_hot_join(
         open_, kept.select(col), [col], counts, how="left_anti", spread=["o"], hot_rows=hot_rows

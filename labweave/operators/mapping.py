@@ -18,7 +18,7 @@ from labweave.sources.files import error_rows
 LINEAGE = [
     "document_id", "correlation_id", "trace_id", "clinic_id", "date_str", "source_system",
     "source_system_reported", "claim_no", "nt_code", "consumer_client_id",
-    "destination_identifier", "file_path", "metadetails",
+    "destination_identifier", "file_path", "ingested_at", "metadetails",
 ]
 ORDER = ["path_parts", "block_ord", "row_ord", "sub_ord"]
 # Pair-list keys kept as columns.
@@ -50,22 +50,29 @@ def add_lineage(docs: DataFrame) -> DataFrame:
 def explode_blocks(docs: DataFrame, clinic: DataFrame) -> DataFrame:
     """One row per block with its ``record_type`` (null when the classifier is unknown).
 
-    A layout without a blocks path has one block, the body, of its default type.
+    A layout without a blocks path has one block, the body, of its default type. Where the path
+    leads to something that is not a list, that is one block no branch takes.
     """
     d = docs.drop("source_system").join(clinic, "clinic_id")
     nothing = F.array().cast("array<variant>")
+    at = path_value("body", "blocks_path")
     blocks = F.when(
         F.col("blocks_path").isNotNull(),
-        F.coalesce(path_value("body", "blocks_path", "array<variant>"), nothing),
+        F.coalesce(
+            path_value("body", "blocks_path", "array<variant>"),
+            F.when(at.isNotNull() & ~F.is_variant_null(at), F.array(at)), nothing),
     ).otherwise(F.array("body"))
-    b = d.select("*", F.posexplode(blocks).alias("block_ord", "block")).drop("body")
+    listed = F.col("blocks_path").isNull() | path_value(
+        "body", "blocks_path", "array<variant>").isNotNull()
+    b = d.select(
+        "*", listed.alias("listed"), F.posexplode(blocks).alias("block_ord", "block")).drop("body")
     found = path_text("block", field_path("type_field"))
     kind = F.when(
         F.col("blocks_path").isNotNull(), F.try_element_at("type_map", found)
     ).otherwise(F.coalesce(F.try_element_at("type_map", F.lit("default")), F.lit("lab_report")))
     return b.withColumns({
         "classifier": found,
-        "block_ok": F.col("blocks_path").isNull() | is_object("block"),
+        "block_ok": F.col("blocks_path").isNull() | (F.col("listed") & is_object("block")),
         "record_type": kind,
     })
 
@@ -73,7 +80,8 @@ def explode_blocks(docs: DataFrame, clinic: DataFrame) -> DataFrame:
 def land_blocks(blocks: DataFrame, clinic: DataFrame) -> DataFrame:
     """Blocks written once by record type, so that each branch reads its own kind only; the
     layout columns are joined again rather than stored."""
-    own = [*LINEAGE, "path_parts", "block_ord", "block", "classifier", "block_ok", "record_type"]
+    own = [*LINEAGE, "path_parts", "block_ord", "block", "classifier", "listed", "block_ok",
+           "record_type"]
     landed = checkpoint(blocks.select(*own), "blocks", by="record_type")
     return landed.join(clinic.drop("source_system"), "clinic_id")
 
@@ -85,7 +93,8 @@ def block_errors(blocks: DataFrame) -> DataFrame:
         (rt == "discharge_summary") & ~F.col("has_discharge"))
     unhandled = ~rt.isin("lab_report", "discharge_summary")
     reason = (
-        F.when(~F.col("block_ok"), F.lit("block_is_not_an_object"))
+        F.when(~F.col("listed"), F.lit("blocks_are_not_a_list"))
+        .when(~F.col("block_ok"), F.lit("block_is_not_an_object"))
         .when(rt.isNull(), F.lit("unknown_classifier"))
         .when(missing_spec, F.concat(F.lit("no_"), rt, F.lit("_spec_for_clinic")))
         .when(unhandled, F.concat(F.lit("unhandled_record_type_"), rt))

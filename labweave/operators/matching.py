@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from labweave.functions.text import clean, normalise_medicine, normalise_name
 from labweave.operators.skew import HOT_ROWS, join_groups
 from labweave.session import checkpoint
-from labweave.sources.config import Dims
+from labweave.sources.config import Dims, broadcast_if_small
 
 # Method labels and truncation gates (shortest name, share of the alias).
 EXACT = "exact_alias_match"
@@ -99,20 +99,19 @@ def similarity_candidates(names: DataFrame, alias: DataFrame, threshold: float)
     least one is untouched, so the name holds it whole, moved by no more than the insertions
     or deletions ahead of it. Joining on that piece, its number and both lengths is an exact
     filter (the partition scheme of segment-based similarity joins).
+
+    Only pairs of lengths that occur on both sides are cut: a name whose length no alias can
+    match costs one lookup. Every alias has at least d + 1 characters only above a threshold of
+    2/3, so lower ones are refused.
     """
+    if threshold <= 2 / 3:
+        raise ValueError("similarity thresholds must be above 2/3")
     slack = F.lit(1.0 - threshold)
     lowest = F.lit(threshold / (2.0 - threshold))
 
     def budget(a, b):
         return F.floor(slack * (a + b) + F.lit(1e-9)).cast("int")
 
-    def band(df: DataFrame, size: str, other: str) -> DataFrame:
-        at_least = F.ceil(F.col(size) * lowest - F.lit(1e-9)).cast("int")
-        at_most = F.floor(F.col(size) / lowest + F.lit(1e-9)).cast("int")
-        return df.withColumn(
-            other, F.explode(F.sequence(F.greatest(at_least, F.lit(1)), at_most))
-        )
-
     def pieces(df: DataFrame) -> DataFrame:
         """Piece number, start (0-based) and size of the la-long alias cut into d + 1."""
         d = budget(F.col("la"), F.col("lb"))
@@ -124,14 +123,20 @@ def similarity_candidates(names: DataFrame, alias: DataFrame, threshold: float)
             .withColumns({"start": start, "size": stop - start})
         )
 
-    a = pieces(band(alias.select("alias_norm", F.length("alias_norm").alias("la")), "la", "lb"))
-    a = a.select(
+    named = names.filter("name_norm != ''").select("name_norm", F.length("name_norm").alias("lb"))
+    pool = alias.select("alias_norm", F.length("alias_norm").alias("la"))
+    # Distinct lengths: at most as many rows as the longest text has characters.
+    at_least = F.ceil(F.col("la") * lowest - F.lit(1e-9)).cast("int")
+    at_most = F.floor(F.col("la") / lowest + F.lit(1e-9)).cast("int")
+    lengths = checkpoint(pool.select("la").filter("la > 0").distinct().withColumn(
+        "lb", F.explode(F.sequence(F.greatest(at_least, F.lit(1)), at_most))
+    ).join(named.select("lb").distinct(), "lb"), "lengths")
+    lengths = broadcast_if_small(lengths)
+    a = pieces(pool.join(lengths, "la")).select(
         "la", "lb", "piece", "alias_norm",
         F.substring("alias_norm", F.col("start") + 1, F.col("size")).alias("text"),
     )
-    n = pieces(band(
-        names.filter("name_norm != ''").select("name_norm", F.length("name_norm").alias("lb")),
-        "lb", "la"))
+    n = pieces(named.join(lengths, "lb"))
     grow = F.col("lb") - F.col("la")
     earliest = F.greatest(F.col("start") - F.floor((F.col("d") - grow) / 2).cast("int"), F.lit(0))
     latest = F.least(

@@ -68,11 +68,14 @@ def lab_rows(blocks: DataFrame, dims: Dims, *, scope: str = "block", hot_rows: i
     # Within one block the file and the block are settled, so one number gives the order.
     line = F.shiftleft(F.col("row_ord").cast("long"), 32) + F.col("sub_ord")
     where, order = (["file_path", "block_ord"], ["line"]) if scope == "block" else (
-        ["document_id"], mapping.ORDER)
+        ["document"], mapping.ORDER)
     kept = flag_repeats(
-        measured.filter("not exclude").drop("exclude").withColumn("line", line),
+        measured.filter("not exclude").drop("exclude").withColumns({
+            "line": line,
+            # A file without an id is a document of its own, as in its rows' ids.
+            "document": F.coalesce(F.nullif("document_id", F.lit("")), "file_path")}),
         [*where, "test_name_canonical", "result_text"], order, hot_rows=hot_rows,
-    ).drop("line")
+    ).drop("line", "document")
     return kept, measured.filter("exclude")
 
 

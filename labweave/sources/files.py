@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from labweave.functions.hashing import document_key, payload_hash
@@ -11,14 +13,25 @@ from labweave.functions.text import _col
 ERROR_COLUMNS = ["file_path", "clinic_id", "stage", "reason", "detail", "occurred_at"]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as the file reader reports it: with scheme and authority, no closing slash."""
+    jvm = spark.sparkContext._jvm
+    raw = jvm.org.apache.hadoop.fs.Path(path)
+    fs = raw.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(raw).toString().rstrip("/")
+
+
 def _below(path: Column, root: str) -> Column:
-    """The part of ``path`` under ``root``, whatever scheme prefix the reader reports."""
-    tail = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
-    return F.substring(path, F.locate(tail, path) + F.lit(len(tail)), F.length(path))
+    """The part of ``path`` under ``root``; a path outside it fails the job."""
+    start = root.rstrip("/") + "/"
+    return F.when(
+        F.startswith(path, F.lit(start)), F.substring(path, F.lit(len(start) + 1), F.length(path))
+    ).otherwise(F.raise_error(F.concat(path, F.lit(f" is not below {start}"))))
 
 
 def split_path(path: Column | str, root: str) -> list[Column]:
-    """``clinic_id``, ``date_str`` and the sortable ``path_parts`` of one file path."""
+    """``clinic_id``, ``date_str`` and the sortable ``path_parts`` of one file path, which begins
+    with ``root`` to the letter."""
     parts = F.split(_below(_col(path), root), "/")
     n = F.size(parts)
     return [
@@ -28,8 +41,15 @@ def split_path(path: Column | str, root: str) -> list[Column]:
     ]
 
 
-def read_files(spark: SparkSession, root: str, *, stream: bool = False, **options) -> DataFrame:
-    """``clinic_id, date_str, path_parts, file_path, content`` of every ``*.json`` under root."""
+def read_files(
+    spark: SparkSession, root: str, *, stream: bool = False, clinics: Sequence[str] = (),
+    dates: Sequence[str] = (), **options,
+) -> DataFrame:
+    """``clinic_id, date_str, path_parts, file_path, content`` of every ``*.json`` under root.
+
+    ``clinics`` and ``dates`` leave all other folders unlisted.
+    """
+    root = qualified(spark, root)
     reader = spark.readStream if stream else spark.read
     if stream:
         reader = reader.schema("path string, modificationTime timestamp, length long, content binary")
@@ -38,11 +58,16 @@ def read_files(spark: SparkSession, root: str, *, stream: bool = False, **option
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .options(**options)
-        .load(root)
+        .load(f"{root}{_folders(clinics, dates)}")
     )
     return raw.select(*split_path("path", root), F.col("path").alias("file_path"), "content")
 
 
+def _folders(clinics: Sequence[str], dates: Sequence[str]) -> str:
+    one_of = lambda names: "{" + ",".join(names) + "}" if names else "*"
+    return (f"/{one_of(clinics)}" + (f"/{one_of(dates)}" if dates else "")) if clinics or dates else ""
+
+
 def error_rows(df: DataFrame, stage: Column | str, reason: Column | str, detail: Column | None) -> DataFrame:
     """Dead-letter rows from anything with ``file_path`` and ``clinic_id``."""
     as_col = lambda c: F.lit(c) if isinstance(c, str) else c
@@ -82,6 +107,7 @@ def parse_documents(files: DataFrame, clinic: DataFrame) -> DataFrame:
         path_text("body", "correlation_path").alias("correlation_id"),
         pairs_to_map("body", "meta_path").alias("meta"),
         payload_hash("body", "blocks_path").alias("content_hash"),
+        F.current_timestamp().alias("ingested_at"),
         "key_paths",
     )
     return hashed.select(

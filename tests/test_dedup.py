@@ -11,7 +11,7 @@ from labweave.operators.skew import split_hot_join
 
 def greedy(rows, seen_k=(), seen_h=()):
     ks, hs, kept = set(seen_k), set(seen_h), []
-    for o, k, h in sorted(rows):
+    for o, k, h in sorted(rows, key=lambda r: r[0]):
         if k not in ks and h not in hs:
             kept.append(o)
             ks.add(k)
@@ -25,8 +25,9 @@ def test_greedy_equals_the_sequential_pass(spark, monkeypatch, seed, keys, hot):
         monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
     rng = random.Random(seed)
     rows = [(o, f"k{rng.randrange(keys)}", f"h{rng.randrange(keys)}") for o in range(200)]
-    # a third of all rows share one key
+    # a third of all rows share one key, some have none
     rows = [(o, "k0" if o % 3 == 0 else k, h) for o, k, h in rows]
+    rows = [(o, None if o % 17 == 5 else k, None if o % 19 == 6 else h) for o, k, h in rows]
     docs = spark.createDataFrame(rows, "o int, dedup_key string, content_hash string")
     got = dedup.greedy_kept(docs, order="o", hot_rows=hot).select("o").collect()
     assert sorted(r["o"] for r in got) == greedy(rows)
@@ -50,6 +51,17 @@ def test_documents_kept_earlier_count(spark):
     assert sorted(r["o"] for r in got) == greedy(rows, ["k1", "y"], ["x", "h9"]) == [2, 4]
 
 
+@pytest.mark.parametrize("hot", [1, 2_000_000])
+def test_null_is_one_value_at_every_size(spark, hot):
+    rows = [(1, None, "h1"), (2, None, "h2"), (3, None, None), (4, "k", None), (5, "k", "h5")]
+    docs = spark.createDataFrame(rows, "o int, dedup_key string, content_hash string")
+    got = dedup.greedy_kept(docs, order="o", hot_rows=hot).select("o").collect()
+    assert sorted(r["o"] for r in got) == greedy(rows) == [1, 4]
+    seen = spark.createDataFrame([(None, "x")], "k string, h string")
+    got = dedup.greedy_kept(docs, order="o", hot_rows=hot, seen=seen).select("o").collect()
+    assert sorted(r["o"] for r in got) == greedy(rows, [None]) == [4]
+
+
 def test_a_long_chain_of_drops(spark):
     rows = [(i, f"k{i // 2}", f"h{(i + 1) // 2}") for i in range(24)]
     docs = spark.createDataFrame(rows, "o int, dedup_key string, content_hash string")

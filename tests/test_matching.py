@@ -16,18 +16,17 @@ def dims(spark, tmp_path_factory):
 
 
 CASES = {
-    "HAEMOGLOBIN": ("Hemoglobin", "exact_alias_match"),
-    "Haemoglobin (whole blood/photometric method)": ("Hemoglobin", "exact_alias_match"),
-    "HAEMAGLOBIN": ("Hemoglobin", "fuzzy_match"),
-    "sophils": ("Basophils", "suffix_match_truncated_name"),
-    "tal WBC Count": ("Total Leucocyte Count", "fuzzy_match"),
-    "eutrophils": ("Neutrophils", "fuzzy_match"),
-    "mphocytes": ("Lymphocytes", "fuzzy_match"),
-    "eGFR - ESTIMATED GLOMERULAR": (
-        "Estimated Glomerular Filtration Rate", "prefix_match_truncated_name"),
-    "count": (None, "unresolved"),
-    "Some Totally Unknown Analyte XYZ123": (None, "unresolved"),
-    "(note)": (None, "unresolved"),
+    "CLOUDINESS": ("Turbidity", "exact_alias_match"),
+    "Cloudiness (by eye, second glass)": ("Turbidity", "exact_alias_match"),
+    "CLOUDYNESS": ("Turbidity", "fuzzy_match"),
+    "osphate": ("Phosphate", "suffix_match_truncated_name"),
+    "tal hardness": ("Total Hardness", "fuzzy_match"),
+    "emperature of water": ("Water Temperature", "fuzzy_match"),
+    "Sampling Depth Below The": (
+        "Sampling Depth Below The Water Table", "prefix_match_truncated_name"),
+    "water": (None, "unresolved"),
+    "grade of the ferry landing": (None, "unresolved"),
+    "(second glass)": (None, "unresolved"),
     "  ": (None, "empty"),
     None: (None, "empty"),
 }
@@ -102,11 +101,34 @@ def test_truncation_tiers_take_the_first_alias_in_dictionary_order(spark):
 
 def test_medicines(spark, dims):
     cases = {
-        "Dolo 650mg": ("Paracetamol", "brand_resolved"), "CAP. PAN 40": ("Pantoprazole", "brand_resolved"),
-        "paracetamol": ("Paracetamol", "generic_confirmed"), "saline": ("Normal Saline", "brand_resolved"),
-        "CAP. PAN D": ("CAP. PAN D", "unmapped_brand_or_generic"), "": (None, "missing"),
+        "Calmex 15mg": ("Zalvorin", "brand_resolved"), "CAP. ORP 30": ("Orpanol", "brand_resolved"),
+        "zalvorin": ("Zalvorin", "generic_confirmed"), "brenta": ("Brenta Salt", "brand_resolved"),
+        "CAP. ORP X": ("CAP. ORP X", "unmapped_brand_or_generic"), "": (None, "missing"),
         None: (None, "missing"),
     }
     df = spark.createDataFrame([(c,) for c in cases], "m string")
     got = matching.match_medicines(df, "m", dims.medicine).collect()
     assert {r["m"]: (r["generic_name"], r["medicine_type"]) for r in got} == cases
+
+
+@pytest.mark.parametrize("threshold", [0.5, 2 / 3])
+def test_thresholds_that_would_pair_everything_are_refused(spark, threshold):
+    names = spark.createDataFrame([("abc",)], "name_norm string")
+    with pytest.raises(ValueError):
+        matching.similarity_candidates(names, names, threshold)
+
+
+def test_very_long_names_and_aliases(spark):
+    """A page of text as a name costs nothing; a long alias is still found."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n)).strip()
+    aliases = [" ".join(text(n).split()) for n in (12, 9, 180, 500)]
+    typo = aliases[2][:90] + "zz" + aliases[2][93:]
+    names = [" ".join(text(20_000).split()), typo, aliases[0][:-1] + "z", aliases[3][:250] + "zz" + aliases[3][252:]]
+    tests = spark.createDataFrame(
+        [(i, a, "numeric", None, []) for i, a in enumerate(aliases)],
+        "ord int, canonical_name string, value_type string, unit_canonical string, aliases array<string>")
+    got = {r["name_norm"]: r["alias_norm"] for r in matching.similar_matches(
+        spark.createDataFrame([(n,) for n in names], "name_norm string"), alias_pool(tests)).collect()}
+    want = {n: max((difflib.SequenceMatcher(None, a, n).ratio(), a) for a in aliases) for n in names[1:]}
+    assert got == {n: a for n, (r, a) in want.items() if r >= 0.9} and typo in got
