@@ -31,6 +31,16 @@ def row_key(*cols: Column) -> Column:
     return F.xxhash64(*[x for c in cols for x in (c.isNull(), c.cast("string"))])
 
 
+def hash_sample(df: DataFrame, rows: int, *key: Column) -> DataFrame:
+    """About ``rows`` rows, or all if there are fewer: those whose key's hash is small. The same
+    rows come out however the table is split, and no task sends more than its share."""
+    n = df.count()
+    if n <= rows:
+        return df
+    part = F.shiftrightunsigned(F.xxhash64(*key), 1)
+    return df.filter(part < F.lit(int((1 << 63) * (rows / n))))
+
+
 def in_arrow(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:

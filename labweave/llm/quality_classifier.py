@@ -30,9 +30,9 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from labweave.llm.common import crc_rest, in_arrow
+from labweave.llm.common import crc_rest, hash_sample, in_arrow
 
 #: Bound of the fitting sample, positives and unlabelled rows each, and least number of positives.
 MAX_ROWS = 8_000
@@ -163,13 +163,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, *, folds: int, held: int
         crc_rest(F.col("doc_id"), folds) != held)
     good = labels.filter("quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    p = ids.join(good, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    u = ids.orderBy(F.xxhash64(F.lit("unlabelled"), "doc_id"), "doc_id").limit(max_rows)
+    p = _smallest(ids.join(good, "doc_id"), max_rows, F.xxhash64("doc_id"))
+    u = _smallest(ids, max_rows, F.xxhash64(F.lit("unlabelled"), "doc_id"))
     return p.withColumn("positive", F.lit(1)).unionByName(
         u.withColumn("unlabelled", F.lit(1)), allowMissingColumns=True).groupBy("doc_id").agg(
         F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled"))
 
 
+def _smallest(ids: DataFrame, rows: int, key: Column) -> DataFrame:
+    """The ``rows`` ids with the smallest keys, out of a sample that has a few more."""
+    return hash_sample(ids, rows + rows // 5 + 200, key).orderBy(key, "doc_id").limit(rows)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, max_rows: int = MAX_ROWS
 ) -> Model | None:
