@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from labweave.llm import oracle
 from labweave.llm.common import crc_rest, table
 from labweave.llm.decontam import digest, find_items
 from labweave.llm.line_rules import quality_rules
@@ -93,4 +94,9 @@ QUERIES = {
     "op10_url_rules": op10_url_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op3_line_frequency": oracle.LINE_RULES,
+    "op6_fm_index": oracle.FM_INDEX,
+    "op7_lsh_forest": oracle.LSH_FOREST,
+    "op10_url_rules": oracle.url_rules(URL_RULES),
+}
