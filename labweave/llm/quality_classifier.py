@@ -137,7 +137,7 @@ def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
     return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
 
 
-def fit(p: np.ndarray, u: np.ndarray, prior: float, *, steps: int = STEPS, decay: float = 2e-4) -> Model:
+def fit(p: np.ndarray, u: np.ndarray, prior: float, *, steps: int = STEPS, decay: float = 1e-2) -> Model:
     """Non-negative risk minimisation on positives ``p`` and unlabelled ``u``."""
     model = _blank(p, u)
     xp, xu = model.expand(p), model.expand(u)
