@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 from os.path import commonprefix
@@ -38,14 +39,34 @@ from labweave.llm.common import in_arrow
 
 MARK = "▁"
 #: Distinct words whose ids a task remembers, and the longest word it remembers.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 500_000
 MEMO_CHARS = 64
+#: Piece pairs whose fit a task remembers.
+MEMO_PAIRS = 1_500_000
+_KEY = 1 << 32
+_SINGLE = (1,)
 
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _UNIGRAM, _BPE = 1, 2
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6  # piece types of the model format
 
 
+def piece_sizes(pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    """By their last three or two characters: the sizes that pieces ending there may have, the
+    largest first and always 1."""
+    ends: dict[str, set[int]] = {}
+    for p in pieces:
+        for k in (2, 3):
+            if len(p) >= k:
+                ends.setdefault(p[-k:], {1}).add(len(p))
+    for end, sizes in ends.items():
+        if len(end) == 3:
+            sizes |= {n for n in ends.get(end[1:], ()) if n == 2}
+        else:
+            ends[end] = sizes & {1, 2}  # longer ones are found by three characters
+    return {end: tuple(sorted(sizes, reverse=True)) for end, sizes in ends.items()}
+
+
 class PieceModel:
     """Pieces, scores and segmentation of one model file."""
 
@@ -68,14 +89,29 @@ class PieceModel:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece crosses a word mark")
-        self.longest: dict[str, int] = {}  # longest piece by its last character
-        for p in self.ids:
-            self.longest[p[-1]] = max(len(p), self.longest.get(p[-1], 0))
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self.sizes = piece_sizes(self.ids)
+        self._pairs: dict[int, bool] = {}
         self._worst = min(self.score.values(), default=0.0) - 10.0
 
     def merged(self, word: str) -> list[str]:
         """Pair merging from single characters: best score first, then the leftmost."""
+        if len(word) > 24:
+            return self._merged_long(word)
+        get, none = self.score.get, float("-inf")
+        part = list(word)
+        gain = [get(x + y, none) for x, y in zip(part, part[1:])]
+        while gain and (top := max(gain)) > none:
+            i = gain.index(top)
+            part[i:i + 2] = [part[i] + part[i + 1]]
+            del gain[i]
+            if i:
+                gain[i - 1] = get(part[i - 1] + part[i], none)
+            if i < len(gain):
+                gain[i] = get(part[i] + part[i + 1], none)
+        return part
+
+    def _merged_long(self, word: str) -> list[str]:
+        """The same with a heap, for words of any length."""
         left = list(range(-1, len(word) - 1))
         right = [*range(1, len(word)), -1]
         part = list(word)
@@ -100,67 +136,69 @@ class PieceModel:
             offer(a, right[a])
         return [p for p in part if p]
 
-    def may_follow(self, first: str, second: str) -> bool:
-        key = (first, second)
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) > 500_000:
-                self._pairs.clear()
-            known = self._pairs[key] = self.merged(first + second) == [first, second]
-        return known
+    def _fits(self, first: int, second: int) -> bool:
+        """Whether piece ``second`` may follow ``first`` (negative: a word's start or an unknown
+        character, which merge with nothing)."""
+        pieces = [self.texts[second]] if first < 0 else [self.texts[first], self.texts[second]]
+        return self.merged("".join(pieces)) == pieces
 
     def segment_sorted(self, words: Iterable[str]) -> Iterator[list[str]]:
         """Pieces of each word; ``words`` come in order and share forward states."""
-        ids, longest = self.ids, self.longest
-        size = [0]     # by prefix length: characters of its last piece
-        best = [0.0]   # by prefix length: score of its segmentation (unigram)
+        ids, sizes, pairs, score = self.ids, self.sizes, self._pairs, self.score
+        bpe = self.kind == _BPE
+        size = [0]      # by prefix length: characters of its last piece
+        state = [-1]    # by prefix length: id of its last piece, -1 for none or an unknown one
+        best = [0.0]    # by prefix length: score of its segmentation (unigram)
         last = ""
         for word in words:
-            if self.kind == _BPE and word.startswith(MARK * 2):
+            if bpe and word.startswith(MARK * 2):
                 yield self.merged(word)
                 continue
-            shared = len(commonprefix((last, word)))
-            del size[shared + 1:], best[shared + 1:]
+            shared, most = 0, min(len(last), len(word))
+            while shared < most and last[shared] == word[shared]:
+                shared += 1
+            del size[shared + 1:], state[shared + 1:], best[shared + 1:]
             last = word
             for end in range(shared + 1, len(word) + 1):
-                most = min(longest.get(word[end - 1], 1), end)
-                if self.kind == _BPE:
-                    size.append(self._last_piece(word, end, most, size, ids))
-                    continue
-                top, pick = best[end - 1] + self._worst, 1
-                for n in range(1, most + 1):
-                    s = self.score.get(word[end - n:end])
-                    if s is not None and (best[end - n] + s > top or n == 1):
-                        top, pick = best[end - n] + s, n
+                pick, found = 1, -1
+                tail = sizes.get(word[end - 3:end]) if end > 2 else None
+                if tail is None:
+                    tail = sizes.get(word[end - 2:end], _SINGLE) if end > 1 else _SINGLE
+                if bpe:
+                    for n in tail:
+                        if n > end:
+                            continue
+                        piece = ids.get(word[end - n:end])
+                        if piece is None:
+                            continue
+                        key = state[end - n] * _KEY + piece
+                        fits = pairs.get(key)
+                        if fits is None:
+                            fits = pairs[key] = self._fits(state[end - n], piece)
+                        if fits:
+                            pick, found = n, piece
+                            break
+                else:
+                    top = best[end - 1] + self._worst
+                    for n in reversed(tail):
+                        if n > end:
+                            break
+                        s = score.get(word[end - n:end])
+                        if s is not None and (best[end - n] + s > top or n == 1):
+                            top, pick = best[end - n] + s, n
+                    best.append(top)
                 size.append(pick)
-                best.append(top)
+                state.append(found)
             pieces, end = [], len(word)
             while end:
                 pieces.append(word[end - size[end]:end])
                 end -= size[end]
             yield pieces[::-1]
+            if len(pairs) > MEMO_PAIRS:
+                pairs.clear()
 
-    def _last_piece(self, word: str, end: int, most: int, size: list[int], ids: dict) -> int:
-        for n in range(most, 0, -1):
-            piece = word[end - n:end]
-            if n > 1 and piece not in ids:
-                continue
-            start = end - n
-            if not start:
-                if n == 1 or self.may_follow_start(piece):
-                    return n
-            elif self.may_follow(word[start - size[start]:start], piece):
-                return n
-        return 1
-
-    def may_follow_start(self, piece: str) -> bool:
-        key = ("", piece)
-        known = self._pairs.get(key)
-        if known is None:
-            known = self._pairs[key] = self.merged(piece) == [piece]
-        return known
-
-    def piece_ids(self, pieces: Iterable[str]) -> list[int]:
+    def piece_ids(self, pieces: Iterable[str]) -> bytes:
+        """Ids as 32-bit numbers end to end."""
         out: list[int] = []
         for p in pieces:
             i = self.ids.get(p)
@@ -170,18 +208,18 @@ class PieceModel:
                 out += [self.bytes[b] for b in p.encode()]
             elif not out or out[-1] != self.unknown:  # neighbouring unknowns are one
                 out.append(self.unknown)
-        return out
+        return array("i", out).tobytes()
 
     def marked_words(self, text: str) -> list[str]:
         return _MARKED.findall(self.prefix + text.replace(" ", MARK)) if text else []
 
-    def encode(self, texts: Sequence[str | None], memo: dict[str, list[int]]) -> list:
+    def encode(self, texts: Sequence[str | None], memo: dict[str, bytes]) -> list:
         """Ids of each text. ``memo`` keeps the ids of words seen ahead."""
         split = [None if t is None else self.marked_words(t) for t in texts]
         new = sorted({w for ws in split if ws for w in ws if w not in memo})
         memo.update(zip(new, map(self.piece_ids, self.segment_sorted(new))))
         get = memo.__getitem__
-        out = [None if ws is None else np.fromiter(chain.from_iterable(map(get, ws)), np.int32)
+        out = [None if ws is None else np.frombuffer(b"".join(map(get, ws)), np.int32)
                for ws in split]
         if len(memo) > MEMO_WORDS:
             memo.clear()

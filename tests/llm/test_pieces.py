@@ -6,7 +6,7 @@ import random
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from labweave.llm.pieces import PieceModel, decode_ids, encode_texts
+from labweave.llm.pieces import PieceModel, decode_ids, encode_texts, piece_sizes
 
 PATH = "/opt/tokenizers/piece_bpe_32k.model"
 pytestmark = pytest.mark.skipif(not os.path.exists(PATH), reason="no vocabulary files")
@@ -60,7 +60,8 @@ def test_unigram_is_the_best_sum(model):
     uni.kind, uni._pairs, uni._worst = 1, {}, -30.0
     uni.score = {"▁": -2.0, "a": -3.0, "b": -3.5, "ab": -4.0, "▁a": -4.1, "ba": -5.0, "aba": -8.2}
     uni.ids = {p: i for i, p in enumerate(uni.score)}
-    uni.longest = {"▁": 1, "a": 3, "b": 2}
+    uni.sizes = piece_sizes(uni.ids)
+    uni.texts = list(uni.ids)
 
     def total(pieces):
         return sum(uni.score[p] for p in pieces)
