@@ -270,7 +270,8 @@ ORACLE["display_values"] = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_sup
     FROM (SELECT *, l_extendedprice * 1000 AS v FROM lineitem)"""
 ORACLE["row_id"] = sql([RAW_PART], """SELECT event_id, sha256(concat_ws('|', CAST(doc AS VARCHAR),
     'lab_test', raw_name, result, unit)) AS id FROM raw""")
-ORACLE["content_hash"] = """SELECT doc_id, sha256('{"inner":{"n":' || n_chars || '},"lang":"' || lang ||
+ORACLE["content_hash"] = """SELECT doc_id, sha256('{"inner":{"body":{"text":' || to_json(text) ||
+    '},"n":' || n_chars || '},"lang":"' || lang ||
     '","source":"' || source || '"}') AS hash FROM documents"""
 ORACLE["document_key"] = """SELECT doc_id, CASE WHEN doc_id % 3 <> 0 AND doc_id % 2 = 0
     THEN sha256(source || '|' || lang) WHEN doc_id % 3 <> 0 THEN sha256(source)
@@ -415,7 +416,9 @@ ORACLE["upsert_merge"] = ORACLE["upsert_table"] = """
     SELECT o_orderkey, o_custkey, round(o_totalprice + 1, 2) AS o_totalprice, 'later' AS o_note
     FROM orders WHERE o_orderkey % 2 = 0
     UNION ALL SELECT o_orderkey, o_custkey, round(o_totalprice, 2), NULL
-    FROM orders WHERE o_orderkey % 2 <> 0 AND o_orderkey % 3 <> 0"""
+    FROM orders WHERE o_orderkey % 2 <> 0"""
+ORACLE["reset_table"] = """SELECT o_orderkey, o_custkey, round(o_totalprice + 1, 2) AS o_totalprice,
+    'later' AS o_note FROM orders WHERE o_orderkey % 2 = 0"""
 ORACLE["error_log_tail"] = """SELECT 'f' || event_id AS file_path, 'c' || user_id AS clinic_id,
     date_trunc('second', ts) AS occurred_at FROM events WHERE event_type = 'error'
     ORDER BY date_trunc('second', ts) DESC, 'f' || event_id LIMIT 10"""
@@ -447,9 +450,9 @@ ORACLE["scan_paths"] = sql(FILES, """SELECT file_path, clinic_id, date_str, reas
     CASE WHEN reason IS NULL THEN CASE WHEN clinic_id = 'beta' THEN 'D-' ELSE 'T-' END || ids END AS trace_id,
     CASE WHEN reason IS NULL THEN true END AS shape_ok FROM paths""")
 BLOCKS = """blocks AS (
-    SELECT *, 'lab_report' AS record_type, CASE WHEN clinic_id = 'alpha' THEN 'lab_report' END AS classifier,
+    SELECT *, 'lab_report' AS record_type, CASE WHEN clinic_id = 'alpha' THEN 'bench' END AS classifier,
       0 AS block_ord FROM {src}
-    UNION ALL SELECT *, 'discharge_summary', 'discharge_summary', 1 FROM {src}
+    UNION ALL SELECT *, 'discharge_summary', 'ward', 1 FROM {src}
       WHERE clinic_id = 'alpha' AND doc_no % 6 = 0
     UNION ALL SELECT *, NULL, 'scan', 2 FROM {src} WHERE clinic_id = 'alpha' AND doc_no % 9 = 0)"""
 ALL_BLOCKS = [*FILES, BLOCKS.format(src="good")]
@@ -570,6 +573,8 @@ ORACLE["run_summary"] = sql(PIPELINE, """SELECT
     (SELECT count(*) FROM records) AS rows_loaded,
     (SELECT count(*) FROM all_rows WHERE test_analytics IN
       ('Outlier', 'Invalid', 'Above Range', 'Below Range')) AS rows_flagged""")
+ORACLE["run_log"] = ORACLE["run_summary"]
+ORACLE["stats_upsert"] = ORACLE["clinic_stats"]
 ORACLE["unresolved_names"] = sql(PIPELINE, """SELECT test_name_original, count(*) AS n FROM all_rows
     WHERE normalization_method = 'unresolved' GROUP BY test_name_original""")
 ORACLE["unresolved_rate"] = sql(PIPELINE, """SELECT clinic_id, CAST(date_str AS DATE) AS day, count(*) AS n,

@@ -134,7 +134,8 @@ def content_hash(spark, sf):
     """Payload hash of a JSON body; page numbers do not count, at any depth."""
     body = F.to_json(F.struct(
         F.col("source"), F.col("lang"), F.col("doc_id").alias("page_no"),
-        F.struct(F.col("n_chars").alias("n"), F.concat(F.lit("p"), "doc_id").alias("page_no"))
+        F.struct(F.col("n_chars").alias("n"), F.concat(F.lit("p"), "doc_id").alias("page_no"),
+                 F.struct("text", F.col("doc_id").alias("page_no")).alias("body"))
         .alias("inner")))
     docs = table(spark, sf, "documents").select("doc_id", F.parse_json(body).alias("body"))
     return docs.select("doc_id", fn.payload_hash("body", F.lit(None).cast("string")).alias("hash"))
@@ -474,7 +475,7 @@ def latest_per_key(spark, sf):
 
 def _order_halves(spark, sf) -> tuple[DataFrame, DataFrame]:
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    first = o.filter("o_orderkey % 3 != 0")
+    first = o.filter("o_orderkey % 3 != 0 or o_orderkey % 2 = 1")
     later = o.filter("o_orderkey % 2 = 0").withColumns({
         "o_totalprice": F.col("o_totalprice") + 1, "o_note": F.lit("later")})
     return first, later
@@ -499,6 +500,18 @@ def upsert_table(spark, sf):
         "o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("o_totalprice"), "o_note")
 
 
+@query
+def reset_table(spark, sf):
+    """A table started again from empty holds the last batch alone."""
+    path = scratch_path(spark, "reset")
+    first, later = _order_halves(spark, sf)
+    sinks.upsert_parquet(first, path, ["o_orderkey"])
+    for _ in range(2):
+        sinks.upsert_parquet(later, path, ["o_orderkey"], reset=True)
+    return sinks.read_table(spark, path).select(
+        "o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("o_totalprice"), "o_note")
+
+
 @query
 def error_log_tail(spark, sf):
     """Dead letters written as JSON lines and read back, the last ten newest first."""
@@ -508,7 +521,8 @@ def error_log_tail(spark, sf):
         F.concat(F.lit("c"), F.col("user_id")).alias("clinic_id"), F.lit("ingestion").alias("stage"),
         F.lit("malformed_json").alias("reason"), F.lit("").alias("detail"),
         F.date_trunc("second", "ts").alias("occurred_at"))
-    sinks.append_errors(bad, path)
+    for _ in range(2):  # a repeated run replaces its letters
+        sinks.append_errors(bad, path, run_id="run-1")
     return reports.recent_errors(sinks.error_log(spark, path)).select(
         "file_path", "clinic_id", "occurred_at")
 
@@ -558,6 +572,24 @@ def clinic_stats(spark, sf):
     return reports.clinic_quality(_run(spark, sf).stats)
 
 
+@query
+def stats_upsert(spark, sf):
+    """Statistics by source written twice and read back: still a row per source."""
+    path = scratch_path(spark, "stats")
+    for _ in range(2):
+        sinks.upsert_parquet(_run(spark, sf).stats, path, ["clinic_id"], buckets=1)
+    return sinks.read_table(spark, path).drop("key_bucket")
+
+
+@query
+def run_log(spark, sf):
+    """The run's log row written twice under one run id and read back."""
+    path = scratch_path(spark, "runs")
+    for _ in range(2):
+        sinks.upsert_parquet(pipeline.run_log(_run(spark, sf)), path, ["run_id"], buckets=1)
+    return sinks.read_table(spark, path).drop("key_bucket", "run_id", "started_at", "finished_at")
+
+
 @query
 def run_summary(spark, sf):
     return _run(spark, sf).summary

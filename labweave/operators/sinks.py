@@ -69,15 +69,19 @@ def merge_into_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
     batch.alias("batch").mergeInto(table, cond).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
-def append_errors(errors: DataFrame, path: str, *, reset: bool = False) -> None:
-    """Dead letters as JSON lines."""
-    errors.write.mode("overwrite" if reset else "append").json(path)
+def append_errors(errors: DataFrame, path: str, *, run_id: str, reset: bool = False) -> None:
+    """Dead letters of one run or batch as JSON lines in a folder of its own, so that writing them
+    again replaces them."""
+    mode = "static" if reset else "dynamic"
+    errors.withColumn("run", F.lit(run_id)).write.mode("overwrite").option(
+        "partitionOverwriteMode", mode).partitionBy("run").json(path)
 
 
 def error_log(spark: SparkSession, path: str) -> DataFrame:
+    """The dead letters of all runs and batches."""
     return spark.read.schema(
         "file_path string, clinic_id string, stage string, reason string, detail string, "
-        "occurred_at timestamp"
+        "occurred_at timestamp, run string"
     ).json(path)
 
 

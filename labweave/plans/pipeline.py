@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -142,24 +142,31 @@ def process(files: DataFrame, dims: Dims, *, dedup: bool = True, hot_rows: int =
 
 
 def run(spark: SparkSession, root: str, config: str | Dims, out: str, *, dedup: bool = True,
-        reset: bool = False, **options) -> RunResult:
+        reset: bool = False, run_id: str | None = None, **options) -> RunResult:
     """One batch over a report folder, written to ``out``: ``records`` (upsert by id),
-    ``clinic_stats`` and ``runs`` (upsert), ``dead_letter`` (append) and ``audit``."""
+    ``clinic_stats`` and ``runs`` (upsert), ``dead_letter`` (by run) and ``audit``. A run repeated
+    after a failure under the same ``run_id`` replaces what it wrote."""
     configure(spark)
     started = spark.sql("select now()").first()[0]
     dims = config if isinstance(config, Dims) else dims_from_folder(spark, config)
     result = process(read_files(spark, root), dims, dedup=dedup, **options)
+    result = replace(result, run_id=run_id) if run_id else result
     write_result(result, out, reset=reset, started=started)
     return result
 
 
+def run_log(result: RunResult, started=None) -> DataFrame:
+    """One row with the run's counts and times."""
+    return result.summary.select(
+        F.lit(result.run_id).alias("run_id"),
+        F.lit(started).cast("timestamp").alias("started_at"),
+        F.current_timestamp().alias("finished_at"), "*")
+
+
 def write_result(result: RunResult, out: str, *, reset: bool = False, started=None) -> None:
     sinks.upsert_parquet(load_rows(result.rows), f"{out}/records", ["id"], reset=reset)
     sinks.upsert_parquet(result.stats, f"{out}/clinic_stats", ["clinic_id"], buckets=1, reset=reset)
-    sinks.append_errors(result.errors, f"{out}/dead_letter", reset=reset)
+    sinks.append_errors(result.errors, f"{out}/dead_letter", run_id=result.run_id, reset=reset)
     sinks.write_audit(sinks.audit_rows(result.documents, result.rows), f"{out}/audit", reset=reset)
-    log = result.summary.select(
-        F.lit(result.run_id).alias("run_id"),
-        F.lit(started).cast("timestamp").alias("started_at"),
-        F.current_timestamp().alias("finished_at"), "*")
-    sinks.upsert_parquet(log, f"{out}/runs", ["run_id"], buckets=1, reset=reset)
+    sinks.upsert_parquet(
+        run_log(result, started), f"{out}/runs", ["run_id"], buckets=1, reset=reset)

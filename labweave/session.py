@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_SCOPE: ContextVar[str] = ContextVar("scratch scope", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/labweave/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/labweave/{_SCOPE.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is landed inside is deleted at the end, when nothing reads it any more."""
+    name = f"scope-{uuid.uuid4().hex}/"
+    token = _SCOPE.set(name)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            f"{shared_dir(spark)}/labweave/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpoint(df: DataFrame, name: str = "stage", *, by: str | None = None) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from labweave.operators import sinks
 from labweave.operators.dedup import greedy_kept, split_by_kept, suppressed_rows
-from labweave.plans.pipeline import load_rows, standardise
-from labweave.session import checkpoint, configure
+from labweave.operators.stats import clinic_stats, run_summary
+from labweave.plans.pipeline import RunResult, standardise, write_result
+from labweave.session import checkpoint, configure, scratch_scope
 from labweave.sources.config import Dims
 from labweave.sources.files import file_errors, good_documents, parse_documents, read_files
 
@@ -24,23 +25,32 @@ def kept_keys(spark: SparkSession, out: str, before_batch: int) -> DataFrame | N
 
 
 def ingest_batch(files: DataFrame, batch_id: int, dims: Dims, out: str) -> None:
-    """One micro-batch: parse, suppress copies of anything kept so far, standardise, upsert."""
+    """One micro-batch: parse, suppress copies of anything kept so far, standardise, and write what
+    a batch run writes, under the batch's number. Its scratch tables go at the end."""
     spark = files.sparkSession
-    parsed = checkpoint(parse_documents(files, dims.clinic), "documents")
-    good = good_documents(parsed)
-    kept = checkpoint(greedy_kept(good, seen=kept_keys(spark, out, batch_id)), "kept")
-    docs, dropped = split_by_kept(good, kept, "path_parts")
-    rows, errors = standardise(docs, dims)
-    rows = checkpoint(rows, "rows")
-    sinks.upsert_parquet(load_rows(rows), f"{out}/records", ["id"])
-    per_batch = {
-        "dead_letter": file_errors(parsed).unionByName(errors),
-        "suppressed": suppressed_rows(dropped),
-        # Last, so a replay of this batch still sees only earlier batches' keys.
-        "kept_keys": kept.select(F.col("dedup_key").alias("k"), F.col("content_hash").alias("h")),
-    }
-    for name, df in per_batch.items():
-        df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+    started = spark.sql("select now()").first()[0]
+    with scratch_scope(spark):
+        parsed = checkpoint(parse_documents(files, dims.clinic), "documents")
+        good = good_documents(parsed)
+        kept = checkpoint(greedy_kept(good, seen=kept_keys(spark, out, batch_id)), "kept")
+        docs, dropped = split_by_kept(good, kept, "path_parts")
+        rows, errors = standardise(docs, dims)
+        rows = checkpoint(rows, "rows")
+        suppressed = suppressed_rows(dropped)
+        write_result(RunResult(
+            run_id=f"batch-{batch_id}", documents=docs, suppressed=suppressed, rows=rows,
+            errors=file_errors(parsed).unionByName(errors),
+            stats=clinic_stats(parsed, suppressed, rows),
+            summary=run_summary(parsed, suppressed, rows, rows.select("id").distinct()),
+        ), out, started=started)
+        per_batch = {
+            "suppressed": suppressed,
+            # Last, so a replay of this batch still sees only earlier batches' keys.
+            "kept_keys": kept.select(
+                F.col("dedup_key").alias("k"), F.col("content_hash").alias("h")),
+        }
+        for name, df in per_batch.items():
+            df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
 
 
 def start_ingest(

@@ -234,7 +234,11 @@ def test_stream_equals_batch(spark, world):
     batch = pipeline.load_rows(world["result"].rows).select(*streamed.columns)
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
     assert spark.read.parquet(f"{out}/suppressed").count() == 2
-    assert spark.read.parquet(f"{out}/dead_letter").count() == 8
+    assert sinks.error_log(spark, f"{out}/dead_letter").filter("reason is not null").count() == 8
+    runs = sinks.read_table(spark, f"{out}/runs")
+    assert runs.count() == 2 and runs.agg(F.sum("files_seen")).first()[0] == 10
+    assert sinks.read_table(spark, f"{out}/clinic_stats").count() == 6
+    assert sinks.read_table(spark, f"{out}/audit").count() == 5
 
 
 def test_replaying_a_batch_changes_nothing(spark, world):
@@ -245,6 +249,8 @@ def test_replaying_a_batch_changes_nothing(spark, world):
         ingest.ingest_batch(files, 0, dims, out)
     assert sinks.read_table(spark, f"{out}/records").count() == 37
     assert spark.read.parquet(f"{out}/kept_keys").count() == 5
+    assert sinks.error_log(spark, f"{out}/dead_letter").count() == 8
+    assert sinks.read_table(spark, f"{out}/runs").count() == 1
 
 
 def test_rolling_error_rate(spark):
