@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labweave.operators.skew import HOT_ROWS, join_groups, split_hot_join
 from labweave.session import checkpoint
-from labweave.sources.config import broadcast_if_small
+from labweave.sources.config import broadcast_if_small, fits_broadcast
 
 # Texts stored with suppressed and repeated rows.
 DUPLICATE_REASON = "shares_ids_or_content_with_a_kept_document"
@@ -129,14 +130,32 @@ def suppressed_rows(suppressed: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row per key. An aggregate, not a ranking window: each task sends one row per
     key, so a key with many copies does not meet in one place."""
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_r"))
-    return first.select("_r.*")
+    first = lambda rows: rows.groupBy(*keys).agg(
+        F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_r")).select("_r.*")
+    return _of_repeated(df, keys, first)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The last row per key, e.g. the latest run or the latest version."""
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_r"))
-    return last.select("_r.*")
+    last = lambda rows: rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_r")).select("_r.*")
+    return _of_repeated(df, keys, last)
+
+
+def _of_repeated(df: DataFrame, keys: Sequence[str], settle) -> DataFrame:
+    """``settle`` on the rows of keys that occur more than once, all others as they are.
+
+    Whole rows are sorted and moved only where a key repeats. The repeated keys are found on the
+    key columns alone and landed; if there are too many to broadcast, all rows are settled.
+    """
+    many = checkpoint(
+        df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(
+            *[F.col(k).alias(f"_m_{k}") for k in keys]), "repeated")
+    if not fits_broadcast(many):
+        return settle(df)
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
+    many = F.broadcast(many)
+    return df.join(many, on, "left_anti").unionByName(settle(df.join(many, on, "left_semi")))
 
 
 def flag_repeats(

@@ -82,7 +82,7 @@ def lab_rows(blocks: DataFrame, dims: Dims, *, scope: str = "block", hot_rows: i
 def standardise(docs: DataFrame, dims: Dims, *, reference_ids: bool = False, **options
                 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, row_errors)`` of parsed documents: every record type in one wide table, ahead
-    of the collapse by id."""
+    of the collapse by id. The errors leave out :func:`unresolved_errors`, which read the rows."""
     blocks = mapping.explode_blocks(mapping.add_lineage(docs), dims.clinic)
     blocks = mapping.land_blocks(blocks, dims.clinic)
     lab, excluded = lab_rows(blocks, dims, **options)
@@ -92,19 +92,20 @@ def standardise(docs: DataFrame, dims: Dims, *, reference_ids: bool = False, **o
         .withColumn("processed_at", F.current_timestamp())
     )
     rows = rows.withColumn("id", record_id(reference_ids=reference_ids))
-    unresolved = lab.filter(F.col("normalization_method") == UNRESOLVED_METHOD)
-    errors = (
-        mapping.block_errors(blocks)
-        .unionByName(error_rows(excluded, "unit_validation", "unit_mismatch_excluded",
-                                F.col("flag_reason")))
-        .unionByName(error_rows(
-            unresolved, "test_name_normalisation", "unresolved_test_name",
-            F.concat(F.lit("'"), F.col("test_name_original"),
-                     F.lit("' -- add to the test dictionary"))))
-    )
+    errors = mapping.block_errors(blocks).unionByName(error_rows(
+        excluded, "unit_validation", "unit_mismatch_excluded", F.col("flag_reason")))
     return rows, errors
 
 
+def unresolved_errors(rows: DataFrame) -> DataFrame:
+    """Dead letters of rows whose test name no dictionary entry answers."""
+    return error_rows(
+        rows.filter(F.col("normalization_method") == UNRESOLVED_METHOD),
+        "test_name_normalisation", "unresolved_test_name",
+        F.concat(F.lit("'"), F.col("test_name_original"),
+                 F.lit("' -- add to the test dictionary")))
+
+
 @dataclass(frozen=True)
 class RunResult:
     run_id: str
@@ -135,7 +136,7 @@ def process(files: DataFrame, dims: Dims, *, dedup: bool = True, hot_rows: int =
         documents=kept,
         suppressed=suppressed,
         rows=rows,
-        errors=file_errors(parsed).unionByName(row_errors),
+        errors=file_errors(parsed).unionByName(row_errors).unionByName(unresolved_errors(rows)),
         stats=clinic_stats(parsed, suppressed, rows),
         summary=run_summary(parsed, suppressed, rows, rows.select("id").distinct()),
     )

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from labweave.operators import sinks
 from labweave.operators.dedup import greedy_kept, split_by_kept, suppressed_rows
 from labweave.operators.stats import clinic_stats, run_summary
-from labweave.plans.pipeline import RunResult, standardise, write_result
+from labweave.plans.pipeline import RunResult, standardise, unresolved_errors, write_result
 from labweave.session import checkpoint, configure, scratch_scope
 from labweave.sources.config import Dims
 from labweave.sources.files import file_errors, good_documents, parse_documents, read_files
@@ -39,7 +39,7 @@ def ingest_batch(files: DataFrame, batch_id: int, dims: Dims, out: str) -> None:
         suppressed = suppressed_rows(dropped)
         write_result(RunResult(
             run_id=f"batch-{batch_id}", documents=docs, suppressed=suppressed, rows=rows,
-            errors=file_errors(parsed).unionByName(errors),
+            errors=file_errors(parsed).unionByName(errors).unionByName(unresolved_errors(rows)),
             stats=clinic_stats(parsed, suppressed, rows),
             summary=run_summary(parsed, suppressed, rows, rows.select("id").distinct()),
         ), out, started=started)
