@@ -68,8 +68,7 @@ def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
             F.zip_with("sorted", _after("sorted"),
                        lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))),
             lambda x: x.isNotNull())))).alias("at"))
-    return df.select(
-        *keep,
+    counts = F.struct(
         F.col("n_words").cast("long").alias("n_words"),
         F.length("joined").cast("long").alias("word_chars"),
         F.when(F.col("joined").rlike(f"[{SYMBOLS}]"),
@@ -80,6 +79,9 @@ def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
             F.zip_with("at", _after("at"),
                        lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW)))),
             F.lit(0), lambda s, x: s + x).cast("long").alias("n_repeat_words"))
+    # A generator: filters on the counts stay above it. Pushed into the projections below, they
+    # would compute the word array again for every window.
+    return df.select(*keep, F.inline(F.array(counts)))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:

@@ -86,6 +86,15 @@ def test_line_rules(spark, seed):
     assert quality_rules(df.limit(0)).count() == 0
 
 
+def test_filters_stay_above_the_counts(spark):
+    """A filter on the verdict, pushed into the projections, would take minutes here."""
+    text = " ".join(f"w{i}" for i in range(6000))
+    df = spark.createDataFrame([(i, text, "h") for i in range(8)], "doc_id long, text string, source string")
+    plan = quality_rules(df, keep=df.columns).filter("kept")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("inline(") and "lambda" not in plan[:plan.index("inline(")]
+    assert quality_rules(df, keep=df.columns).filter("kept").count() == 8
+
+
 def test_copies_are_not_boilerplate(spark):
     """A text copied a hundred times stays, a menu line in a hundred texts goes."""
     rng = random.Random(1)
