@@ -132,18 +132,14 @@ def frequent_lines(
         "host", "line", "n_docs")
 
 
-def depleted_rows(
-    lines: DataFrame, common: DataFrame, *, min_words: int, min_left_pct: int
-) -> DataFrame:
-    """``row`` of documents that have too few words outside the ``common`` lines."""
+def depleted_rows(lines: DataFrame, common: DataFrame, *, min_left_pct: int) -> DataFrame:
+    """``row`` of documents that have too few of their words outside the ``common`` lines."""
     gone = lines.join(common.select("host", "line"), ["host", "line"])
     once = gone.groupBy("row", "i").agg(  # repeated rows collapse
         F.max("words").alias("words"), F.max("n_words").alias("n_words"))
     left = once.groupBy("row").agg(
         (F.max("n_words") - F.sum("words")).alias("left"), F.max("n_words").alias("n_words"))
-    return left.filter(
-        (F.col("left") < min_words) | (100 * F.col("left") < min_left_pct * F.col("n_words"))
-    ).select("row")
+    return left.filter(100 * F.col("left") < min_left_pct * F.col("n_words")).select("row")
 
 
 def quality_rules(
@@ -155,8 +151,8 @@ def quality_rules(
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_pct`` percent of
     them in windows found twice. ``depleted``: without the frequent lines fewer than
-    ``min_words`` words or ``min_left_pct`` percent of the words are left. ``kept``: neither.
-    Columns named in ``keep`` come first, as they are.
+    ``min_left_pct`` percent of the words are left (a short text with one shared line is none).
+    ``kept``: neither. Columns named in ``keep`` come first, as they are.
     """
     src = docs.select(
         *[F.col(c).alias(f"_keep_{c}") for c in keep],
@@ -166,7 +162,7 @@ def quality_rules(
     lines = checkpoint(line_rows(src), "lines")
     common = frequent_lines(lines, min_docs=min_docs, host_share=host_share, spread=spread)
     depleted = checkpoint(
-        depleted_rows(lines, common, min_words=min_words, min_left_pct=min_left_pct), "depleted")
+        depleted_rows(lines, common, min_left_pct=min_left_pct), "depleted")
     if fits_broadcast(depleted):
         depleted = F.broadcast(depleted)
     counted = with_counts(src, [*[f"_keep_{c}" for c in keep], "doc_id", "row"])

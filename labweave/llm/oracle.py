@@ -49,7 +49,7 @@ LINE_RULES = f"""WITH src AS (SELECT doc_id, coalesce(source, '') AS host, coale
       coalesce(dups.n, 0) AS n_dup_lines, coalesce(hits.n, 0) AS n_repeat_words, gone.n AS gone
     FROM src LEFT JOIN hits USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN gone USING (doc_id)),
   judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-    gone IS NOT NULL AND (n_words - gone < 10 OR 100 * (n_words - gone) < 20 * n_words) AS depleted FROM counts)
+    gone IS NOT NULL AND 100 * (n_words - gone) < 20 * n_words AS depleted FROM counts)
   SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
     CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
     base_failed, depleted, NOT base_failed AND NOT depleted AS kept FROM judged"""
