@@ -2,16 +2,15 @@
 
 Per document: word, symbol, repeated-line and repeated-window counts, which decide
 ``base_failed``. Across documents: lines are normalised (lower case, white space squeezed) and
-hashed; per host the distinct documents of a line are counted. A line above its host's limit is
-removed, and a document left with too little is rejected.
+hashed; per host the distinct texts of a line are counted. A line above its host's limit is
+frequent, and a document left with too little is rejected.
 
-Copies of a document are no boilerplate: their lines always stand between the same neighbours.
-So a line counts as boilerplate only if it also has many different surroundings (the line ahead
-and the line behind together), at least ``spread`` of its documents. Copies are left to the
-near-duplicate operator.
+Exact copies of a text are no boilerplate: they count as one text, in a line's count as in its
+host's size, and are left to the near-duplicate operator. A block of lines that many different
+texts share is frequent line by line, however its lines stand to each other.
 
 Null or empty text has no words and fails; a null host is a host of its own; repeated rows
-each count as a document and all get the same result; extra columns are ignored.
+all get the same result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -85,49 +84,52 @@ def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: ``row, host, n_words, i, line, words, around, first``.
+    """One row per line with a word: ``row, host, doc, n_words, i, line, words, around, first``.
 
-    ``line`` hashes the normalised line, ``around`` its two neighbours; ``first`` marks a
-    line's first place in its document, ``n_words`` counts the document's words.
+    ``line`` hashes the normalised line, ``around`` its two neighbours, ``doc`` the whole text;
+    ``first`` marks a line's first place in its document, ``n_words`` counts the document's words.
     """
-    texts = docs.select("row", "host", F.transform(
+    texts = docs.select("row", "host", F.xxhash64("text").alias("doc"), F.transform(
         F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)),
         lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE, " ")))).alias("lines"))
-    lines = texts.select("row", "host", F.transform("lines", lambda x: F.struct(
+    lines = texts.select("row", "host", "doc", F.transform("lines", lambda x: F.struct(
         F.xxhash64(x).alias("h"),
         (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w"),
     )).alias("lines"))
     placed = lines.select(
-        "row", "host",
+        "row", "host", "doc",
         F.aggregate("lines", F.lit(0), lambda s, x: s + x["w"]).alias("n_words"),
         F.sort_array(F.transform("lines", lambda x, i: F.struct(
             x["h"].alias("line"), i.alias("i"), x["w"].alias("words"),
             F.xxhash64(F.get("lines", i - 1)["h"], F.get("lines", i + 1)["h"]).alias("around"),
         ))).alias("placed"))
-    rows = placed.select("row", "host", "n_words", F.explode(F.zip_with(
+    rows = placed.select("row", "host", "doc", "n_words", F.explode(F.zip_with(
         "placed", F.concat(F.array(F.lit(None).cast("bigint")), F.col("placed.line")),
         lambda a, b: F.when(a.isNotNull(), F.struct(
             a["line"].alias("line"), a["i"].alias("i"), a["words"].alias("words"),
             a["around"].alias("around"), (~a["line"].eqNullSafe(b)).alias("first"),
         )))).alias("x"))
-    return rows.filter("x is not null").select("row", "host", "n_words", "x.*")
+    return rows.filter("x is not null").select("row", "host", "doc", "n_words", "x.*")
 
 
 def frequent_lines(
-    lines: DataFrame, *, min_docs: int = 20, host_share: float = 0.01, spread: float = 0.5
+    lines: DataFrame, *, min_docs: int = 20, host_share: float = 0.01, spread: float | None = None
 ) -> DataFrame:
-    """``host, line, n_docs`` of lines in more documents of their host than the limit.
+    """``host, line, n_docs`` of lines in more different texts of their host than the limit.
 
-    The limit is the larger of ``min_docs`` and ``host_share`` of the host's documents with a
-    line. Counting goes through (host, line, around), so even one line in every document is
-    counted by many tasks.
+    The limit is the larger of ``min_docs`` and ``host_share`` of the host's texts with a line.
+    Counting goes through (host, line, text), so even one line in every document is counted by
+    many tasks. A ``spread`` also asks for more than that share of different surroundings, which
+    spares every block of lines that stay together.
     """
-    spots = lines.filter("first").groupBy("host", "line", "around").agg(F.count("*").alias("n"))
-    counts = spots.groupBy("host", "line").agg(
-        F.sum("n").alias("n_docs"), F.count("*").alias("n_around"))
-    many = counts.filter(
-        (F.col("n_docs") > min_docs) & (F.col("n_around") > F.col("n_docs") * spread))
-    sizes = lines.filter("i = 0").groupBy("host").agg(F.count("*").alias("docs"))
+    texts = lines.filter("first").groupBy("host", "line", "doc").agg(F.first("around").alias("around"))
+    around = [] if spread is None else [F.count_distinct("around").alias("n_around")]
+    counts = texts.groupBy("host", "line").agg(F.count("*").alias("n_docs"), *around)
+    many = counts.filter(F.col("n_docs") > min_docs)
+    if spread is not None:
+        many = many.filter(F.col("n_around") > F.col("n_docs") * spread)
+    sizes = lines.filter("i = 0").select("host", "doc").distinct().groupBy("host").agg(
+        F.count("*").alias("docs"))
     return many.join(sizes, "host").filter(F.col("n_docs") > F.col("docs") * host_share).select(
         "host", "line", "n_docs")
 
@@ -144,7 +146,7 @@ def depleted_rows(lines: DataFrame, common: DataFrame, *, min_left_pct: int) ->
 
 def quality_rules(
     docs: DataFrame, *, host: str = "source", keep: Sequence[str] = (), min_docs: int = 20,
-    host_share: float = 0.01, spread: float = 0.5, min_words: int = 10,
+    host_share: float = 0.01, spread: float | None = None, min_words: int = 10,
     max_repeat_pct: int = 20, min_left_pct: int = 20,
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text`` and the host column).

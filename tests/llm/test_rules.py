@@ -109,6 +109,24 @@ def test_copies_are_not_boilerplate(spark):
     assert bad == {2000}
 
 
+def test_blocks_of_lines_are_boilerplate(spark):
+    """Inner and outer lines of a header and a footer count, also beside groups of exact copies."""
+    rng = random.Random(2)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    head, foot = [fresh(8) for _ in range(5)], [fresh(8) for _ in range(3)]
+    page = lambda body: "\n".join([*head, body, *foot])
+    rows = [(i, page(fresh(11)), "h") for i in range(60)]  # 11 words of their own beside 64
+    rows += [(1000 + i, page(fresh(40)), "h") for i in range(60)]
+    rows += [(2000 + i, "\n".join(x), "g") for x in [[fresh(9) for _ in range(4)]] for i in range(90)]
+    groups = [page(fresh(11)) for _ in range(30)]  # 30 texts, 5 copies each
+    rows += [(3000 + i, groups[i % 30], "k") for i in range(150)]
+    few = [page(fresh(11)) for _ in range(20)]  # as many texts as the limit allows
+    rows += [(4000 + i, few[i % 20], "m") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bad = {r.doc_id for r in quality_rules(df).filter("depleted").collect()}
+    assert bad == {*range(60), *range(3000, 3150)}
+
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
