@@ -19,8 +19,9 @@ from labweave.session import checkpoint
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules."""
-    return quality_rules(docs, keep=docs.columns).filter("kept").select(*docs.columns)
+    """Documents that pass the rules, without the lines that are frequent on their host."""
+    passed = quality_rules(docs, keep=docs.columns, trim=True).filter("kept")
+    return passed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Per document: word, symbol, repeated-line and repeated-window counts, which decide
 ``base_failed``. Across documents: lines are normalised (lower case, white space squeezed) and
 hashed; per host the distinct texts of a line are counted. A line above its host's limit is
-frequent, and a document left with too little is rejected.
+frequent and removed (``trim``), and a document left with too little is rejected.
 
 Exact copies of a text are no boilerplate: they count as one text, in a line's count as in its
 host's size, and are left to the near-duplicate operator. A block of lines that many different
@@ -84,29 +84,32 @@ def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: ``row, host, doc, n_words, i, line, words, around, first``.
+    """One row per line with a word: ``row, host, doc, n_words, i, no, line, words, around, first``.
 
+    ``i`` numbers these lines, ``no`` all lines of the text.
     ``line`` hashes the normalised line, ``around`` its two neighbours, ``doc`` the whole text;
     ``first`` marks a line's first place in its document, ``n_words`` counts the document's words.
     """
     texts = docs.select("row", "host", F.xxhash64("text").alias("doc"), F.transform(
-        F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)),
-        lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE, " ")))).alias("lines"))
-    lines = texts.select("row", "host", "doc", F.transform("lines", lambda x: F.struct(
-        F.xxhash64(x).alias("h"),
-        (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w"),
+        F.filter(F.transform(F.split("text", "\n"), lambda x, no: F.struct(
+            x.alias("x"), no.alias("no"))), lambda s: s["x"].rlike(WORD)),
+        lambda s: F.struct(F.lower(F.trim(F.regexp_replace(s["x"], SPACE, " "))).alias("x"),
+                           s["no"].alias("no"))).alias("lines"))
+    lines = texts.select("row", "host", "doc", F.transform("lines", lambda s: F.struct(
+        F.xxhash64(s["x"]).alias("h"), s["no"].alias("no"),
+        (F.length(s["x"]) - F.length(F.replace(s["x"], F.lit(" "), F.lit(""))) + 1).alias("w"),
     )).alias("lines"))
     placed = lines.select(
         "row", "host", "doc",
         F.aggregate("lines", F.lit(0), lambda s, x: s + x["w"]).alias("n_words"),
         F.sort_array(F.transform("lines", lambda x, i: F.struct(
-            x["h"].alias("line"), i.alias("i"), x["w"].alias("words"),
+            x["h"].alias("line"), i.alias("i"), x["no"].alias("no"), x["w"].alias("words"),
             F.xxhash64(F.get("lines", i - 1)["h"], F.get("lines", i + 1)["h"]).alias("around"),
         ))).alias("placed"))
     rows = placed.select("row", "host", "doc", "n_words", F.explode(F.zip_with(
         "placed", F.concat(F.array(F.lit(None).cast("bigint")), F.col("placed.line")),
         lambda a, b: F.when(a.isNotNull(), F.struct(
-            a["line"].alias("line"), a["i"].alias("i"), a["words"].alias("words"),
+            a["line"].alias("line"), a["i"].alias("i"), a["no"].alias("no"), a["words"].alias("words"),
             a["around"].alias("around"), (~a["line"].eqNullSafe(b)).alias("first"),
         )))).alias("x"))
     return rows.filter("x is not null").select("row", "host", "doc", "n_words", "x.*")
@@ -134,27 +137,35 @@ def frequent_lines(
         "host", "line", "n_docs")
 
 
-def depleted_rows(lines: DataFrame, common: DataFrame, *, min_left_pct: int) -> DataFrame:
-    """``row`` of documents that have too few of their words outside the ``common`` lines."""
+def cut_rows(lines: DataFrame, common: DataFrame, *, min_left_pct: int) -> DataFrame:
+    """``row, cut, hit`` of documents with ``common`` lines: the numbers of these lines, and whether
+    too few of the document's words are outside them."""
     gone = lines.join(common.select("host", "line"), ["host", "line"])
-    once = gone.groupBy("row", "i").agg(  # repeated rows collapse
+    once = gone.groupBy("row", "no").agg(  # repeated rows collapse
         F.max("words").alias("words"), F.max("n_words").alias("n_words"))
-    left = once.groupBy("row").agg(
-        (F.max("n_words") - F.sum("words")).alias("left"), F.max("n_words").alias("n_words"))
-    return left.filter(100 * F.col("left") < min_left_pct * F.col("n_words")).select("row")
+    return once.groupBy("row").agg(
+        F.collect_list("no").alias("cut"),
+        (100 * (F.max("n_words") - F.sum("words")) < min_left_pct * F.max("n_words")).alias("hit"))
+
+
+def without_lines(text: Column, cut: Column) -> Column:
+    """The text without the lines numbered in ``cut``, the others in order; all if it is null."""
+    return F.when(cut.isNull(), text).otherwise(F.array_join(F.filter(
+        F.split(text, "\n"), lambda x, no: ~F.array_contains(cut, no)), "\n"))
 
 
 def quality_rules(
     docs: DataFrame, *, host: str = "source", keep: Sequence[str] = (), min_docs: int = 20,
     host_share: float = 0.01, spread: float | None = None, min_words: int = 10,
-    max_repeat_pct: int = 20, min_left_pct: int = 20,
+    max_repeat_pct: int = 20, min_left_pct: int = 20, trim: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text`` and the host column).
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_pct`` percent of
     them in windows found twice. ``depleted``: without the frequent lines fewer than
     ``min_left_pct`` percent of the words are left (a short text with one shared line is none).
-    ``kept``: neither. Columns named in ``keep`` come first, as they are.
+    ``kept``: neither. Columns named in ``keep`` come first, as they are;
+    with ``trim`` a ``text`` among them comes without its frequent lines.
     """
     src = docs.select(
         *[F.col(c).alias(f"_keep_{c}") for c in keep],
@@ -163,15 +174,17 @@ def quality_rules(
         row_key(F.col("doc_id"), F.col(host), F.col("text")).alias("row"))
     lines = checkpoint(line_rows(src), "lines")
     common = frequent_lines(lines, min_docs=min_docs, host_share=host_share, spread=spread)
-    depleted = checkpoint(
-        depleted_rows(lines, common, min_left_pct=min_left_pct), "depleted")
-    if fits_broadcast(depleted):
-        depleted = F.broadcast(depleted)
+    cuts = cut_rows(lines, common, min_left_pct=min_left_pct)
+    cuts = checkpoint(cuts if trim else cuts.filter("hit").select("row", "hit"), "cuts")
+    if fits_broadcast(cuts):
+        cuts = F.broadcast(cuts)
     counted = with_counts(src, [*[f"_keep_{c}" for c in keep], "doc_id", "row"])
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
-    return counted.join(depleted.withColumn("hit", F.lit(True)), "row", "left").select(
-        *[F.col(f"_keep_{c}").alias(c) for c in keep], *([] if "doc_id" in keep else ["doc_id"]),
+    depleted = F.coalesce("hit", F.lit(False))
+    kept_text = lambda c: (
+        without_lines(F.col(f"_keep_{c}"), F.col("cut")) if trim and c == "text" else F.col(f"_keep_{c}"))
+    return counted.join(cuts, "row", "left").select(
+        *[kept_text(c).alias(c) for c in keep], *([] if "doc_id" in keep else ["doc_id"]),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), F.col("hit").isNotNull().alias("depleted"),
-        (~failed & F.col("hit").isNull()).alias("kept"))
+        failed.alias("base_failed"), depleted.alias("depleted"), (~failed & ~depleted).alias("kept"))

@@ -127,6 +127,30 @@ def test_blocks_of_lines_are_boilerplate(spark):
     assert bad == {*range(60), *range(3000, 3150)}
 
 
+def test_frequent_lines_are_taken_out(spark):
+    """The rest stays as it is and in order, here and in the pipeline's stage."""
+    from corpus_pipeline import quality_rules_stage
+
+    rng = random.Random(3)
+    fresh = lambda n: " ".join(f"W{rng.randrange(10**6)}" for _ in range(n))
+    rows, want = [], {}
+    for i in range(50):
+        own = [fresh(7), "", fresh(8), "  " + fresh(6)]
+        rows.append((i, "\n".join(["Home  About", own[0], "home about", *own[1:3], "\tImprint  ", own[3]]), "h", 0))
+        want[i] = "\n".join(own)
+    rows += [(100, "Home  About\n" + fresh(12), "g", 0), (101, None, "h", 0), (102, "Home About\nImprint", "h", 0)]
+    want[100] = rows[50][1]
+    rows.append(rows[0])
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    out = quality_rules_stage(spark, df, "")
+    assert out.schema.names == df.schema.names
+    got = out.collect()
+    assert len(got) == 52 and {r.doc_id: r.text for r in got} == want
+    assert all(r.n_chars == len(r.text) for r in got)
+    assert {r.doc_id: r.text for r in quality_rules(df, keep=df.columns).filter("kept").collect()} == {
+        r[0]: r[1] for r in rows if r[0] < 101}
+
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
