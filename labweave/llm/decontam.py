@@ -11,8 +11,9 @@ are searched backwards at once; each row of a found range is walked to a sampled
 positions become (document, word) spans, which are merged. Nothing is moved between tasks: the
 work is one pass over the documents, each in its own task, and a lost task is repeated alone.
 
-The phrases are broadcast in blocks of at most ``max_chars`` characters, measured beforehand;
-each block is one pass, and the passes' spans are merged per document.
+The phrases are broadcast in blocks of about ``max_chars`` characters, measured beforehand; each
+block is fetched alone and is one pass over the same texts, whose finds are landed and merged per
+document, so the number of blocks does not change the result.
 
 Null or empty texts have no words, no hits and are not contaminated; items without words or
 without an id match nothing; repeated items count once; repeated documents each get their row;
@@ -30,10 +31,12 @@ from string import ascii_lowercase, ascii_uppercase
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from labweave.llm.common import in_arrow, row_key
+from labweave.session import checkpoint
 
 #: Characters of documents per shard, and of benchmark items per pass.
 SHARD_CHARS = 12_000_000
@@ -235,15 +238,19 @@ _FOUND = pa.schema([
 _FOUND_SQL = "n_words long, spans array<array<int>>, items array<string>"
 
 
-def item_blocks(items: DataFrame, max_chars: int) -> Iterator[list[tuple[str, str]]]:
-    """The items' (id as text, text) in blocks of about ``max_chars`` characters; one at least."""
+def item_blocks(items: DataFrame, max_chars: int) -> list[DataFrame]:
+    """The items' (id as text, text) as tables of about ``max_chars`` characters; one at least."""
     named = items.select(F.col("item_id").cast("string").alias("name"), "text").filter(
         "name is not null and text is not null").distinct()
     chars = named.agg(F.coalesce(F.sum(F.length("text") + 20), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // max_chars))
-    for k in range(blocks):
-        part = named.filter(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k)
-        yield [tuple(r) for r in part.collect()]
+    return [named.filter(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k)
+            for k in range(blocks)]
+
+
+def _phrases(block: DataFrame, window: int) -> Broadcast:
+    items = (tuple(r) for r in block.collect())
+    return block.sparkSession.sparkContext.broadcast(Phrases(items, window))
 
 
 def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
@@ -258,11 +265,8 @@ def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch
         yield held
 
 
-def _pass(
-    docs: DataFrame, items: list[tuple[str, str]], window: int, out: Sequence[str]
-) -> DataFrame:
+def _pass(docs: DataFrame, phrases: Broadcast, out: Sequence[str]) -> DataFrame:
     """``out`` columns of ``docs`` with n_words, spans and items, shard by shard in each task."""
-    phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = ([], ())
@@ -288,6 +292,17 @@ def _merged(spans: pd.Series) -> pd.Series:
     return spans.map(lambda s: [list(x) for x in merge_spans(s)])
 
 
+def _landed(src: DataFrame, blocks: Iterable[DataFrame], window: int) -> DataFrame:
+    """``row, spans, items`` of each row and block with finds; one block is held at a time."""
+    parts = []
+    for block in blocks:
+        phrases = _phrases(block, window)
+        found = _pass(src, phrases, ["row"]).filter(F.size("items") > 0).select("row", "spans", "items")
+        parts.append(checkpoint(found, "spans"))
+        phrases.destroy()
+    return reduce(DataFrame.unionByName, parts)
+
+
 def find_items(
     docs: DataFrame, items: DataFrame, *, window: int = 10, max_chars: int = MAX_CHARS,
     keep: Sequence[str] = ("doc_id",),
@@ -296,16 +311,15 @@ def find_items(
     word intervals covered by windows) and ``items`` (their ids as text, sorted)."""
     src = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], "text")
     out = [f"keep_{c}" for c in keep]
-    blocks = list(item_blocks(items, max_chars))
-    if len(blocks) == 1:
-        found = _pass(src, blocks[0], window, out)
+    *others, last = item_blocks(items, max_chars)
+    if not others:
+        found = _pass(src, _phrases(last, window), out)
     else:  # several passes; what each found is gathered by row, a small array a pass
         src = src.withColumn("row", row_key(*[F.col(c) for c in src.columns]))
-        found = _pass(src, blocks[0], window, [*out, "row"])
-        others = [_pass(src, b, window, ["row"]) for b in blocks[1:]]
-        more = reduce(DataFrame.unionByName, others).filter(F.size("items") > 0).groupBy(
-            "row").agg(F.flatten(F.collect_set("spans")).alias("more_spans"),
-                       F.flatten(F.collect_set("items")).alias("more_items"))
+        more = _landed(src, others, window).groupBy("row").agg(
+            F.flatten(F.collect_set("spans")).alias("more_spans"),
+            F.flatten(F.collect_set("items")).alias("more_items"))
+        found = _pass(src, _phrases(last, window), [*out, "row"])
         both = lambda a, b: F.coalesce(F.concat(a, b), F.col(a))
         found = found.join(more, "row", "left").select(
             *out, "n_words", _merged(both("spans", "more_spans")).alias("spans"),
@@ -342,18 +356,38 @@ def clean_text(text: str, phrases: Phrases) -> str:
     return text
 
 
+@F.pandas_udf(StringType())
+def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([without_spans(t, s) for t, s in zip(text, spans)], dtype=object)
+
+
 def remove_items(
     docs: DataFrame, items: DataFrame, *, window: int = 10, max_chars: int = MAX_CHARS
 ) -> DataFrame:
     """All rows and columns of ``docs``, with every word inside an occurrence of a window taken
-    out of ``text``."""
-    for block in item_blocks(items, max_chars):
-        docs = _cut_pass(docs, block, window)
-    return docs
-
-
-def _cut_pass(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
-    phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
+    out of ``text``, also those that a removal brings together."""
+    blocks = item_blocks(items, max_chars)
+    if len(blocks) == 1:
+        return _cut_pass(docs, _phrases(blocks[0], window))
+    keyed = docs.withColumn("row", row_key(*[F.col(c) for c in docs.columns]))
+    texts, rounds = keyed.select("row", "text"), []
+    while True:  # the spans of all blocks are cut at once; only changed texts are searched again
+        found = _landed(texts, blocks, window).groupBy("row").agg(
+            F.flatten(F.collect_set("spans")).alias("spans"))
+        texts = checkpoint(texts.dropDuplicates(["row"]).join(found, "row").select(
+            "row", _cut("text", "spans").alias("text")), "cut")
+        if texts.isEmpty():
+            break
+        rounds.append(texts.withColumn("round", F.lit(len(rounds))))
+    if not rounds:
+        return docs
+    cut = reduce(DataFrame.unionByName, rounds).groupBy("row").agg(
+        F.max_by("text", "round").alias("cut"))
+    return keyed.join(cut, "row", "left").withColumn("text", F.coalesce("cut", "text")).select(
+        *docs.columns)
+
+
+def _cut_pass(docs: DataFrame, phrases: Broadcast) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

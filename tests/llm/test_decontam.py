@@ -102,6 +102,22 @@ def test_removal_leaves_nothing(spark, max_chars):
     assert {r.text for r in cut.filter("doc_id = 1").collect()} == {"Start. , end"}
 
 
+def test_blocks_do_not_change_the_result(spark):
+    """Overlapping windows of two blocks, and phrases that the other block's removal joins."""
+    run = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    a, b, p = run(1, 11), run(6, 16), run(50, 60)
+    docs = spark.createDataFrame(
+        [(1, f"x {run(1, 16)} y"), (2, f"x {run(1, 6)} {p} {run(6, 11)} y"),
+         (3, f"x {run(50, 55)} {a} {run(55, 60)} y"), (4, "clean"), (5, None), (1, f"x {run(1, 16)} y")],
+        "doc_id long, text string")
+    items = spark.createDataFrame([(10, a), (11, b), (12, p)], "item_id long, text string")
+    for max_chars in (10**6, 70, 30):
+        got = sorted((r.doc_id, r.text and r.text.split()) for r in
+                     remove_items(docs, items, max_chars=max_chars).collect() if r.text)
+        assert got == [(1, ["x", "y"]), (1, ["x", "y"]), (2, ["x", "y"]), (3, ["x", "y"]), (4, ["clean"])]
+        assert remove_items(docs, items, max_chars=max_chars).count() == 6
+
+
 def test_removal_closes_a_gap():
     phrases = Phrases([("1", "a b c")], 10)
     assert clean_text("x a a b c b c y", phrases).split() == ["x", "y"]
