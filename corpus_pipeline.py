@@ -37,9 +37,11 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages; one that was nothing else is gone."""
-    clean = remove_items(docs, table(spark, sf_dir, "benchmark"))
+    marked = docs.withColumn("was", F.xxhash64("text"))
+    clean = remove_items(marked, table(spark, sf_dir, "benchmark"))
     return clean.withColumn("n_chars", F.length("text").cast("long")).filter(
-        F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select(*docs.columns)
+        (F.xxhash64("text") == F.col("was"))
+        | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select(*docs.columns)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

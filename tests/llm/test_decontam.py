@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from labweave.llm.decontam import (
     Phrases, ShardIndex, clean_text, digest, find_in_shard, find_items, merge_spans, remove_items,
@@ -118,6 +119,17 @@ def test_blocks_do_not_change_the_result(spark):
         assert remove_items(docs, items, max_chars=max_chars).count() == 6
 
 
+def test_only_emptied_texts_are_dropped(spark, tmp_path):
+    from corpus_pipeline import decontamination_stage
+
+    phrase = " ".join(f"w{i}" for i in range(10))
+    spark.createDataFrame([(1, phrase)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(
+        [(1, "... !!! ??? --- *** ///"), (2, f"- {phrase} -"), (3, f"a {phrase}"), (4, "clean")], "doc_id long, text string")
+    out = decontamination_stage(spark, docs.withColumn("n_chars", F.length("text").cast("long")), str(tmp_path))
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "... !!! ??? --- *** ///", 3: "a ", 4: "clean"}
+
+
 def test_removal_closes_a_gap():
     phrases = Phrases([("1", "a b c")], 10)
     assert clean_text("x a a b c b c y", phrases).split() == ["x", "y"]
