@@ -634,3 +634,11 @@ ORACLE["streamed_error_rate"] = """SELECT date_trunc('hour', ts) AS window_start
     FROM events GROUP BY ALL"""
 ORACLE["streamed_ingest"] = sql(PIPELINE, """SELECT clinic_id, record_type, count(*) AS n FROM records
     GROUP BY ALL""")
+# The second batch holds all files, so the readable ones of the first come again as copies.
+ORACLE["streamed_stats"] = f"""SELECT s.clinic_id, s.files_seen + f.seen AS files_seen,
+    s.files_failed + f.failed AS files_failed,
+    s.duplicates_suppressed + f.seen - f.failed AS duplicates_suppressed, rows_loaded,
+    unresolved_test_names, invalid_rows, outlier_rows, within_report_duplicate_rows
+    FROM ({ORACLE["clinic_stats"]}) s JOIN ({sql(FILES, """SELECT clinic_id,
+      count(*) FILTER (doc_no < 1000) AS seen, count(reason) FILTER (doc_no < 1000) AS failed
+      FROM paths GROUP BY clinic_id""")}) f USING (clinic_id)"""

@@ -761,10 +761,8 @@ def streamed_error_rate(spark, sf):
         "window_start", "seen", "failed", F.round("error_rate", 6).alias("error_rate"))
 
 
-@query
-def streamed_ingest(spark, sf):
-    """Report files streamed in micro-batches; copies of anything kept before are suppressed
-    and rows are upserted by id."""
+def _streamed(spark, sf) -> str:
+    """Folder of the tables that a stream of two micro-batches wrote."""
     base = scratch_path(spark, "ingest")
     files = report_files(spark, sf)
     d = dims(spark)
@@ -778,5 +776,18 @@ def streamed_ingest(spark, sf):
         ).foreachBatch(
             lambda df, i: ingest.ingest_batch(df, i, d, f"{base}/out")
         ).start().awaitTermination()
-    return sinks.read_table(spark, f"{base}/out/records").groupBy("clinic_id", "record_type").agg(
+    return f"{base}/out"
+
+
+@query
+def streamed_ingest(spark, sf):
+    """Report files streamed in micro-batches; copies of anything kept before are suppressed
+    and rows are upserted by id."""
+    return sinks.read_table(spark, f"{_streamed(spark, sf)}/records").groupBy("clinic_id", "record_type").agg(
         F.count("*").alias("n"))
+
+
+@query
+def streamed_stats(spark, sf):
+    """Statistics by source after two micro-batches, of which the second repeats the first's files."""
+    return sinks.read_table(spark, f"{_streamed(spark, sf)}/clinic_stats").drop("key_bucket")

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from labweave.operators import sinks
 from labweave.operators.dedup import greedy_kept, split_by_kept, suppressed_rows
-from labweave.operators.stats import clinic_stats, run_summary
+from labweave.operators.stats import FILE_COUNTS, ROW_COUNTS, clinic_stats, run_summary
 from labweave.plans.pipeline import RunResult, standardise, unresolved_errors, write_result
 from labweave.session import checkpoint, configure, scratch_scope
 from labweave.sources.config import Dims
@@ -24,6 +24,15 @@ def kept_keys(spark: SparkSession, out: str, before_batch: int) -> DataFrame | N
     return None if seen is None else seen.filter(F.col("batch_id") < before_batch)
 
 
+def stream_stats(spark: SparkSession, out: str, batch: DataFrame, batch_id: int) -> DataFrame:
+    """Counts per clinic over all batches. Each batch's own counts lie under its number, so a
+    replayed batch replaces them and counts once."""
+    path = f"{out}/clinic_stats_batches"
+    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return spark.read.schema(batch.schema).parquet(path).groupBy("clinic_id").agg(
+        *[F.sum(c).alias(c) for c in FILE_COUNTS + ROW_COUNTS])
+
+
 def ingest_batch(files: DataFrame, batch_id: int, dims: Dims, out: str) -> None:
     """One micro-batch: parse, suppress copies of anything kept so far, standardise, and write what
     a batch run writes, under the batch's number. Its scratch tables go at the end."""
@@ -40,7 +49,7 @@ def ingest_batch(files: DataFrame, batch_id: int, dims: Dims, out: str) -> None:
         write_result(RunResult(
             run_id=f"batch-{batch_id}", documents=docs, suppressed=suppressed, rows=rows,
             errors=file_errors(parsed).unionByName(errors).unionByName(unresolved_errors(rows)),
-            stats=clinic_stats(parsed, suppressed, rows),
+            stats=stream_stats(spark, out, clinic_stats(parsed, suppressed, rows), batch_id),
             summary=run_summary(parsed, suppressed, rows, rows.select("id").distinct()),
         ), out, started=started)
         per_batch = {

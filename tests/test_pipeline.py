@@ -253,6 +253,23 @@ def test_replaying_a_batch_changes_nothing(spark, world):
     assert sinks.read_table(spark, f"{out}/runs").count() == 1
 
 
+def test_stream_statistics_add_up(spark, world):
+    """A source in two batches has the counts of both, also when one is replayed."""
+    out = str(world["root"] / "stats")
+    dims = dims_from_folder(spark, world["config"])
+    files = read_files(spark, world["in"])
+    for batch_id in (0, 1, 1):
+        ingest.ingest_batch(files, batch_id, dims, out)
+    once = {r.clinic_id: r for r in world["result"].stats.collect()}
+    got = sinks.read_table(spark, f"{out}/clinic_stats").collect()
+    assert len(got) == len(once)
+    for r in got:
+        one = once[r.clinic_id]
+        assert (r.files_seen, r.files_failed) == (2 * one.files_seen, 2 * one.files_failed)
+        assert r.duplicates_suppressed == one.duplicates_suppressed + one.files_seen - one.files_failed
+        assert r.rows_loaded == one.rows_loaded and r.outlier_rows == one.outlier_rows
+
+
 def test_rolling_error_rate(spark):
     df = spark.sql("""select * from values (timestamp'2024-01-01 00:10:00', true),
         (timestamp'2024-01-01 00:50:00', false), (timestamp'2024-01-01 01:10:00', false) t(ts, bad)""")
