@@ -15,7 +15,8 @@ from labweave.llm.page_text import extract_text
 from labweave.llm.pieces import encode_texts
 from labweave.llm.quality_classifier import classify
 from labweave.llm.shards import shard_rows
-from labweave.llm.token_counts import token_counts
+from labweave.llm.token_alignment import align_tokens
+from labweave.llm.token_counts import PATTERN as BYTE_PATTERN, token_counts
 from labweave.llm.url_rules import judge_urls
 
 #: Folder of the public vocabularies.
@@ -82,6 +83,12 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op12_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(
+        table(spark, sf_dir, "documents"), TOKENIZERS + "/byte_bpe_50k.json",
+        TOKENIZERS + "/piece_bpe_32k.model", pattern=BYTE_PATTERN)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations")).drop("x1", "x2")
 
@@ -97,6 +104,7 @@ QUERIES = {
     "op8_ring_shards": op8_ring_shards,
     "op9_shared_prefix": op9_shared_prefix,
     "op10_url_rules": op10_url_rules,
+    "op12_shared_cuts": op12_shared_cuts,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
