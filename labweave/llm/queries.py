@@ -15,6 +15,7 @@ from labweave.llm.page_text import extract_text
 from labweave.llm.pieces import encode_texts
 from labweave.llm.quality_classifier import classify
 from labweave.llm.shards import shard_rows
+from labweave.llm.simhash_cover import simhash_components
 from labweave.llm.token_alignment import align_tokens
 from labweave.llm.token_counts import PATTERN as BYTE_PATTERN, token_counts
 from labweave.llm.url_rules import judge_urls
@@ -83,6 +84,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_anchor_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op12_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(
         table(spark, sf_dir, "documents"), TOKENIZERS + "/byte_bpe_50k.json",
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_ring_shards": op8_ring_shards,
     "op9_shared_prefix": op9_shared_prefix,
     "op10_url_rules": op10_url_rules,
+    "op11_anchor_cover": op11_anchor_cover,
     "op12_shared_cuts": op12_shared_cuts,
     "op13_conversation_trie": op13_conversation_trie,
 }
