@@ -642,3 +642,7 @@ ORACLE["streamed_stats"] = f"""SELECT s.clinic_id, s.files_seen + f.seen AS file
     FROM ({ORACLE["clinic_stats"]}) s JOIN ({sql(FILES, """SELECT clinic_id,
       count(*) FILTER (doc_no < 1000) AS seen, count(reason) FILTER (doc_no < 1000) AS failed
       FROM paths GROUP BY clinic_id""")}) f USING (clinic_id)"""
+ORACLE["streamed_dead_letters"] = sql([*PIPELINE, ERRORS], """SELECT clinic_id, stage, reason, count(*) AS n,
+    count(DISTINCT batch) AS batches FROM (SELECT e.clinic_id, e.stage, e.reason, unnest(
+      CASE WHEN p.doc_no >= 1000 THEN [1] WHEN e.stage = 'ingestion' THEN [0, 1] ELSE [0] END) AS batch
+      FROM errors e JOIN paths p USING (file_path)) GROUP BY ALL""")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.inputs import dims, raw_results, report_files, table
 from labweave import functions as fn
-from labweave.operators import dedup, mapping, matching, measures, sinks, stats
+from labweave.operators import dedup, mapping, matching, measures, sinks, snapshots, stats
 from labweave.plans import pipeline, reports
 from labweave.session import scratch_path
 from labweave.sources.config import Dims, alias_pool, small
@@ -491,7 +491,7 @@ def upsert_merge(spark, sf):
 
 @query
 def upsert_table(spark, sf):
-    """The same through the bucketed table, the second batch loaded twice."""
+    """The same through deltas that are merged on reading, the second batch loaded twice."""
     path = scratch_path(spark, "upsert")
     first, later = _order_halves(spark, sf)
     for batch in (first, later, later):
@@ -544,6 +544,19 @@ def _records(spark, sf) -> DataFrame:
     return pipeline.load_rows(_run(spark, sf).rows)
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def _written(spark, sf) -> str:
+    """Folder of the tables of that run, published as one snapshot."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _WRITTEN:
+        out = scratch_path(spark, "tables")
+        pipeline.write_result(_run(spark, sf), out)
+        _WRITTEN[key] = out
+    return _WRITTEN[key]
+
+
 @query
 def stored_records(spark, sf):
     """Files to stored rows: parse, suppress, map, match, measure, flag, collapse by id."""
@@ -577,8 +590,8 @@ def stats_upsert(spark, sf):
     """Statistics by source written twice and read back: still a row per source."""
     path = scratch_path(spark, "stats")
     for _ in range(2):
-        sinks.upsert_parquet(_run(spark, sf).stats, path, ["clinic_id"], buckets=1)
-    return sinks.read_table(spark, path).drop("key_bucket")
+        sinks.upsert_parquet(_run(spark, sf).stats, path, ["clinic_id"])
+    return sinks.read_table(spark, path)
 
 
 @query
@@ -586,8 +599,8 @@ def run_log(spark, sf):
     """The run's log row written twice under one run id and read back."""
     path = scratch_path(spark, "runs")
     for _ in range(2):
-        sinks.upsert_parquet(pipeline.run_log(_run(spark, sf)), path, ["run_id"], buckets=1)
-    return sinks.read_table(spark, path).drop("key_bucket", "run_id", "started_at", "finished_at")
+        sinks.upsert_parquet(pipeline.run_log(_run(spark, sf)), path, ["run_id"])
+    return sinks.read_table(spark, path).drop("run_id", "started_at", "finished_at")
 
 
 @query
@@ -646,12 +659,11 @@ def record_search(spark, sf):
 
 @query
 def record_detail(spark, sf):
-    """All rows of the largest document beside its raw body."""
-    records = _records(spark, sf)
-    run = _run(spark, sf)
+    """All rows of the largest document beside its raw body, looked up in the published tables."""
+    records = snapshots.read(spark, _written(spark, sf), "records")
+    audit = snapshots.read(spark, _written(spark, sf), "audit")
     top = records.groupBy("document_id").agg(F.count("*").alias("n")).orderBy(
         F.desc("n"), "document_id").first()
-    audit = sinks.audit_rows(run.documents, run.rows)
     return reports.record_detail(records, audit, top["document_id"]).select(
         "document_id", "record_type", "page_number", "id",
         F.contains("raw_json", F.col("document_id")).alias("raw_found"))
@@ -761,8 +773,18 @@ def streamed_error_rate(spark, sf):
         "window_start", "seen", "failed", F.round("error_rate", 6).alias("error_rate"))
 
 
+_STREAMS: dict[tuple[str, str], str] = {}
+
+
 def _streamed(spark, sf) -> str:
     """Folder of the tables that a stream of two micro-batches wrote."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STREAMS:
+        _STREAMS[key] = _stream(spark, sf)
+    return _STREAMS[key]
+
+
+def _stream(spark, sf) -> str:
     base = scratch_path(spark, "ingest")
     files = report_files(spark, sf)
     d = dims(spark)
@@ -790,4 +812,11 @@ def streamed_ingest(spark, sf):
 @query
 def streamed_stats(spark, sf):
     """Statistics by source after two micro-batches, of which the second repeats the first's files."""
-    return sinks.read_table(spark, f"{_streamed(spark, sf)}/clinic_stats").drop("key_bucket")
+    return pipeline.stored_stats(spark, _streamed(spark, sf))
+
+
+@query
+def streamed_dead_letters(spark, sf):
+    """Dead letters of both micro-batches: a bad file that comes again has one in each."""
+    return sinks.error_log(spark, f"{_streamed(spark, sf)}/dead_letter").groupBy(
+        "clinic_id", "stage", "reason").agg(F.count("*").alias("n"), F.countDistinct("run").alias("batches"))

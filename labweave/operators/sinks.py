@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BUCKETS = 64
+from labweave.operators import snapshots
+
+ERROR_COLUMNS = ["file_path", "clinic_id", "stage", "reason", "detail", "occurred_at"]
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -17,72 +18,55 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return stay.select(*target.columns).unionByName(batch, allowMissingColumns=True)
 
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """A table written by :func:`upsert_parquet`, null columns where older files lack one.
-    None while nothing has been written. A known ``schema`` saves reading every footer."""
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def _place(spark: SparkSession, path: str) -> tuple[str, str]:
+    """A table of a run's folder, or else a folder of its own with one table."""
+    root, _, table = path.rstrip("/").rpartition("/")
+    return (root, table) if table in snapshots.snapshot(spark, root).tables else (path, "data")
 
 
-def _by_bucket(df: DataFrame):
-    """Writer with a bucket's rows together; AQE cuts large buckets and joins small ones."""
-    return df.hint("rebalance", "key_bucket").write
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table written as deltas, null columns where older ones lack them. None while nothing has
+    been published."""
+    return snapshots.read(spark, *_place(spark, path))
 
 
 def upsert_parquet(
-    batch: DataFrame, path: str, keys: Sequence[str], *, buckets: int = BUCKETS,
-    reset: bool = False,
+    batch: DataFrame, path: str, keys: Sequence[str], *, by: Sequence[str] = (),
+    lookup: Sequence[str] = (), run: str | None = None, reset: bool = False,
 ) -> None:
-    """Upsert ``batch`` (one row per key) into a Parquet table laid out by key bucket.
+    """Upsert ``batch`` (one row per key) into the table at ``path`` as a delta of its own.
 
-    A key always lives in one bucket, so only the buckets the batch touches are read and
-    rewritten, and running the same batch again changes nothing. ``reset`` starts from
-    empty. Where the catalog has row-level merge, use :func:`merge_into_table` instead.
+    Only the batch's rows are written; running it again changes nothing that a reader sees.
+    ``reset`` starts from empty.
     """
     spark = batch.sparkSession
-    batch = batch.withColumn(
-        "key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    target = None if reset else read_table(spark, path)
-    if target is None:
-        _by_bucket(batch).mode("overwrite").partitionBy("key_bucket").parquet(path)
-        return
-    # At most `buckets` small integers: they become a partition filter on the target.
-    touched = [r[0] for r in batch.select("key_bucket").distinct().collect()]
-    if not touched:
-        return
-    merged = upsert(target.filter(F.col("key_bucket").isin(touched)), batch, keys)
-    _by_bucket(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "key_bucket").parquet(path)
-
-
-def merge_into_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """The same upsert as a MERGE, for catalogs whose tables support it."""
-    on = [F.col(f"batch.{k}") == F.col(f"{table}.{k}") for k in keys]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    batch.alias("batch").mergeInto(table, cond).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    root, table = _place(spark, path)
+    run = run or f"batch-{snapshots.snapshot(spark, root).number}"
+    delta = snapshots.write_delta(batch, root, table, run=run, keys=keys, by=by, lookup=lookup)
+    snapshots.publish(spark, root, [delta], run=run, reset=reset)
+    snapshots.fold(spark, root, table)
 
 
 def append_errors(errors: DataFrame, path: str, *, run_id: str, reset: bool = False) -> None:
-    """Dead letters of one run or batch as JSON lines in a folder of its own, so that writing them
-    again replaces them."""
-    mode = "static" if reset else "dynamic"
-    errors.withColumn("run", F.lit(run_id)).write.mode("overwrite").option(
-        "partitionOverwriteMode", mode).partitionBy("run").json(path)
+    """Dead letters of one run or batch; writing them again replaces them."""
+    spark = errors.sparkSession
+    root, table = _place(spark, path)
+    delta = snapshots.write_delta(error_delta(errors, run_id), root, table, run=run_id)
+    snapshots.publish(spark, root, [delta], run=run_id, reset=reset)
+
+
+def error_delta(errors: DataFrame, run_id: str) -> DataFrame:
+    return errors.select(*ERROR_COLUMNS, F.lit(run_id).alias("run"))
 
 
 def error_log(spark: SparkSession, path: str) -> DataFrame:
     """The dead letters of all runs and batches."""
-    return spark.read.schema(
-        "file_path string, clinic_id string, stage string, reason string, detail string, "
-        "occurred_at timestamp, run string"
-    ).json(path)
+    found = read_table(spark, path)
+    if found is not None:
+        return found
+    return spark.createDataFrame(
+        [], "file_path string, clinic_id string, stage string, reason string, detail string, "
+            "occurred_at timestamp, run string")
 
 
 def audit_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
@@ -101,8 +85,3 @@ def audit_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
         F.coalesce("document_id", "file_path").alias("document_id"), "clinic_id",
         "file_path", F.col("body").alias("raw"),
     ).join(per_file, "file_path", "left").withColumnRenamed("file_path", "source_file")
-
-
-def write_audit(audit: DataFrame, path: str, *, reset: bool = False) -> None:
-    """Audit rows, a document's later version replacing its earlier one."""
-    upsert_parquet(audit, path, ["source_file"], reset=reset)

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from labweave.functions.hashing import row_id
 from labweave.functions.numbers import number_text
-from labweave.operators import mapping, sinks
+from labweave.operators import mapping, sinks, snapshots
 from labweave.operators.dedup import dedup_documents, flag_repeats, keep_first, suppressed_rows
 from labweave.operators.matching import UNRESOLVED, UNRESOLVED_METHOD, match_names
 from labweave.operators.measures import measure
 from labweave.operators.skew import HOT_ROWS
-from labweave.operators.stats import clinic_stats, run_summary
+from labweave.operators.stats import FILE_COUNTS, ROW_COUNTS, clinic_stats, run_summary
 from labweave.session import checkpoint, configure
 from labweave.sources.config import Dims, dims_from_folder
 from labweave.sources.files import (
@@ -144,9 +144,9 @@ def process(files: DataFrame, dims: Dims, *, dedup: bool = True, hot_rows: int =
 
 def run(spark: SparkSession, root: str, config: str | Dims, out: str, *, dedup: bool = True,
         reset: bool = False, run_id: str | None = None, **options) -> RunResult:
-    """One batch over a report folder, written to ``out``: ``records`` (upsert by id),
-    ``clinic_stats`` and ``runs`` (upsert), ``dead_letter`` (by run) and ``audit``. A run repeated
-    after a failure under the same ``run_id`` replaces what it wrote."""
+    """One batch over a report folder, written to ``out``: ``records`` (upsert by id), ``clinic_stats``
+    (by source and run), ``runs``, ``dead_letter``, ``audit`` and ``suppressed``, visible together. A run
+    repeated under the same ``run_id`` replaces what it wrote."""
     configure(spark)
     started = spark.sql("select now()").first()[0]
     dims = config if isinstance(config, Dims) else dims_from_folder(spark, config)
@@ -164,10 +164,47 @@ def run_log(result: RunResult, started=None) -> DataFrame:
         F.current_timestamp().alias("finished_at"), "*")
 
 
-def write_result(result: RunResult, out: str, *, reset: bool = False, started=None) -> None:
-    sinks.upsert_parquet(load_rows(result.rows), f"{out}/records", ["id"], reset=reset)
-    sinks.upsert_parquet(result.stats, f"{out}/clinic_stats", ["clinic_id"], buckets=1, reset=reset)
-    sinks.append_errors(result.errors, f"{out}/dead_letter", run_id=result.run_id, reset=reset)
-    sinks.write_audit(sinks.audit_rows(result.documents, result.rows), f"{out}/audit", reset=reset)
-    sinks.upsert_parquet(
-        run_log(result, started), f"{out}/runs", ["run_id"], buckets=1, reset=reset)
+#: Per table: its keys, its folders, and the columns its rows are looked up by.
+LAYOUT = {
+    "records": (["id"], ["clinic_id", "date_str"], ["document_id"]),
+    "clinic_stats": (["clinic_id", "run"], [], []),
+    "dead_letter": ([], [], []),
+    "audit": (["source_file"], ["clinic_id"], ["document_id"]),
+    "runs": (["run_id"], [], []),
+    "suppressed": (["file_path", "run"], [], []),
+    "kept_keys": ([], [], []),
+}
+
+
+def write_result(
+    result: RunResult, out: str, *, reset: bool = False, started=None, number: int | None = None,
+    writer: str | None = None, more: dict[str, DataFrame] | None = None,
+) -> bool:
+    """Write all tables of a run and make them visible together; a failure ahead of that leaves the
+    former state everywhere. ``writer`` and ``number`` name a numbered batch, which counts once."""
+    spark, run_id = result.rows.sparkSession, result.run_id
+    tables = {
+        "records": load_rows(result.rows),
+        "clinic_stats": result.stats.withColumn("run", F.lit(run_id)),
+        "dead_letter": sinks.error_delta(result.errors, run_id),
+        "audit": sinks.audit_rows(result.documents, result.rows),
+        "runs": run_log(result, started),
+        "suppressed": result.suppressed.withColumn("run", F.lit(run_id)),
+        **(more or {}),
+    }
+    deltas = []
+    for name, df in tables.items():
+        keys, by, lookup = LAYOUT[name]
+        deltas.append(snapshots.write_delta(
+            df, out, name, run=run_id, keys=keys, by=by, lookup=lookup))
+    shown = snapshots.publish(spark, out, deltas, run=writer or run_id, number=number, reset=reset)
+    for name in tables:
+        snapshots.fold(spark, out, name)
+    return shown
+
+
+def stored_stats(spark: SparkSession, out: str) -> DataFrame | None:
+    """Counts per source over all runs and batches whose tables are at ``out``."""
+    found = sinks.read_table(spark, f"{out}/clinic_stats")
+    return None if found is None else found.groupBy("clinic_id").agg(
+        *[F.sum(c).alias(c) for c in FILE_COUNTS + ROW_COUNTS])

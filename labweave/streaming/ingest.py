@@ -1,7 +1,7 @@
 """Continuous ingest with Structured Streaming.
 
-Each micro-batch runs the batch plan. Every write is keyed by content or by batch id, so a
-batch that is replayed after a failure leaves the same tables.
+Each micro-batch runs the batch plan and publishes its tables as one snapshot under its number, so
+a batch that is replayed after a failure leaves the same tables.
 """
 
 from __future__ import annotations
@@ -9,57 +9,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from labweave.operators import sinks
+from labweave.operators import sinks, snapshots
 from labweave.operators.dedup import greedy_kept, split_by_kept, suppressed_rows
-from labweave.operators.stats import FILE_COUNTS, ROW_COUNTS, clinic_stats, run_summary
+from labweave.operators.stats import clinic_stats, run_summary
 from labweave.plans.pipeline import RunResult, standardise, unresolved_errors, write_result
 from labweave.session import checkpoint, configure, scratch_scope
 from labweave.sources.config import Dims
 from labweave.sources.files import file_errors, good_documents, parse_documents, read_files
 
 
-def kept_keys(spark: SparkSession, out: str, before_batch: int) -> DataFrame | None:
-    """``k, h`` of documents kept by earlier batches."""
-    seen = sinks.read_table(spark, f"{out}/kept_keys", "k string, h string, batch_id long")
-    return None if seen is None else seen.filter(F.col("batch_id") < before_batch)
+def kept_keys(spark: SparkSession, out: str) -> DataFrame | None:
+    """``k, h`` of documents kept by the batches published so far."""
+    seen = sinks.read_table(spark, f"{out}/kept_keys")
+    return None if seen is None else seen.select("k", "h")
 
 
-def stream_stats(spark: SparkSession, out: str, batch: DataFrame, batch_id: int) -> DataFrame:
-    """Counts per clinic over all batches. Each batch's own counts lie under its number, so a
-    replayed batch replaces them and counts once."""
-    path = f"{out}/clinic_stats_batches"
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    return spark.read.schema(batch.schema).parquet(path).groupBy("clinic_id").agg(
-        *[F.sum(c).alias(c) for c in FILE_COUNTS + ROW_COUNTS])
-
-
-def ingest_batch(files: DataFrame, batch_id: int, dims: Dims, out: str) -> None:
-    """One micro-batch: parse, suppress copies of anything kept so far, standardise, and write what
-    a batch run writes, under the batch's number. Its scratch tables go at the end."""
+def ingest_batch(files: DataFrame, batch_id: int, dims: Dims, out: str, *, stream: str = "stream") -> None:
+    """One micro-batch: parse, suppress copies of anything kept so far, standardise, and publish what
+    a batch run writes, with the batch's kept keys, as one snapshot. A batch that was published before
+    a failure is left as it is. Its scratch tables go at the end."""
     spark = files.sparkSession
+    if batch_id <= snapshots.snapshot(spark, out).numbered.get(stream, -1):
+        return
     started = spark.sql("select now()").first()[0]
     with scratch_scope(spark):
         parsed = checkpoint(parse_documents(files, dims.clinic), "documents")
         good = good_documents(parsed)
-        kept = checkpoint(greedy_kept(good, seen=kept_keys(spark, out, batch_id)), "kept")
+        kept = checkpoint(greedy_kept(good, seen=kept_keys(spark, out)), "kept")
         docs, dropped = split_by_kept(good, kept, "path_parts")
         rows, errors = standardise(docs, dims)
         rows = checkpoint(rows, "rows")
         suppressed = suppressed_rows(dropped)
         write_result(RunResult(
-            run_id=f"batch-{batch_id}", documents=docs, suppressed=suppressed, rows=rows,
+            run_id=f"{stream}-{batch_id}", documents=docs, suppressed=suppressed, rows=rows,
             errors=file_errors(parsed).unionByName(errors).unionByName(unresolved_errors(rows)),
-            stats=stream_stats(spark, out, clinic_stats(parsed, suppressed, rows), batch_id),
+            stats=clinic_stats(parsed, suppressed, rows),
             summary=run_summary(parsed, suppressed, rows, rows.select("id").distinct()),
-        ), out, started=started)
-        per_batch = {
-            "suppressed": suppressed,
-            # Last, so a replay of this batch still sees only earlier batches' keys.
-            "kept_keys": kept.select(
-                F.col("dedup_key").alias("k"), F.col("content_hash").alias("h")),
-        }
-        for name, df in per_batch.items():
-            df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+        ), out, started=started, writer=stream, number=batch_id, more={"kept_keys": kept.select(
+            F.col("dedup_key").alias("k"), F.col("content_hash").alias("h"))})
 
 
 def start_ingest(

@@ -113,11 +113,11 @@ def test_upsert_table(spark, tmp_path):
     assert sinks.read_table(spark, path) is None
     one = spark.createDataFrame([(i, "old") for i in range(20)], "id int, v string")
     two = spark.createDataFrame([(3, "new", 1), (50, "new", 2)], "id int, v string, extra int")
-    sinks.upsert_parquet(one, path, ["id"], buckets=8)
+    sinks.upsert_parquet(one, path, ["id"])
     for _ in range(2):  # the second time changes nothing
-        sinks.upsert_parquet(two, path, ["id"], buckets=8)
+        sinks.upsert_parquet(two, path, ["id"])
     got = {r["id"]: (r["v"], r["extra"]) for r in sinks.read_table(spark, path).collect()}
     want = {i: ("old", None) for i in range(20)} | {3: ("new", 1), 50: ("new", 2)}
     assert got == want
-    sinks.upsert_parquet(two, path, ["id"], buckets=8, reset=True)
+    sinks.upsert_parquet(two, path, ["id"], reset=True)
     assert sinks.read_table(spark, path).count() == 2

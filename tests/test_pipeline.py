@@ -1,10 +1,11 @@
 """Report folders end to end, in bulk and as a stream."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from labweave.operators import sinks
-from labweave.operators.stats import FILE_COUNTS, ROW_COUNTS
+from labweave.operators import sinks, snapshots
 from labweave.plans import pipeline, reports
 from labweave.sources.config import dims_from_folder
 from labweave.sources.files import read_files
@@ -185,7 +186,8 @@ def test_tables_and_reruns(spark, world):
     records = sinks.read_table(spark, f"{world['out']}/records")
     assert sorted(r[0] for r in records.select("id").collect()) == ids
     assert sinks.read_table(spark, f"{world['out']}/runs").count() == 2
-    assert sinks.read_table(spark, f"{world['out']}/clinic_stats").count() == 6
+    seen = {r["clinic_id"]: r["files_seen"] for r in pipeline.stored_stats(spark, world["out"]).collect()}
+    assert len(seen) == 6 and sum(seen.values()) == 20  # two runs over ten files
     assert sinks.error_log(spark, f"{world['out']}/dead_letter").count() == 16
     pipeline.run(spark, world["in"], world["config"], world["out"], reset=True)
     assert sinks.read_table(spark, f"{world['out']}/runs").count() == 1
@@ -231,14 +233,14 @@ def test_stream_equals_batch(spark, world):
             (landing / p).write_bytes((source / p).read_bytes())
         ingest.start_ingest(spark, str(landing), dims, out, checkpoint_location=state).awaitTermination()
     streamed = sinks.read_table(spark, f"{out}/records").drop(
-        "processed_at", "ingested_at", "file_path", "key_bucket")
+        "processed_at", "ingested_at", "file_path")
     batch = pipeline.load_rows(world["result"].rows).select(*streamed.columns)
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
-    assert spark.read.parquet(f"{out}/suppressed").count() == 2
+    assert sinks.read_table(spark, f"{out}/suppressed").count() == 2
     assert sinks.error_log(spark, f"{out}/dead_letter").filter("reason is not null").count() == 8
     runs = sinks.read_table(spark, f"{out}/runs")
     assert runs.count() == 2 and runs.agg(F.sum("files_seen")).first()[0] == 10
-    assert sinks.read_table(spark, f"{out}/clinic_stats").count() == 6
+    assert pipeline.stored_stats(spark, out).count() == 6
     assert sinks.read_table(spark, f"{out}/audit").count() == 5
 
 
@@ -249,20 +251,51 @@ def test_replaying_a_batch_changes_nothing(spark, world):
     for _ in range(2):
         ingest.ingest_batch(files, 0, dims, out)
     assert sinks.read_table(spark, f"{out}/records").count() == 37
-    assert spark.read.parquet(f"{out}/kept_keys").count() == 5
+    assert sinks.read_table(spark, f"{out}/kept_keys").count() == 5
     assert sinks.error_log(spark, f"{out}/dead_letter").count() == 8
     assert sinks.read_table(spark, f"{out}/runs").count() == 1
 
 
-def test_stream_statistics_add_up(spark, tmp_path):
-    """A source in two batches has the counts of both, also when one is replayed."""
-    names = "clinic_id string, " + ", ".join(f"{c} long" for c in FILE_COUNTS + ROW_COUNTS)
-    batches = [[("a", *range(1, 9)), ("b", *[5] * 8)], [("a", *[10] * 8), ("c", *[0] * 8)]]
-    for batch_id in (0, 1, 1, 0):
-        total = ingest.stream_stats(
-            spark, str(tmp_path), spark.createDataFrame(batches[batch_id], names), batch_id)
-    assert sorted(map(tuple, total.collect())) == [
-        ("a", *range(11, 19)), ("b", *[5] * 8), ("c", *[0] * 8)]
+def test_batch_and_stream_statistics_add_up(spark, world):
+    """A source that a run and a stream both saw has the counts of both."""
+    out = str(world["root"] / "both")
+    dims = dims_from_folder(spark, world["config"])
+    pipeline.run(spark, world["in"], world["config"], out, run_id="first")
+    ingest.ingest_batch(read_files(spark, world["in"]), 0, dims, out)
+    once = {r["clinic_id"]: r["files_seen"] for r in world["result"].stats.collect()}
+    both = {r["clinic_id"]: r["files_seen"] for r in pipeline.stored_stats(spark, out).collect()}
+    assert both == {c: 2 * n for c, n in once.items()}
+    pipeline.run(spark, world["in"], world["config"], out, run_id="first")  # replaces itself
+    again = {r["clinic_id"]: r["files_seen"] for r in pipeline.stored_stats(spark, out).collect()}
+    assert again == both
+
+
+@pytest.mark.parametrize("broken", range(7))
+def test_a_run_that_fails_leaves_every_table_as_it_was(spark, world, monkeypatch, broken):
+    """The write of one table fails after others are done: nothing of the run is visible."""
+    out = str(world["root"] / "atomic")
+    if snapshots.snapshot(spark, out).number == 0:
+        pipeline.write_result(replace(world["result"], run_id="good"), out)
+    before = snapshots.snapshot(spark, out)
+    writes, plain = [], snapshots.write_delta
+
+    def breaking(df, root, table, **options):
+        if len(writes) == broken:
+            raise OSError("disk full")
+        writes.append(table)
+        return plain(df, root, table, **options)
+
+    def failing(*args):
+        raise OSError("no manifest")
+
+    if broken < 6:
+        monkeypatch.setattr(snapshots, "write_delta", breaking)
+    else:
+        monkeypatch.setattr(snapshots, "_publish", failing)
+    with pytest.raises(OSError):
+        pipeline.write_result(replace(world["result"], run_id="bad"), out)
+    assert snapshots.snapshot(spark, out) == before
+    assert sinks.read_table(spark, f"{out}/runs").select("run_id").collect() == [("good",)]
 
 
 def test_rolling_error_rate(spark):
