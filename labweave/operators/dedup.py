@@ -11,6 +11,8 @@ from labweave.operators.skew import HOT_ROWS, join_groups, split_hot_join
 from labweave.session import checkpoint
 from labweave.sources.config import broadcast_if_small, fits_broadcast
 
+#: A round that leaves more than this share of the open documents is followed by one along chains.
+SLOW_ROUND = 0.7
 # Texts stored with suppressed and repeated rows.
 DUPLICATE_REASON = "shares_ids_or_content_with_a_kept_document"
 REPEAT_NOTE = ("repeats the value on page ", " of this document")
@@ -50,7 +52,9 @@ def greedy_kept(
     A dropped document's keys are not remembered, so this is the first maximal independent
     set of the shares-a-value graph, not its components. Documents sharing nothing are kept
     at once. Among the others each round settles every document that is first in both of its
-    groups and everything sharing a value with those; rounds repeat until none is open. ``seen``
+    groups and everything sharing a value with those; rounds repeat until none is open. Where a round
+    settles little, the next one also follows chains in which each document waits for one other
+    (:func:`_chains_kept`), so a chain of any length takes one round. ``seen``
     adds ``(k, h)`` of documents kept earlier. Null is a value like any other here: documents
     without a key share that, whatever the sizes.
     """
@@ -64,9 +68,13 @@ def greedy_kept(
     kept = [marked.filter("not shared").select("o", "k", "h")]
     open_ = marked.filter("shared").select("k", "h", "o")
     # Counting a landed table reads its footers only.
+    last = None
     while n := open_.count():
-        firsts = _first_of_both(open_).select("o", "k", "h")
-        firsts = checkpoint(firsts, "dedup-kept")
+        if last is not None and n > SLOW_ROUND * last:
+            firsts = _chains_kept(open_, hot_rows if n > hot_rows else None)
+        else:
+            firsts = checkpoint(_first_of_both(open_).select("o", "k", "h"), "dedup-kept")
+        last = n
         kept.append(firsts)
         for col in ("k", "h"):
             open_ = _without(open_, firsts, col, hot_rows if n > hot_rows else None)
@@ -77,6 +85,47 @@ def greedy_kept(
     return out.select(F.col("o").alias(order), F.col("k").alias(key), F.col("h").alias(content))
 
 
+def _chains_kept(open_: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Documents kept as far as chains decide it: ``o, k, h``.
+
+    A document that is first in one group and second in the other waits for one document alone, and is
+    kept just if that one is not. Pointers along these waits are doubled, each with the parity of its
+    steps, until they end at a document that waits for none (kept) or for several (open). So a chain
+    of n documents takes log n joins; a document is waited for by at most two, so no key is hot.
+    """
+    firsts = {c: open_.groupBy(c).agg(F.min("o").alias("first")) for c in ("k", "h")}
+    waits = []
+    for c, other in (("k", "h"), ("h", "k")):
+        first = firsts[c].select(F.col(c).alias("_value"), "first")
+        if hot_rows is None:
+            with_first = open_.join(first, F.col(c).eqNullSafe(F.col("_value")))
+        else:
+            with_first = split_hot_join(
+                open_, firsts[c], [c], open_.groupBy(c).agg(F.count("*").alias("n")), how="inner",
+                spread=["o"], hot_rows=hot_rows)
+        second = with_first.filter("o > first").groupBy(c).agg(
+            F.min("o").alias("o"), F.min("first").alias("at")).select("o", "at")
+        alone = firsts[other].select(F.col("first").alias("o"))
+        waits.append(second.join(alone, "o"))
+    waits = waits[0].unionByName(waits[1])
+    free = _first_of_both(open_).select("o")
+    # at: where the pointer is; odd: whether an odd number of steps leads there; end: it goes no further.
+    steps = checkpoint(
+        open_.select("o").join(waits, "o", "left").join(free.withColumn("free", F.lit(True)), "o", "left")
+        .select("o", F.coalesce("at", "o").alias("at"), F.col("at").isNotNull().alias("odd"),
+                F.col("at").isNull().alias("end"), F.coalesce("free", F.lit(False)).alias("free")),
+        "dedup-steps")
+    while not steps.filter("not end").isEmpty():
+        to = steps.select(F.col("o").alias("at"), F.col("at").alias("further"), F.col("odd").alias("odder"),
+                          F.col("end").alias("last"), F.col("free").alias("kept"))
+        going = steps.filter("not end").join(to, "at").select(
+            "o", F.col("further").alias("at"), (F.col("odd") != F.col("odder")).alias("odd"),
+            F.col("last").alias("end"), F.col("kept").alias("free"))
+        steps = checkpoint(steps.filter("end").unionByName(going), "dedup-steps")
+    return checkpoint(
+        open_.join(steps.filter("free and not odd").select("o"), "o").select("o", "k", "h"), "dedup-kept")
+
+
 def _mark_shared(pairs: DataFrame, hot_rows: int) -> DataFrame:
     """Add ``shared``: whether another pair has the same key or the same content."""
     marked = pairs

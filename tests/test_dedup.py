@@ -62,8 +62,28 @@ def test_null_is_one_value_at_every_size(spark, hot):
     assert sorted(r["o"] for r in got) == greedy(rows, [None]) == [4]
 
 
-def test_a_long_chain_of_drops(spark):
-    rows = [(i, f"k{i // 2}", f"h{(i + 1) // 2}") for i in range(24)]
+@pytest.mark.parametrize("hot", [1, 10**6])
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch, hot):
+    """2,000 documents, each sharing its key with the one before and its content with the one after."""
+    rounds, plain = [], dedup._chains_kept
+    monkeypatch.setattr(dedup, "_chains_kept", lambda *a: rounds.append(1) or plain(*a))
+    n = 2000 if hot > 1 else 40
+    rows = [(i, f"k{i // 2}", f"h{(i + 1) // 2}") for i in range(n)]
+    docs = spark.createDataFrame(rows, "o int, dedup_key string, content_hash string")
+    got = dedup.greedy_kept(docs, order="o", hot_rows=hot).select("o").collect()
+    assert sorted(r["o"] for r in got) == greedy(rows) and len(rounds) == 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_with_branches_equal_the_sequential_pass(spark, monkeypatch, seed):
+    """Chain rounds alone, on graphs of chains, branches, null values and exact copies."""
+    monkeypatch.setattr(dedup, "SLOW_ROUND", 0.0)
+    rng = random.Random(seed)
+    rows = []
+    for i in range(150):
+        k = f"k{i // 2 if rng.random() < 0.8 else rng.randrange(75)}"
+        h = f"h{(i + 1) // 2 if rng.random() < 0.8 else rng.randrange(75)}"
+        rows.append((i, None if i % 31 == 7 else k, None if i % 37 == 9 else h))
     docs = spark.createDataFrame(rows, "o int, dedup_key string, content_hash string")
     got = dedup.greedy_kept(docs, order="o").select("o").collect()
     assert sorted(r["o"] for r in got) == greedy(rows)
