@@ -31,6 +31,14 @@ def row_key(*cols: Column) -> Column:
     return F.xxhash64(*[x for c in cols for x in (c.isNull(), c.cast("string"))])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hash_sample(df: DataFrame, rows: int, *key: Column) -> DataFrame:
     """About ``rows`` rows, or all if there are fewer: those whose key's hash is small. The same
     rows come out however the table is split, and no task sends more than its share."""

@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from labweave.llm.common import in_arrow, row_key
+from labweave.llm.common import in_arrow, row_key, unused
 from labweave.session import checkpoint
 
 #: Characters of documents per shard, and of benchmark items per pass.
@@ -369,8 +369,9 @@ def remove_items(
     blocks = item_blocks(items, max_chars)
     if len(blocks) == 1:
         return _cut_pass(docs, _phrases(blocks[0], window))
-    keyed = docs.withColumn("row", row_key(*[F.col(c) for c in docs.columns]))
-    texts, rounds = keyed.select("row", "text"), []
+    row, new = unused(docs, "row"), unused(docs, "cut")
+    keyed = docs.withColumn(row, row_key(*[F.col(c) for c in docs.columns]))
+    texts, rounds = keyed.select(F.col(row).alias("row"), "text"), []
     while True:  # the spans of all blocks are cut at once; only changed texts are searched again
         found = _landed(texts, blocks, window).groupBy("row").agg(
             F.flatten(F.collect_set("spans")).alias("spans"))
@@ -381,9 +382,9 @@ def remove_items(
         rounds.append(texts.withColumn("round", F.lit(len(rounds))))
     if not rounds:
         return docs
-    cut = reduce(DataFrame.unionByName, rounds).groupBy("row").agg(
-        F.max_by("text", "round").alias("cut"))
-    return keyed.join(cut, "row", "left").withColumn("text", F.coalesce("cut", "text")).select(
+    cut = reduce(DataFrame.unionByName, rounds).groupBy(F.col("row").alias(row)).agg(
+        F.max_by("text", "round").alias(new))
+    return keyed.join(cut, row, "left").withColumn("text", F.coalesce(new, "text")).select(
         *docs.columns)
 
 

@@ -28,6 +28,8 @@ SYMBOLS = "#*$%&|<>"
 SPACE = r"[ \t-\r]+"
 WORD = r"[^ \t-\r]"
 WINDOW = 5
+RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+          "depleted", "kept"]
 
 
 def words_of(text: Column) -> Column:
@@ -164,9 +166,11 @@ def quality_rules(
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_pct`` percent of
     them in windows found twice. ``depleted``: without the frequent lines fewer than
     ``min_left_pct`` percent of the words are left (a short text with one shared line is none).
-    ``kept``: neither. Columns named in ``keep`` come first, as they are;
+    ``kept``: neither. Columns named in ``keep`` (none of the result's) come first, as they are;
     with ``trim`` a ``text`` among them comes without its frequent lines.
     """
+    if clash := {c.lower() for c in keep} & set(RESULT):
+        raise ValueError(f"rename the columns {sorted(clash)} to keep them")
     src = docs.select(
         *[F.col(c).alias(f"_keep_{c}") for c in keep],
         "doc_id", F.coalesce("text", F.lit("")).alias("text"),

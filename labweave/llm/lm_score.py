@@ -9,7 +9,7 @@ traversal from left to right that carries the state and adds log10 probabilities
 
 The automaton grows with the corpus, so no task holds it whole. Texts are packed into blocks; a
 block needs only the arcs that its own tokens can take. Its distinct words and pairs go, as
-sorted 64-bit hashes with their counts in training rows, to hash ranges; each range adds up its
+sorted 64-bit hashes (as gaps) with their counts in training rows, to hash ranges; each range adds up its
 counts and sends back, for each block, just the totals in the block's own order. The block then
 has its part of the automaton and is traversed. Blocks, and the totals, are written to the shared
 folder, so a lost executor repeats one step. What is exchanged grows with the distinct words and
@@ -54,6 +54,28 @@ def _unpack(raw: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
 
 
+def _pack_column(a: np.ndarray) -> bytes:
+    """Numbers byte by byte: all their low bytes, then the next ones; the high ones are mostly zero."""
+    a = np.ascontiguousarray(a)
+    planes = a.view(np.uint8).reshape(len(a), a.itemsize).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unpack_column(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their gaps."""
+    return _pack_column(np.diff(keys, prepend=keys[:1])) + (keys[:1] if len(keys) else np.zeros(1, np.uint64)).tobytes()
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpack_column(raw[:-8], np.uint64), dtype=np.uint64) + np.frombuffer(raw[-8:], np.uint64)[0]
+
+
 class Block:
     """Token numbers of some texts, end to end, and the hash of each number's word."""
 
@@ -185,21 +207,21 @@ def range_counts(blocks: DataFrame, n_ranges: int) -> DataFrame:
                 w, q = slice(we[r], we[r + 1]), slice(pe[r], pe[r + 1])
                 out["range"].append(r)
                 out["block"].append(row["block"])
-                out["word_keys"].append(wk[w].tobytes())
-                out["word_counts"].append(_pack(wc[w].astype(np.int64)))
-                out["pair_keys"].append(pk[q].tobytes())
-                out["pair_counts"].append(_pack(pc[q].astype(np.int64)))
+                out["word_keys"].append(_pack_keys(wk[w]))
+                out["word_counts"].append(_pack_column(wc[w].astype(np.int64)))
+                out["pair_keys"].append(_pack_keys(pk[q]))
+                out["pair_counts"].append(_pack_column(pc[q].astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["range"], pa.int32()), pa.array(out["block"], pa.int64()),
                  *[pa.array(out[c], pa.binary()) for c in list(out)[2:]]], names=list(out))
 
     def totals(keys: list[bytes], counts: list[bytes]) -> tuple[list[bytes], int]:
-        parts = [np.frombuffer(k, np.uint64) for k in keys]
+        parts = [_unpack_keys(k) for k in keys]
         flat = np.concatenate(parts)
         _, of = np.unique(flat, return_inverse=True)
-        total = np.bincount(of, np.concatenate([_unpack(c, np.int64) for c in counts])).astype(np.int64)
+        total = np.bincount(of, np.concatenate([_unpack_column(c, np.int64) for c in counts])).astype(np.int64)
         ends = np.cumsum([len(p) for p in parts])
-        return [_pack(x) for x in np.split(total[of], ends[:-1])], int((total > 0).sum())
+        return [_pack_column(x) for x in np.split(total[of], ends[:-1])], int((total > 0).sum())
 
     def add_up(group: pa.Table) -> pa.Table:
         words, types = totals(group.column("word_keys").to_pylist(), group.column("word_counts").to_pylist())
@@ -253,7 +275,7 @@ def lm_scores(
         row = left.to_pylist()[0]
         p = Packed(row)
         right = right.sort_by("range")
-        ordered = {c: np.concatenate([_unpack(x, np.int64) for x in right.column(c).to_pylist()])
+        ordered = {c: np.concatenate([_unpack_column(x, np.int64) for x in right.column(c).to_pylist()])
                    for c in ("word_totals", "pair_totals")}
         words, pairs = np.empty(len(p.words), np.int64), np.empty(len(p.pairs), np.int64)
         words[p.word_order], pairs[p.pair_order] = ordered["word_totals"], ordered["pair_totals"]

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from labweave.llm.common import in_arrow, row_key
+from labweave.llm.common import in_arrow, row_key, unused
 from labweave.session import checkpoint
 
 TREES = 16
@@ -308,6 +308,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents (all columns) without near duplicates: one row of each class stays, the
     one with the smallest doc_id. Documents without words are not duplicates of each other, but
     equal rows are."""
-    stays = near_duplicates(docs, **options).filter("stays").select(F.col("row").alias("_row"))
-    keyed = docs.withColumn("_row", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(stays.distinct(), "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    row = unused(docs, "row")
+    stays = near_duplicates(docs, **options).filter("stays").select(F.col("row").alias(row))
+    keyed = docs.withColumn(row, row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(stays.distinct(), row, "left_semi").dropDuplicates([row]).drop(row)

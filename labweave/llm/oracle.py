@@ -34,15 +34,12 @@ LINE_RULES = f"""WITH src AS (SELECT doc_id, coalesce(source, '') AS host, coale
   lines AS (SELECT *, lower(trim(regexp_replace(line, '{_SPACE}+', ' ', 'g'))) AS norm,
     row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS i
     FROM raw WHERE regexp_matches(line, '{_WORD}')),
-  placed AS (SELECT *, len(string_split(norm, ' ')) AS n, lag(norm) OVER d AS a, lead(norm) OVER d AS b,
-    row_number() OVER (PARTITION BY doc_id, norm ORDER BY i) = 1 AS first
-    FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+  placed AS (SELECT *, len(string_split(norm, ' ')) AS n FROM lines JOIN (SELECT doc_id, text FROM src) USING (doc_id)),
   dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
   common AS (SELECT c.host, norm FROM (
-      SELECT host, norm, count(*) AS docs, count(DISTINCT struct_pack(a := a, b := b)) AS around
-      FROM placed WHERE first GROUP BY host, norm) c
-    JOIN (SELECT host, count(DISTINCT doc_id) AS docs FROM placed GROUP BY host) h ON h.host = c.host
-    WHERE c.docs > 20 AND around > 0.5 * c.docs AND c.docs > 0.01 * h.docs),
+      SELECT host, norm, count(DISTINCT text) AS texts FROM placed GROUP BY host, norm) c
+    JOIN (SELECT host, count(DISTINCT text) AS texts FROM placed GROUP BY host) h ON h.host = c.host
+    WHERE c.texts > 20 AND c.texts > 0.01 * h.texts),
   gone AS (SELECT doc_id, sum(n) AS n FROM placed JOIN common USING (host, norm) GROUP BY doc_id),
   counts AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,

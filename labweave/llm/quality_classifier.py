@@ -185,11 +185,12 @@ def train(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), b.column("positive"), b.column("unlabelled"),
+                [b.column("doc_id"), b.column("positive"), b.column("unlabelled"),
                  pa.array(list(_matrix(b.column("text"))), pa.list_(pa.float64()))],
                 names=["doc_id", "positive", "unlabelled", "x"])
 
-    rows = in_arrow(texts, run, "doc_id long, positive int, unlabelled int, x array<double>")
+    kind = dict(texts.dtypes)["doc_id"]
+    rows = in_arrow(texts, run, f"doc_id {kind}, positive int, unlabelled int, x array<double>")
     once = rows.groupBy("doc_id").agg(  # a repeated id counts once
         F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled"), F.max("x").alias("x"))
     got = sorted(once.collect())  # at most 2 * max_rows short rows
@@ -217,6 +218,8 @@ def score_texts(docs: DataFrame, model: Model | None, *, keep: Sequence[str] = (
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, keep: Sequence[str] = ("doc_id",), **options) -> DataFrame:
-    """``keep`` columns, ``score`` and ``predicted`` (1 from a score of 0.5)."""
+    """``keep`` columns, ``score`` and ``predicted`` (1 from a score of 0.5), which ``keep`` must not name."""
+    if clash := {c.lower() for c in keep} & {"score", "predicted"}:
+        raise ValueError(f"rename the columns {sorted(clash)} to keep them")
     scored = score_texts(docs, train(docs, labels, **options), keep=keep)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -155,3 +155,34 @@ def test_pipeline_stage_by_stage(spark):
     assert {r.doc_id for r in last} == text[4].keys() and all(r.restored for r in last)
     whole = cp.run(spark, SF)
     assert sorted(r.doc_id for r in whole.collect()) == sorted(r.doc_id for r in last)
+
+
+@needs_tables
+def test_pipeline_leaves_other_columns_alone(spark):
+    """Columns of every name that a stage makes are there at the end, unchanged."""
+    import corpus_pipeline as cp
+
+    names = ["kept", "n_words", "word_chars", "n_symbols", "base_failed", "depleted", "score", "predicted",
+             "was", "_row", "row", "cut", "node", "label", "hit", "doc", "host", "words", "lines", "x",
+             "class_id", "n_links", "stays", "spans", "items", "ids", "restored", "_text", "_document_1"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    plain = docs
+    for i, c in enumerate(names):
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c} {i} "), F.col("doc_id")))
+    rows = {}
+    for name, stage in cp.STAGES[:4]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).toPandas(), docs.schema)
+        plain = spark.createDataFrame(stage(spark, plain, SF).toPandas(), plain.schema)
+        rows = {r["doc_id"]: r for r in docs.collect()}
+        assert {d: r["text"] for d, r in rows.items()} == {r["doc_id"]: r["text"] for r in plain.collect()}
+    assert rows and all(r[c] == f"{c} {i} {d}" for d, r in rows.items() for i, c in enumerate(names))
+
+
+def test_classifier_takes_text_ids(spark):
+    rng = random.Random(4)
+    rows = [(f"d{i}", " ".join(rng.choices(["the", "of", "cat", "!!", "$$"], k=30))) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", i % 2, 0) for i in range(60)], "doc_id string, quality int, toxic int")
+    assert classify(df, labels).count() == 80
+    with pytest.raises(ValueError):
+        classify(df.withColumn("score", F.lit(1)), labels, keep=["doc_id", "score"])
