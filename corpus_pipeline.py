@@ -18,30 +18,50 @@ from labweave.llm.queries import TOKENIZERS
 from labweave.session import checkpoint
 
 
+#: The columns that the stages read or change; all others are set aside under private names.
+OWN = ("doc_id", "text", "source", "n_chars")
+
+
+def aside(docs: DataFrame) -> DataFrame:
+    """``docs`` with other columns named by place, so that none can clash with a stage's own."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in OWN else f"_document_{i}")
+                         for i, c in enumerate(docs.columns)])
+
+
+def back(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names."""
+    return out.select(*[F.col(c if c in OWN else f"_document_{i}").alias(c)
+                        for i, c in enumerate(docs.columns)])
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that are frequent on their host."""
-    passed = quality_rules(docs, keep=docs.columns, trim=True).filter("kept")
-    return passed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own = aside(docs)
+    return back(counted(quality_rules(own, keep=own.columns, trim=True).filter("kept")), docs)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones."""
-    labels = table(spark, sf_dir, "labels")
-    return classify(docs, labels, keep=docs.columns).filter("predicted = 1").select(*docs.columns)
+    own, labels = aside(docs), table(spark, sf_dir, "labels")
+    return back(classify(own, labels, keep=own.columns).filter("predicted = 1"), docs)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return keep_one(docs)
+    return back(keep_one(aside(docs)), docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages; one that was nothing else is gone."""
-    marked = docs.withColumn("was", F.xxhash64("text"))
-    clean = remove_items(marked, table(spark, sf_dir, "benchmark"))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).filter(
+    marked = aside(docs).withColumn("was", F.xxhash64("text"))
+    clean = counted(remove_items(marked, table(spark, sf_dir, "benchmark")))
+    return back(clean.filter(
         (F.xxhash64("text") == F.col("was"))
-        | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select(*docs.columns)
+        | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")), docs)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
