@@ -1,12 +1,14 @@
 """A configuration folder and report tree for the tests: a water laboratory's results.
 
 Only the configuration's property names are given (a user's files must have them); vocabulary,
-limits, layouts and reports are invented here.
+limits and layouts are invented here. The reports are generated, a small one or several for each
+rule, together with the rows that the rule demands of them (``EXPECTED``).
 """
 
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from pathlib import Path
 
 # canonical name, value type, unit, aliases
@@ -24,8 +26,6 @@ TESTS = [
     ("Sand", "numeric", "share", ["sand part"]),
     ("Silt", "numeric", "share", []),
     ("Clay", "numeric", "share", ["clay part"]),
-    ("Gravel", "numeric", "share", []),
-    ("Peat", "numeric", "share", []),
     ("Flow Rate", "numeric", "L per s", ["discharge"]),
     ("Odour", "text", None, ["smell"]),
     ("Manganese", "numeric", "ppb", []),
@@ -45,8 +45,6 @@ RANGES = {
     "Sand": (5, 85, 0, 100),
     "Silt": (5, 60, 0, 100),
     "Clay": (2, 55, 0, 100),
-    "Gravel": (0, 30, 0, 100),
-    "Peat": (0, 15, 0, 100),
     "Flow Rate": (3, 50, 0.1, 700),
 }
 UNITS = {
@@ -146,83 +144,176 @@ def bundle(stamp: str, paper: str, batch: str, parts, tags: dict | None = None)
         "tags": [{"key": k, "value": v} for k, v in (tags or {}).items()]}}
 
 
+UNIT_OF = {name: unit for name, _, unit, _ in TESTS}
+#: Report file -> rows that must come of it: (original name, canonical, value, unit, status).
+EXPECTED: dict[str, list[tuple]] = defaultdict(list)
+REPORTS: dict[str, dict] = {}
+
+
+def report(rule: str, lines: list[tuple], *, who: dict | None = None, clinic: str = "north_lab",
+           more=(), tags: dict | None = None) -> str:
+    """A report of one panel; ``lines`` are (name, result, unit, limits, leaf, expected or None)."""
+    path = f"{clinic}/2024-09-{len(REPORTS) + 1:02d}/{rule}.json"
+    rows = [(leaf, limits, found, what, unit) for what, found, unit, limits, leaf, _ in lines]
+    REPORTS[path] = bundle(f"stamp {rule}", f"paper {rule}", f"batch {rule}",
+                           [panel(who or {}, rows), *more], tags)
+    EXPECTED[path] += [want for *_, want in lines if want]
+    return path
+
+
+def line(name, result, unit="", want=None, *, limits="", leaf=1):
+    return name, result, unit, limits, leaf, want
+
+
+# Where a value lies among its limits -> the value, and its status. Limits belong to the range.
+PLACES = {
+    "under": (lambda lo, hi, out_lo, out_hi: out_lo - 1, "Outlier"),
+    "low": (lambda lo, hi, out_lo, out_hi: (out_lo + lo) / 2, "Below Range"),
+    "at_low": (lambda lo, hi, out_lo, out_hi: lo, "Within Range"),
+    "middle": (lambda lo, hi, out_lo, out_hi: (lo + hi) / 2, "Within Range"),
+    "at_high": (lambda lo, hi, out_lo, out_hi: hi, "Within Range"),
+    "high": (lambda lo, hi, out_lo, out_hi: (hi + out_hi) / 2, "Above Range"),
+    "over": (lambda lo, hi, out_lo, out_hi: out_hi + 1, "Outlier"),
+}
+for place, (value, status) in PLACES.items():
+    lines = []
+    for name, (lo, hi, out_lo, out_hi) in RANGES.items():
+        if place == "low" and lo == out_lo:
+            continue
+        x = round(value(lo, hi, out_lo, out_hi), 4)
+        lines.append(line(name.upper() if place == "high" else name, f"{x:g}", "", (
+            name.upper() if place == "high" else name, name, x, UNIT_OF[name], status)))
+    report(f"place_{place}", lines)
+
+# Aliases stand for their test; names cut at either end still do; others stay unresolved, their
+# number parsed but not judged.
+IN_RANGE = {name: (lo + hi) / 2 for name, (lo, hi, _, _) in RANGES.items()}
+
+
+def named(spoken: str, name: str) -> tuple:
+    x = IN_RANGE[name]
+    return line(spoken, f"{x:g}", "", (spoken, name, x, UNIT_OF[name], "Within Range"))
+
+
+report("aliases", [named(alias, name) for name, kind, _, aliases in TESTS if kind == "numeric"
+                   for alias in aliases])
+LONG = [name for name in RANGES if len(name) > 14]
+report("cut_in_front", [named(name[2:], name) for name in LONG])
+report("cut_at_the_end", [named(name[:len(name) - 3], name) for name in LONG])
+UNKNOWN = [f"{x} of unknown make" for x in ("barge", "plank")]
+report("unresolved", [line(x, "8", "", (x, "UNRESOLVED", 8.0, None, "Not Applicable")) for x in UNKNOWN])
+
+# Units: stored converted, compared as reported; unknown spellings count as the expected unit.
+report("units", [
+    line("Electrical Conductivity", "0.9", "mS/cm",
+         ("Electrical Conductivity", "Electrical Conductivity", 900.0, "uS/cm", "Outlier")),
+    line("Sampling Depth Below The Water Table", "5", "cm",
+         ("Sampling Depth Below The Water Table",) * 2 + (0.05, "metre", "Within Range")),
+    line("Flow Rate", "20", "buckets", ("Flow Rate", "Flow Rate", 20.0, "L per s", "Within Range")),
+    line("Turbidity", "2", " NTU ", ("Turbidity", "Turbidity", 2.0, "NTU", "Within Range")),
+])
+MISMATCHES = [("Total Hardness", "ntu"), ("Water Temperature", "cfu"), ("Phosphate", "metre")]
+report("other_units", [line(name, "3", unit) for name, unit in MISMATCHES])
+
+# Results that are no plain number.
+report("results", [
+    line("Phosphate", "murky", "", ("Phosphate", "Phosphate", None, "ppm", "Invalid")),
+    line("Free Chlorine", "", "", ("Free Chlorine", "Free Chlorine", None, "ppm", "Unclassified")),
+    line("Water Temperature", "17 - 18", "", (
+        "Water Temperature", "Water Temperature", None, "degC", "Invalid")),
+    line("Odour", "5", "", ("Odour", "Odour", 5.0, None, "Not Applicable")),
+    line("Manganese", "6", "", ("Manganese", "Manganese", 6.0, "ppb", "Unclassified")),
+])
+# One result of several parts.
+SOILS = {"Silt": 31, "clay part": 9, "sand part": 60}
+CANON = {"Silt": "Silt", "clay part": "Clay", "sand part": "Sand"}
+for n in (2, 3):
+    parts = list(SOILS)[:n]
+    path = report(f"parts_{n}", [line("grain by grain", ", ".join(f"{p} - {SOILS[p]}" for p in parts))])
+    EXPECTED[path] += [(p, CANON[p], float(SOILS[p]), "share", "Within Range") for p in parts]
+# Placeholder rows, rows without a name.
+report("skipped", [line("what", "found"), line("", "4"), line("  ", "5"), line(None, "6"),
+                   named("Turbidity", "Turbidity")])
+# A value stated again on later leaves, and one that differs.
+REPEATED = ("Nitrate Nitrogen", "Nitrate Nitrogen", 2.5, "ppm", "Within Range")
+report("repeated", [line("Nitrate Nitrogen", "2.5", leaf=leaf, want=REPEATED) for leaf in (4, 6, 9)]
+       + [line("Nitrate Nitrogen", "2.75", leaf=9, want=REPEATED[:2] + (2.75, "ppm", "Within Range"))])
+# Blocks of no known sort, of one that nothing handles, and such as are no objects.
+report("odd_blocks", [], more=[{"sort": "letter"}, {"sort": "picture"}, 12, "words", ["list"]])
+TAGS = {"claim_no": "claim 31", "source_system": "desk", "nt_code": "code 8"}
+report("tags", [named("Silt", "Silt")], tags=TAGS,
+       who={"years old": "5Y0M30D", "sex.code": "Female", "signed": "02/01/2024", "paid": "soon"})
+
 STAY = {"sort": "stay", "stay": {
-    "guest": "Ida Quill", "years old": "[AGE REDACTED]", "sex.code": "F", "house": "North",
-    "came": "03-11-2024", "left": "09-Nov-2024", "finding": "rust", "diary": [],
-    "given": ["RINSE ONE", "RINSE TWO"],
-    "take home": [
-        {"name": "Inj. Orp", "much": "2", "often": "noon"},
-        {"name": "CAP. ORP X", "much": "2", "often": "noon"},
-        {"name": "TAB CALMEX 20 mg", "much": "2", "often": "night"},
-        ["not", "an", "object"],
-        {"name": None, "much": "2", "often": "dawn"},
-    ]}}
-MIXED = bundle(
-    "s2", "PAPER-MIX", "B-MIX",
-    [
-        panel({"card": "W2", "years old": "52", "sex.code": "[GENDER REDACTED]", "paid": "BOX 77",
-               "signed": "11-03-2024", "called": "Bo Reed"},
-              [(0, "1-5", "4100", "rbidity", "blurs"),
-               (0, "3-9", "6.1", "tal hardness", "ppm"),
-               (0, "3 - 6", "5", "emperature of water", "degC"),
-               (0, "?", "smudge", "osphate", "ppm"),
-               (1, "", "0.4", "EC at 25", "mS/cm"),
-               (1, "", "14-19", "Flow Rate", ""),
-               (1, "", "", "Manganese", "ppb"),
-               (1, "", "33", "Manganese", "ppb"),
-               (2, "", "33", "MANGANESE", "ppb"),
-               (2, "", "earthy", "smell", "")]),
-        STAY,
-        {"sort": "memo", "said": {}},
-        {"sort": "picture", "file": {}},
-        "loose words",
-    ],
-    {"claim_no": "K-9", "source_system": "POST", "nt_code": "N7"})
-WELL = bundle(
-    "s4", "PAPER-WELL", "B-WELL",
-    [panel({"card": "W4", "years old": "28Y7M19D", "paid": "", "sex.code": "",
-            "signed": "22-08-2025", "called": "Cy Marsh"},
-           [(0, "limits", "found", "what", "in"),
-            (3, "1-5", "0.01", "cloudiness", "ntu"),
-            (3, "1-8", "0.3 drops", "NO3-N", ""),
-            (3, "6-9", "7.2", "DO2", "mg per l"),
-            (3, "", "sand part - 40.5, Silt - 30.0, clay part - 20.5, Gravel - 6.0, Peat - 3.0",
-             "Grain Shares By Sieve", ""),
-            (3, "0.1-0.2", "smeared", "Phosphate", "ppm")])])
-RIVER = {"document": {
-    "head": {"run": "Q1", "nr": "R-1", "visit": "E-1", "person": {
-        "id": "N-1", "label": "Di Stone", "lived": "37Y", "is": "M", "at": "River",
-        "charged": "02/27/2025", "closed": "02/27/2025"}},
-    "body": {"table": {"rows": [dict(zip(("c1", "c2", "c3", "c4"), r)) for r in [
-        ("TURB.", "950", "ntu", "1-5"),
-        ("specific conductance", "640", "us/cm", "200-1000"),
-        ("Total hardness", "21", "dh", "5-15"),
-        ("oxygen, dissolved", "AWAITED", "mg per l", "6-9"),
-        ("Sampling depth below the water table", "45", "cm", "1-6"),
-        ("Free Chlorine", "0.5", "ppm", "0.3-0.6")]]}}}}
-HILL = {
-    "Form No": "H-1", "Form No.": 1, "Round": "V-1", "Card": "HC-1", "Full Name": "Ed Quarry",
-    "Age": 63, "Sex": "Female", "Site": "Hill", "Paid on": "2025-02-27", "Signed on": "2025-02-27",
-    "Readings": [dict(zip(("Quantity", "Reading", "Scale", "From - To"), r)) for r in [
-        ("turb.", "0.3", "ntu", "1.0-5.0"),
-        ("COLIFORM PLATE RESULT", "85", "cfu", "0-10"),
-        ("NITRATE NITROGEN", "3.4", "ppm", "1-8"),
-        ("WATER TEMPERATURE", "12.5", "degC", "8-20"),
-        ("CHLORINE RESIDUAL", "0.4", "ppm", "0.3-0.6"),
-        ("FREE CHLORINE", "7.5", "ppm", "0.3-0.6"),
-        ("ORTHO PHOSPHORUS", "2.2", "ppm", "0-0.2"),
-        ("FLOW RATE", "17", "L per s", "5-40"),
-        ("sparkle grade B7", "n/m", "", "")]]}
-
-
-def resubmitted() -> dict:
-    """The mixed document again under new ids, leaves renumbered. Page numbers leave no trace in
-    the payload only under the member name ``page_no``, so they stay as they are here."""
-    copy = json.loads(json.dumps(MIXED))
-    copy["stamp"], copy["parcel"]["ref"] = "s9", {"paper": "P9", "batch": "B9"}
+    "guest": "Ann Lee", "years old": "44", "sex.code": "M", "house": "South", "came": "31/12/2023",
+    "left": "2024-01-04", "finding": "scale", "diary": "calm", "given": ["BATH"],
+    "take home": [{"name": "Brenta Salt", "much": "1", "often": "daily"},
+                  {"name": "0.5% brenta syrup", "much": "3", "often": "daily"},
+                  {"name": "Nobody's drops", "much": "1", "often": "once"}, 7, {"much": "4"}]}}
+MEDICINES_TAKEN = [("Brenta Salt", "generic_confirmed"), ("Brenta Salt", "brand_resolved"),
+                   ("Nobody's drops", "unmapped_brand_or_generic"), (None, "missing")]
+REPORTS["north_lab/2024-10-30/stay.json"] = bundle("stamp stay", "paper stay", "batch stay", [STAY])
+report("other_dates", [named("Clay", "Clay")], clinic="well_lab", who={
+    "signed": "09-08-2024", "paid": "30-02-2024", "years old": "71", "sex.code": "?"})
+
+TREE_LINES = [("Sand", "70", "share", "1-90"), ("smell", "sweet", "", ""), ("DO2", "26", "mg per l", "")]
+REPORTS["river_hospital/2024-11-05/tree.json"] = {"document": {
+    "head": {"run": "run 5", "nr": "nr 5", "visit": "visit 5", "person": {
+        "id": "person 5", "label": "Ole Berg", "lived": "8Y2M", "is": "male", "at": "Bank",
+        "charged": "11/04/2024", "closed": "13/04/2024"}},
+    "body": {"table": {"rows": [dict(zip(("c1", "c2", "c3", "c4"), r)) for r in TREE_LINES]}}}}
+EXPECTED["river_hospital/2024-11-05/tree.json"] = [
+    ("Sand", "Sand", 70.0, "share", "Within Range"), ("smell", "Odour", None, None, "Not Applicable"),
+    ("DO2", "Dissolved Oxygen", 26.0, "mg per L", "Outlier")]
+
+
+def sheet(form: str, readings: list[tuple]) -> dict:
+    return {"Form No": form, "Form No.": 1, "Round": "round " + form, "Card": "card " + form,
+            "Full Name": "Kim Dale", "Age": 19, "Sex": "F", "Site": "Top", "Paid on": "2024-06-01",
+            "Signed on": "2024-06-02", "Readings": [
+                dict(zip(("Quantity", "Reading", "Scale", "From - To"), r)) for r in readings]}
+
+
+REPORTS["hill_labs/2024-11-06/sheet.json"] = sheet("sheet 6", [
+    ("Peculiar reading", "1", "", ""), ("coliform plate result", "14", "cfu", "0.0-9.5")])
+EXPECTED["hill_labs/2024-11-06/sheet.json"] = [
+    ("Peculiar reading", "UNRESOLVED", 1.0, None, "Not Applicable"),
+    ("coliform plate result", "Coliform Colonies", 14.0, "cfu", "Above Range")]
+REPORTS["hill_labs/sheet without readings.json"] = sheet("sheet 7", [])
+
+
+def copied(path: str, **ref) -> dict:
+    """A bundle again under other ids. Page numbers leave no trace in the payload only under the
+    member name ``page_no``, so they stay as they are here."""
+    copy = json.loads(json.dumps(REPORTS[path]))
+    copy["parcel"]["ref"].update(ref)
     return copy
 
 
+UNITS_PATH = next(p for p in REPORTS if p.endswith("/units.json"))
+#: Copies by content (other ids) and by ids (other content); their keys are not remembered, so that a
+#: document which shares one with a suppressed copy alone stays.
+COPIES = {
+    "north_lab/2024-12-01/a by content.json": copied(UNITS_PATH, paper="copy", batch="copy"),
+    "north_lab/2024-12-01/b by ids.json": bundle("x", "paper units", "batch units", []),
+    "river_hospital/2024-12-02/tree.json": REPORTS["river_hospital/2024-11-05/tree.json"],
+    "river_hospital/2024-12-03/tree.json": REPORTS["river_hospital/2024-11-05/tree.json"],
+}
+REPORTS["north_lab/2024-12-04/after a copy.json"] = bundle(
+    "y", "copy", "copy", [panel({}, [(1, "", "3", "Manganese", "")])])
+EXPECTED["north_lab/2024-12-04/after a copy.json"] = [
+    ("Manganese", "Manganese", 3.0, "ppb", "Unclassified")]
+#: Files that can't be read: text or bytes, and the reason in the dead letter.
+BROKEN = {
+    "sun_lab/2024-12-05/half.json": (json.dumps(COPIES["river_hospital/2024-12-02/tree.json"])[:60], "malformed_json"),
+    "sun_lab/2024-12-05/words.json": ("no json at all", "malformed_json"),
+    "sun_lab/2024-12-05/number.json": ('{"stamp": NaN}', "malformed_json"),
+    "well_lab/2024-12-05/bytes.json": (b'{"stamp": "\xc3\x28"}', "unreadable_file"),
+    "nobody/2024-12-05/a.json": ("{}", "unknown_clinic"),
+    "nowhere/b.json": ("[]", "unknown_clinic"),
+}
+
+
 def write_config(root: Path) -> str:
     (root / "clinics").mkdir(parents=True)
     for name, cfg in {
@@ -246,20 +337,9 @@ def write_config(root: Path) -> str:
 
 
 def write_reports(root: Path) -> str:
-    files = {
-        "north_lab/2025-02-26/a_mixed.json": json.dumps(MIXED),
-        "north_lab/2025-02-26/b_resubmit.json": json.dumps(resubmitted()),
-        "river_hospital/2025-02-27/r.json": json.dumps(RIVER),
-        "river_hospital/2025-02-27/r_again.json": json.dumps(RIVER),
-        "hill_labs/2025-02-27/h.json": json.dumps(HILL),
-        "sun_lab/2025-02-28/broken.json": json.dumps(MIXED)[:-40],
-        "well_lab/2025-02-28/w.json": json.dumps(WELL),
-        "ghost/2025-02-28/g.json": "{}",
-        "hill_labs/loose.json": json.dumps(HILL | {"Form No": "H-2", "Readings": []}),
-    }
-    for name, text in files.items():
+    texts = {p: json.dumps(d) for p, d in {**REPORTS, **COPIES}.items()} | {p: t for p, (t, _) in BROKEN.items()}
+    for name, text in texts.items():
         path = root / name
         path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_text(text)
-    (root / "hill_labs" / "2025-02-27" / "latin.json").write_bytes(b'{"Form No": "\xff\xfe"}')
+        path.write_bytes(text if isinstance(text, bytes) else text.encode())
     return str(root)

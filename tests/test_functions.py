@@ -30,7 +30,7 @@ NUMBERS = [
     ("Pale  Yellow", None, None, None, False, False),
     ("p a l e", None, None, None, False, False),
     ("n / a", None, None, None, False, False),
-    ("12-20", None, None, None, False, True),
+    ("3.5 - 9", None, None, None, False, True),
     (" -1.5 - 2 ", None, None, None, False, True),
     ("1,200", 1.0, None, ",200", True, False),
     ("1:80", 1.0, None, ":80", True, False),
@@ -116,8 +116,8 @@ CLASSES = [
     ("Tu", "numeric", "2", "g", "g", (11, 19, 2, 40), "Below Range", False),
     ("Tu", "numeric", "950", "g", "g", (11, 19, 2, 40), "Outlier", False),
     ("Tu", "numeric", "14", "ml", "g", (11, 19, 2, 40), "Invalid", True),
-    ("Tu", "numeric", "12-20", "ml", "g", (11, 19, 2, 40), "Invalid", True),
-    ("Tu", "numeric", "12-20", None, "g", (11, 19, 2, 40), "Invalid", False),
+    ("Tu", "numeric", "3.5 - 9", "ml", "g", (11, 19, 2, 40), "Invalid", True),
+    ("Tu", "numeric", "3.5 - 9", None, "g", (11, 19, 2, 40), "Invalid", False),
     ("Tu", "numeric", "AWAITED", "g", "g", (11, 19, 2, 40), "Invalid", False),
     ("Tu", "numeric", " ", "g", "g", (11, 19, 2, 40), "Unclassified", False),
     ("Tu", "numeric", None, "g", "g", (11, 19, 2, 40), "Unclassified", False),

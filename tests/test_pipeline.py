@@ -12,52 +12,6 @@ from labweave.sources.files import read_files
 from labweave.streaming import ingest
 from tests import sample
 
-# original name -> canonical, value, unit, status
-EXPECTED = {
-    "river_hospital": {
-        "TURB.": ("Turbidity", 950.0, "NTU", "Outlier"),
-        "specific conductance": ("Electrical Conductivity", 640.0, "uS/cm", "Within Range"),
-        "Total hardness": ("Total Hardness", 21.0, "dH", "Above Range"),
-        "oxygen, dissolved": ("Dissolved Oxygen", None, "mg per L", "Invalid"),
-        # stored in metres, compared in the centimetres of the report
-        "Sampling depth below the water table": (
-            "Sampling Depth Below The Water Table", 0.45, "metre", "Above Range"),
-        "Free Chlorine": ("Free Chlorine", 0.5, "ppm", "Within Range"),
-    },
-    "hill_labs": {
-        "turb.": ("Turbidity", 0.3, "NTU", "Below Range"),
-        "COLIFORM PLATE RESULT": ("Coliform Colonies", 85.0, "cfu", "Above Range"),
-        "NITRATE NITROGEN": ("Nitrate Nitrogen", 3.4, "ppm", "Within Range"),
-        "WATER TEMPERATURE": ("Water Temperature", 12.5, "degC", "Within Range"),
-        "CHLORINE RESIDUAL": ("Free Chlorine", 0.4, "ppm", "Within Range"),
-        "FREE CHLORINE": ("Free Chlorine", 7.5, "ppm", "Outlier"),
-        "ORTHO PHOSPHORUS": ("Phosphate", 2.2, "ppm", "Above Range"),
-        "FLOW RATE": ("Flow Rate", 17.0, "L per s", "Within Range"),
-        "sparkle grade B7": ("UNRESOLVED", None, None, "Not Applicable"),
-    },
-    "well_lab": {
-        "cloudiness": ("Turbidity", 0.01, "NTU", "Outlier"),
-        "NO3-N": ("Nitrate Nitrogen", 0.3, "ppm", "Below Range"),
-        "DO2": ("Dissolved Oxygen", 7.2, "mg per L", "Within Range"),
-        "sand part": ("Sand", 40.5, "share", "Within Range"),
-        "Silt": ("Silt", 30.0, "share", "Within Range"),
-        "clay part": ("Clay", 20.5, "share", "Within Range"),
-        "Gravel": ("Gravel", 6.0, "share", "Within Range"),
-        "Peat": ("Peat", 3.0, "share", "Within Range"),
-        "Phosphate": ("Phosphate", None, "ppm", "Invalid"),
-    },
-    "north_lab": {
-        "rbidity": ("Turbidity", 4100.0, "NTU", "Outlier"),
-        "emperature of water": ("Water Temperature", 5.0, "degC", "Below Range"),
-        "osphate": ("Phosphate", None, "ppm", "Invalid"),
-        # stored converted, compared as reported
-        "EC at 25": ("Electrical Conductivity", 400.0, "uS/cm", "Outlier"),
-        "Flow Rate": ("Flow Rate", None, "L per s", "Invalid"),
-        "smell": ("Odour", None, None, "Not Applicable"),
-    },
-}
-
-
 @pytest.fixture(scope="module")
 def world(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("world")
@@ -68,48 +22,61 @@ def world(spark, tmp_path_factory):
     return {"root": root, "config": config, "in": reports_dir, "out": out, "result": result}
 
 
+FLAGGED = {"Outlier", "Invalid", "Above Range", "Below Range"}
+STATUSES = [row[-1] for rows in sample.EXPECTED.values() for row in rows]
+#: Equal name, value and unit in one document make one id.
+DISTINCT = len({(p, *row[1:4]) for p, rows in sample.EXPECTED.items() for row in rows})
+#: Lab rows, the summary row and the medications.
+STORED = DISTINCT + 1 + len(sample.MEDICINES_TAKEN)
+FILES = len(sample.REPORTS) + len(sample.COPIES) + len(sample.BROKEN)
+SOURCES = {p.split("/")[0] for p in [*sample.REPORTS, *sample.BROKEN]}
+
+
+def place(path):
+    return "/".join(path.split("/in/")[-1].split("/")).replace("%20", " ")
+
+
 def test_measurements(world):
-    rows = world["result"].rows.filter("record_type = 'lab_test'").collect()
-    for clinic, tests in EXPECTED.items():
-        got = {r["test_name_original"]: (r["test_name_canonical"], r["result_value"],
-                                         r["unit_canonical"], r["test_analytics"])
-               for r in rows if r["clinic_id"] == clinic}
-        for name, want in tests.items():
-            assert got[name] == want, (clinic, name)
-        assert "what" not in got
-    assert len([r for r in rows if r["clinic_id"] == "well_lab"]) == 9
+    got = {}
+    for r in world["result"].rows.filter("record_type = 'lab_test'").collect():
+        got.setdefault(place(r["file_path"]), []).append((
+            r["test_name_original"], r["test_name_canonical"], r["result_value"], r["unit_canonical"],
+            r["test_analytics"]))
+    assert {p: sorted(rows, key=str) for p, rows in got.items()} == {
+        p: sorted(rows, key=str) for p, rows in sample.EXPECTED.items() if rows}
 
 
 def test_run_counts(world):
     assert world["result"].summary.first().asDict() == {
-        "files_seen": 10, "files_processed": 5, "files_failed": 3, "duplicates_suppressed": 2,
-        "rows_loaded": 37, "rows_flagged": 16}
+        "files_seen": FILES, "files_processed": len(sample.REPORTS), "files_failed": len(sample.BROKEN),
+        "duplicates_suppressed": len(sample.COPIES), "rows_loaded": STORED,
+        "rows_flagged": sum(x in FLAGGED for x in STATUSES)}
 
 
 def test_suppressed_copies(world):
-    gone = {r["file_path"].rsplit("/", 1)[1] for r in world["result"].suppressed.collect()}
-    assert gone == {"b_resubmit.json", "r_again.json"}
+    gone = {place(r["file_path"]) for r in world["result"].suppressed.collect()}
+    assert gone == set(sample.COPIES)
 
 
 def test_dedup_can_be_switched_off(spark, world):
     dims = dims_from_folder(spark, world["config"])
     result = pipeline.process(read_files(spark, world["in"]), dims, dedup=False)
     assert result.suppressed.count() == 0
-    assert result.documents.filter("clinic_id = 'river_hospital'").count() == 2
+    assert result.documents.count() == len(sample.REPORTS) + len(sample.COPIES)
+
+
+LETTERS = sorted(
+    [(p.split("/")[0], "ingestion", reason) for p, (_, reason) in sample.BROKEN.items()]
+    + [("north_lab", "unit_validation", "unit_mismatch_excluded")] * len(sample.MISMATCHES)
+    + [("north_lab", "test_name_normalisation", "unresolved_test_name")] * len(sample.UNKNOWN)
+    + [("hill_labs", "test_name_normalisation", "unresolved_test_name")]
+    + [("north_lab", "block_routing", r) for r in (
+        "unknown_classifier", "unhandled_record_type_imaging", *["block_is_not_an_object"] * 3)])
 
 
 def test_dead_letters(world):
     got = sorted((r["clinic_id"], r["stage"], r["reason"]) for r in world["result"].errors.collect())
-    assert got == sorted([
-        ("ghost", "ingestion", "unknown_clinic"),
-        ("hill_labs", "ingestion", "unreadable_file"),
-        ("sun_lab", "ingestion", "malformed_json"),
-        ("north_lab", "block_routing", "unknown_classifier"),
-        ("north_lab", "block_routing", "unhandled_record_type_imaging"),
-        ("north_lab", "block_routing", "block_is_not_an_object"),
-        ("north_lab", "unit_validation", "unit_mismatch_excluded"),
-        ("hill_labs", "test_name_normalisation", "unresolved_test_name"),
-    ])
+    assert got == LETTERS
 
 
 def test_a_layout_without_the_needed_part_is_logged(spark, world):
@@ -126,34 +93,37 @@ def test_a_layout_without_the_needed_part_is_logged(spark, world):
 
 
 def test_demographics_and_lineage(world):
-    r = world["result"].rows.filter("clinic_id = 'well_lab'").first()
-    assert (r["age_years"], r["age_months"], r["age_days"], r["gender"]) == (28.0, 7.0, 19.0, None)
-    assert str(r["reports_date"]) == "2025-08-22" and r["bill_date"] is None
-    r = world["result"].rows.filter("clinic_id = 'river_hospital'").first()
-    assert (r["gender"], str(r["bill_date"]), r["age_years"]) == ("Male", "2025-02-27", 37.0)
-    for r in world["result"].rows.filter("clinic_id = 'north_lab'").collect():
-        assert (r["claim_no"], r["source_system_reported"], r["nt_code"]) == ("K-9", "POST", "N7")
+    rows = world["result"].rows
+    r = rows.filter("clinic_id = 'well_lab'").first()  # day first with dashes; an impossible day
+    assert (r["age_years"], r["age_months"], r["gender"]) == (71.0, None, "?")
+    assert str(r["reports_date"]) == "2024-08-09" and r["bill_date"] is None
+    r = rows.filter("clinic_id = 'river_hospital'").first()  # month first; the other order as a fallback
+    assert (r["gender"], str(r["bill_date"]), str(r["reports_date"])) == ("Male", "2024-11-04", "2024-04-13")
+    tagged = rows.filter("document_id = 'paper tags'").first()
+    assert (tagged["claim_no"], tagged["source_system_reported"], tagged["nt_code"]) == tuple(sample.TAGS.values())
+    assert (tagged["age_years"], tagged["age_months"], tagged["age_days"]) == (5.0, 0.0, 30.0)
+    assert (tagged["gender"], str(tagged["reports_date"]), tagged["bill_date"]) == ("Female", "2024-01-02", None)
 
 
 def test_discharge_and_medications(world):
     rows = world["result"].rows
     s = rows.filter("record_type = 'discharge_summary'").first()
-    assert str(s["admission_date"]) == "2024-11-03" and str(s["discharge_date"]) == "2024-11-09"
-    assert s["course_during_hospitalisation"] is None
-    assert s["medicine_injections_investigation"] == "RINSE ONE; RINSE TWO"
+    assert str(s["admission_date"]) == "2023-12-31" and str(s["discharge_date"]) == "2024-01-04"
+    assert s["course_during_hospitalisation"] == "calm"
+    assert s["medicine_injections_investigation"] == "BATH"
     meds = rows.filter("record_type = 'medication'").select("generic_name", "medicine_type").collect()
-    assert sorted(meds, key=str) == sorted([
-        ("Orpanol", "brand_resolved"), ("CAP. ORP X", "unmapped_brand_or_generic"),
-        ("Zalvorin", "brand_resolved"), (None, "missing")], key=str)
+    assert sorted(map(tuple, meds), key=str) == sorted(sample.MEDICINES_TAKEN, key=str)
 
 
 def test_repeats_are_flagged_then_collapse_by_id(world):
     flagged = world["result"].rows.filter("duplicate_within_report").collect()
-    assert [(r["test_name_original"], r["page_number"]) for r in flagged] == [("MANGANESE", "2")]
-    assert "on page 1 of" in flagged[0]["flag_reason"]
-    # its id equals the first one's, so the table holds that one only
+    assert len(flagged) == len(STATUSES) - DISTINCT
+    pages = {r["page_number"]: r["flag_reason"] for r in flagged if r["document_id"] == "paper repeated"}
+    assert sorted(pages) == ["6", "9"] and all("on page 4 of" in x for x in pages.values())
+    # their ids equal the first one's, so the table holds that one only
     loaded = pipeline.load_rows(world["result"].rows)
-    assert loaded.filter("test_name_canonical = 'Manganese' and result_value = 33").count() == 1
+    assert sorted(r[0] for r in loaded.filter("document_id = 'paper repeated'").select(
+        "result_value").collect()) == [2.5, 2.75]
 
 
 def test_ids_and_the_reference_option(spark, world):
@@ -162,7 +132,8 @@ def test_ids_and_the_reference_option(spark, world):
     same, _ = pipeline.standardise(docs, dims, reference_ids=True)
     meds = same.filter("record_type = 'medication'")
     assert meds.select("id").distinct().count() == 1
-    assert world["result"].rows.filter("record_type = 'medication'").select("id").distinct().count() == 4
+    assert world["result"].rows.filter("record_type = 'medication'").select("id").distinct().count() == len(
+        sample.MEDICINES_TAKEN)
     again, _ = pipeline.standardise(docs, dims)
     assert sorted(r[0] for r in again.select("id").collect()) == sorted(
         r[0] for r in world["result"].rows.select("id").collect())
@@ -172,51 +143,52 @@ def test_options_compare_converted_values_and_reported_ranges(spark, world):
     dims = dims_from_folder(spark, world["config"])
     docs = world["result"].documents
     rows, _ = pipeline.standardise(docs, dims, compare_on="converted", range_from="reported_first")
-    got = {(r["clinic_id"], r["test_name_original"]): r["test_analytics"]
+    got = {(r["document_id"], r["test_name_original"]): r["test_analytics"]
            for r in rows.filter("record_type = 'lab_test'").collect()}
-    assert got["north_lab", "EC at 25"] == "Within Range"
-    assert got["north_lab", "emperature of water"] == "Within Range"
+    assert got["paper units", "Electrical Conductivity"] == "Within Range"  # 900 and not 0.9
+    assert got["paper units", "Sampling Depth Below The Water Table"] == "Outlier"  # 0.05 and not 5
+    assert got["sheet 6", "coliform plate result"] == "Above Range"
 
 
 def test_tables_and_reruns(spark, world):
     before = sinks.read_table(spark, f"{world['out']}/records")
-    assert before.count() == 37
+    assert before.count() == STORED
     ids = sorted(r[0] for r in before.select("id").collect())
     pipeline.run(spark, world["in"], world["config"], world["out"])
     records = sinks.read_table(spark, f"{world['out']}/records")
     assert sorted(r[0] for r in records.select("id").collect()) == ids
     assert sinks.read_table(spark, f"{world['out']}/runs").count() == 2
     seen = {r["clinic_id"]: r["files_seen"] for r in pipeline.stored_stats(spark, world["out"]).collect()}
-    assert len(seen) == 6 and sum(seen.values()) == 20  # two runs over ten files
-    assert sinks.error_log(spark, f"{world['out']}/dead_letter").count() == 16
+    assert seen.keys() == SOURCES and sum(seen.values()) == 2 * FILES
+    assert sinks.error_log(spark, f"{world['out']}/dead_letter").count() == 2 * len(LETTERS)
     pipeline.run(spark, world["in"], world["config"], world["out"], reset=True)
     assert sinks.read_table(spark, f"{world['out']}/runs").count() == 1
-    assert sinks.error_log(spark, f"{world['out']}/dead_letter").count() == 8
+    assert sinks.error_log(spark, f"{world['out']}/dead_letter").count() == len(LETTERS)
 
 
 def test_reports(spark, world):
     records = pipeline.load_rows(world["result"].rows)
     view = {(r["clinic_id"], r["Test_Name"]): r for r in reports.five_column_view(records).collect()}
-    hb = view["hill_labs", "Turbidity"]
-    assert (hb["Test_Name_Result"], hb["Test_Name_Range"], hb["Test_Name_Unit"]) == (
-        "0.3", "1.0-5.0", "NTU")
-    assert view["river_hospital", "Dissolved Oxygen"]["Test_Name_Result"] == "AWAITED"
+    row = view["hill_labs", "Coliform Colonies"]
+    assert (row["Test_Name_Result"], row["Test_Name_Range"], row["Test_Name_Unit"]) == (
+        "14.0", "0.0-9.5", "cfu")
+    assert view["river_hospital", "Odour"]["Test_Name_Result"] == "sweet"
     queue = reports.flagged_queue(records).collect()
     order = {"Outlier": 0, "Invalid": 1}
     ranks = [order.get(r["test_analytics"], 2) for r in queue]
     assert ranks == sorted(ranks) and len(queue[0]) == 16
     assert {r["test_analytics"] for r in reports.flagged_queue(records, flag="Invalid").collect()} == {"Invalid"}
-    assert reports.flagged_queue(records, clinic="hill_labs").count() == 4
-    assert [r["document_id"] for r in reports.record_search(records, "ed quarry").collect()] == ["H-1"]
-    assert reports.record_search(records, "R_1").count() == 1  # _ is a wildcard
+    assert reports.flagged_queue(records, clinic="hill_labs").count() == 1
+    assert [r["document_id"] for r in reports.record_search(records, "ole BERG").collect()] == ["nr 5"]
+    assert reports.record_search(records, "p_per tags").count() == 1  # _ is a wildcard
     audit = sinks.audit_rows(world["result"].documents, world["result"].rows)
-    detail = reports.record_detail(records, audit, "PAPER-MIX").collect()
+    detail = reports.record_detail(records, audit, "paper stay").collect()
     assert [r["record_type"] for r in detail] == sorted(r["record_type"] for r in detail)
-    assert '"paper":"PAPER-MIX"' in detail[0]["raw_json"]
+    assert '"paper":"paper stay"' in detail[0]["raw_json"]
     parts = reports.dashboard(records, world["result"].summary.withColumns(
         {"run_id": F.lit("r"), "finished_at": F.current_timestamp()}), world["result"].errors)
-    assert parts["total_records"].first()[0] == 37 and parts["error_count"].first()[0] == 8
-    assert parts["last_run"].count() == 1 and parts["recent_errors"].count() == 8
+    assert parts["total_records"].first()[0] == STORED and parts["error_count"].first()[0] == len(LETTERS)
+    assert parts["last_run"].count() == 1 and parts["recent_errors"].count() == min(10, len(LETTERS))
 
 
 def test_stream_equals_batch(spark, world):
@@ -225,7 +197,7 @@ def test_stream_equals_batch(spark, world):
     landing, out, state = root / "in", str(root / "out"), str(root / "state")
     dims = dims_from_folder(spark, world["config"])
     source = world["root"] / "in"
-    first = ["north_lab/2025-02-26/a_mixed.json", "river_hospital/2025-02-27/r.json"]
+    first = [sample.UNITS_PATH, "river_hospital/2024-11-05/tree.json"]
     files = sorted(p.relative_to(source) for p in source.rglob("*.json"))
     for part in (files and [p for p in files if str(p) in first], [p for p in files if str(p) not in first]):
         for p in part:
@@ -236,12 +208,12 @@ def test_stream_equals_batch(spark, world):
         "processed_at", "ingested_at", "file_path")
     batch = pipeline.load_rows(world["result"].rows).select(*streamed.columns)
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
-    assert sinks.read_table(spark, f"{out}/suppressed").count() == 2
-    assert sinks.error_log(spark, f"{out}/dead_letter").filter("reason is not null").count() == 8
+    assert sinks.read_table(spark, f"{out}/suppressed").count() == len(sample.COPIES)
+    assert sinks.error_log(spark, f"{out}/dead_letter").filter("reason is not null").count() == len(LETTERS)
     runs = sinks.read_table(spark, f"{out}/runs")
-    assert runs.count() == 2 and runs.agg(F.sum("files_seen")).first()[0] == 10
-    assert pipeline.stored_stats(spark, out).count() == 6
-    assert sinks.read_table(spark, f"{out}/audit").count() == 5
+    assert runs.count() == 2 and runs.agg(F.sum("files_seen")).first()[0] == FILES
+    assert pipeline.stored_stats(spark, out).count() == len(SOURCES)
+    assert sinks.read_table(spark, f"{out}/audit").count() == len(sample.REPORTS)
 
 
 def test_replaying_a_batch_changes_nothing(spark, world):
@@ -250,9 +222,9 @@ def test_replaying_a_batch_changes_nothing(spark, world):
     files = read_files(spark, world["in"])
     for _ in range(2):
         ingest.ingest_batch(files, 0, dims, out)
-    assert sinks.read_table(spark, f"{out}/records").count() == 37
-    assert sinks.read_table(spark, f"{out}/kept_keys").count() == 5
-    assert sinks.error_log(spark, f"{out}/dead_letter").count() == 8
+    assert sinks.read_table(spark, f"{out}/records").count() == STORED
+    assert sinks.read_table(spark, f"{out}/kept_keys").count() == len(sample.REPORTS)
+    assert sinks.error_log(spark, f"{out}/dead_letter").count() == len(LETTERS)
     assert sinks.read_table(spark, f"{out}/runs").count() == 1
 
 
@@ -270,7 +242,7 @@ def test_batch_and_stream_statistics_add_up(spark, world):
     assert again == both
 
 
-@pytest.mark.parametrize("broken", range(7))
+@pytest.mark.parametrize("broken", [0, 3, 6])
 def test_a_run_that_fails_leaves_every_table_as_it_was(spark, world, monkeypatch, broken):
     """The write of one table fails after others are done: nothing of the run is visible."""
     out = str(world["root"] / "atomic")
@@ -334,10 +306,10 @@ def test_roots_and_paths(spark, world, tmp_path):
     assert parts("/in/x.json", "/in") == ["unknown-clinic", "unknown-date"]
     with pytest.raises(Exception, match="is not below"):
         parts("hdfs://main/in/alpha/2026-01-01/x.json", "/in")
-    some = read_files(spark, world["in"], clinics=["hill_labs", "ghost"], dates=["2025-02-27"])
-    assert {(r["clinic_id"], r["date_str"]) for r in some.collect()} == {("hill_labs", "2025-02-27")}
+    some = read_files(spark, world["in"], clinics=["hill_labs", "nobody"], dates=["2024-11-06"])
+    assert {(r["clinic_id"], r["date_str"]) for r in some.collect()} == {("hill_labs", "2024-11-06")}
     some = read_files(spark, world["in"] + "/", clinics=["hill_labs"])
-    assert some.count() == 3 and read_files(spark, world["in"], dates=["2025-02-28"]).count() == 3
+    assert some.count() == 2 and read_files(spark, world["in"], dates=["2024-12-05"]).count() == 5
 
 
 def test_files_without_ids_are_documents_of_their_own(spark, world):
