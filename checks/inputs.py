@@ -55,8 +55,8 @@ RAW = {
         ELSE concat('xyz ', event_type, ' 123') END""",
     "result": """CASE event_id % 9 WHEN 0 THEN CAST(value AS STRING)
         WHEN 1 THEN concat('H ', CAST(value AS STRING))
-        WHEN 2 THEN concat(CAST(value AS STRING), ' mg/dl') WHEN 3 THEN 'NEGATIVE'
-        WHEN 4 THEN '12-20' WHEN 5 THEN '' WHEN 6 THEN concat(' ', CAST(value AS STRING), ' ')
+        WHEN 2 THEN concat(CAST(value AS STRING), ' mg/dl') WHEN 3 THEN 'BLURRED'
+        WHEN 4 THEN '31-44' WHEN 5 THEN '' WHEN 6 THEN concat(' ', CAST(value AS STRING), ' ')
         WHEN 7 THEN 'view - 1.5, error - 25.5' ELSE '1:80' END""",
     "unit": """CASE event_id % 5 WHEN 0 THEN 'mg/dl' WHEN 1 THEN 'MG/DL ' WHEN 2 THEN 'g/l'
         WHEN 3 THEN 'weird' ELSE '' END""",

@@ -646,3 +646,4 @@ ORACLE["streamed_dead_letters"] = sql([*PIPELINE, ERRORS], """SELECT clinic_id,
     count(DISTINCT batch) AS batches FROM (SELECT e.clinic_id, e.stage, e.reason, unnest(
       CASE WHEN p.doc_no >= 1000 THEN [1] WHEN e.stage = 'ingestion' THEN [0, 1] ELSE [0] END) AS batch
       FROM errors e JOIN paths p USING (file_path)) GROUP BY ALL""")
+ORACLE["record_search_scan"] = ORACLE["record_search"]

@@ -654,6 +654,15 @@ def flagged_queue_repeats(spark, sf):
 
 @query
 def record_search(spark, sf):
+    """Through the index of grams, built over the records of the published run."""
+    path = scratch_path(spark, "search")
+    reports.index_records(snapshots.read(spark, _written(spark, sf), "records"), path)
+    return reports.indexed_search(spark, path, "p u1")
+
+
+@query
+def record_search_scan(spark, sf):
+    """The same by a scan, as terms without a gram are answered."""
     return reports.record_search(_records(spark, sf), "p u1")
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labweave.functions.numbers import range_text, result_text
 from labweave.functions.status import QUEUED, severity_rank
+from labweave.operators.search import build_index, search_index
 from labweave.operators.stats import breakdown
 
 # The filter word that selects repeats in the flagged queue.
@@ -44,6 +45,21 @@ def flagged_queue(records: DataFrame, flag: str | None = None, clinic: str | Non
     return rows.select(*QUEUE_COLUMNS).orderBy(severity_rank("test_analytics"), "id").limit(limit)
 
 
+#: What a search shows, and the columns that it looks into.
+SEARCH_SHOWN = ["document_id", "clinic_id", "patient_name", "uhid", "hospital_name"]
+SEARCHED = ["document_id", "uhid", "patient_name"]
+
+
+def index_records(records: DataFrame, path: str) -> None:
+    """Write the index that :func:`indexed_search` reads."""
+    build_index(records, path, SEARCH_SHOWN, SEARCHED)
+
+
+def indexed_search(spark: SparkSession, path: str, q: str, limit: int = 50) -> DataFrame:
+    """:func:`record_search` through the index at ``path``, without a scan of the records."""
+    return search_index(spark, path, q, SEARCHED, limit=limit)
+
+
 def record_search(records: DataFrame, q: str, limit: int = 50) -> DataFrame:
     """Documents whose id, patient id or patient name contains ``q``, in any case; ``%`` and
     ``_`` in the term are wildcards."""

@@ -20,8 +20,8 @@ BROADCAST_CHARS = 64 * 1024 * 1024
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS
 ) -> bool:
-    """Measure ``df`` against the broadcast bound."""
-    rows, chars = df.select(F.length(F.to_json(F.struct("*"))).alias("c")).agg(
+    """Measure ``df`` against the broadcast bound, on no more rows than that takes."""
+    rows, chars = df.limit(max_rows + 1).select(F.length(F.to_json(F.struct("*"))).alias("c")).agg(
         F.count("*"), F.coalesce(F.sum("c"), F.lit(0))
     ).first()
     return rows <= max_rows and chars <= max_chars
