@@ -647,3 +647,9 @@ ORACLE["streamed_dead_letters"] = sql([*PIPELINE, ERRORS], """SELECT clinic_id,
       CASE WHEN p.doc_no >= 1000 THEN [1] WHEN e.stage = 'ingestion' THEN [0, 1] ELSE [0] END) AS batch
       FROM errors e JOIN paths p USING (file_path)) GROUP BY ALL""")
 ORACLE["record_search_scan"] = ORACLE["record_search"]
+ORACLE["match_similar_levenshtein"] = sql(PART_MATCH[:4], """SELECT name_norm, alias_norm, canonical,
+    CAST(distance AS INTEGER) AS distance, round(score, 6) AS score FROM (
+      SELECT *, row_number() OVER (PARTITION BY name_norm ORDER BY score DESC, alias_norm DESC) AS rn FROM (
+        SELECT name_norm, alias_norm, canonical, levenshtein(name_norm, alias_norm) AS distance,
+          1 - levenshtein(name_norm, alias_norm) / greatest(length(name_norm), length(alias_norm))::DOUBLE AS score
+        FROM names, alias WHERE name_norm <> '') WHERE score >= 0.85 - 1e-9) WHERE rn = 1""")

@@ -338,6 +338,14 @@ def match_similar_ratio(spark, sf):
         "name_norm", "alias_norm", "canonical", F.round("score", 6).alias("score"), "confidence")
 
 
+@query
+def match_similar_levenshtein(spark, sf):
+    """Best alias by edit distance, for every distinct name, in built-in functions alone."""
+    names = matching.distinct_names(_part_names(spark, sf), "raw_name")
+    return matching.edit_matches(names, _part_dims(spark, sf).alias).select(
+        "name_norm", "alias_norm", "canonical", "distance", F.round("score", 6).alias("score"))
+
+
 @query
 def match_tiered(spark, sf):
     """Every row resolved by the first tier that answers."""

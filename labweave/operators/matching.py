@@ -166,6 +166,53 @@ def similar_matches(names: DataFrame, alias: DataFrame, threshold: float = 0.9)
     return best.join(alias.select("alias_norm", "canonical"), "alias_norm")
 
 
+def edit_candidates(names: DataFrame, alias: DataFrame, threshold: float) -> DataFrame:
+    """``name_norm, alias_norm`` pairs that contain every pair whose edit similarity
+    1 - distance / longer length reaches ``threshold``.
+
+    At most k = floor((1 - threshold) * longer length) edits are allowed. Of k + 1 pieces of the alias one
+    is untouched by them, so the name holds it whole, moved by at most k places. Above a threshold of
+    1/2 every alias has a character for each piece. Only lengths that occur on both sides are cut.
+    """
+    if threshold <= 1 / 2:
+        raise ValueError("edit similarity thresholds must be above 1/2")
+    budget = F.floor(F.lit(1.0 - threshold) * F.greatest("la", "lb") + F.lit(1e-9)).cast("int")
+    named = names.filter("name_norm != ''").select("name_norm", F.length("name_norm").alias("lb"))
+    pool = alias.filter("alias_norm != ''").select("alias_norm", F.length("alias_norm").alias("la"))
+    # Distinct lengths: at most as many rows as the longest text has characters.
+    lengths = pool.select("la").distinct().withColumn("lb", F.explode(F.sequence(
+        F.ceil(F.col("la") * threshold - 1e-9).cast("int"), F.floor(F.col("la") / threshold + 1e-9).cast("int")
+    ))).join(named.select("lb").distinct(), "lb").withColumn("k", budget).filter("abs(la - lb) <= k")
+    lengths = broadcast_if_small(checkpoint(lengths, "lengths"))
+
+    def pieces(df: DataFrame) -> DataFrame:
+        edge = lambda i: F.floor(i * F.col("la") / (F.col("k") + 1)).cast("int")
+        cut = df.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("k"))))
+        return cut.withColumns({"start": edge(F.col("piece")), "stop": edge(F.col("piece") + 1)})
+
+    text = lambda c, at: F.substring(c, at + 1, F.col("stop") - F.col("start"))
+    a = pieces(pool.join(lengths, "la")).select(
+        "la", "lb", "piece", "alias_norm", text("alias_norm", F.col("start")).alias("text"))
+    n = pieces(named.join(lengths, "lb"))
+    first = F.greatest(F.col("start") - F.col("k"), F.lit(0))
+    last = F.least(F.col("start") + F.col("k"), F.col("lb") - (F.col("stop") - F.col("start")))
+    n = n.filter(first <= last).withColumn("at", F.explode(F.sequence(first, last))).select(
+        "la", "lb", "piece", "name_norm", text("name_norm", F.col("at")).alias("text"))
+    return n.join(a, ["la", "lb", "piece", "text"]).select("name_norm", "alias_norm").distinct()
+
+
+def edit_matches(names: DataFrame, alias: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """``name_norm, alias_norm, canonical, distance, score`` of the best alias by edit similarity, without
+    Python; equal scores go to the later alias in text order."""
+    longer = F.greatest(F.length("name_norm"), F.length("alias_norm"))
+    scored = edit_candidates(names, alias, threshold).withColumn(
+        "distance", F.levenshtein("name_norm", "alias_norm")).withColumn(
+        "score", 1 - F.col("distance") / longer)
+    best = scored.filter(F.col("score") >= threshold - 1e-9).groupBy("name_norm").agg(
+        F.max(F.struct("score", "alias_norm", "distance")).alias("b"))
+    return best.select("name_norm", "b.*").join(alias.select("alias_norm", "canonical"), "alias_norm")
+
+
 def name_map(names: DataFrame, dims: Dims) -> DataFrame:
     """``name_norm, canonical, method, confidence`` for every distinct name: the first tier
     that answers wins, later tiers see only what is left."""

@@ -83,6 +83,38 @@ def test_similarity_equals_a_scan_of_all_aliases(spark, threshold):
     assert got == want
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("threshold", [0.55, 0.7, 0.85, 1.0])
+def test_edit_similarity_equals_a_scan_of_all_aliases(spark, threshold):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abc ") for _ in range(n))
+    pool = sorted({word(rng.randint(1, 14)) for _ in range(60)} | {"a", "zz"})
+    names = {word(rng.randint(0, 14)) for _ in range(60)} | {"", "a", "é"}
+    for p in rng.sample(pool, 30):
+        i = rng.randrange(len(p))
+        names |= {p[:i] + rng.choice("abx") + p[i + rng.randrange(2):]}
+    want = set()
+    for n in names - {""}:
+        scored = [(1 - edit_distance(n, a) / max(len(n), len(a)), a) for a in pool]
+        score, a = max(scored)
+        if score >= threshold - 1e-9:
+            want.add((n, a, edit_distance(n, a)))
+    alias = spark.createDataFrame([(p, p) for p in pool], "alias_norm string, canonical string")
+    got = matching.edit_matches(
+        spark.createDataFrame([(n,) for n in sorted(names)], "name_norm string"), alias, threshold)
+    assert {(r["name_norm"], r["alias_norm"], r["distance"]) for r in got.collect()} == want
+    with pytest.raises(ValueError):
+        matching.edit_candidates(got, alias, 0.5)
+
+
 def test_truncation_tiers_take_the_first_alias_in_dictionary_order(spark):
     tests = spark.createDataFrame(
         [(0, "Second one alpha", []), (1, "First one alpha", ["Third one alpha"])],
