@@ -580,6 +580,11 @@ ORACLE["unresolved_names"] = sql(PIPELINE, """SELECT test_name_original, count(*
 ORACLE["unresolved_rate"] = sql(PIPELINE, """SELECT clinic_id, CAST(date_str AS DATE) AS day, count(*) AS n,
     round(avg(CASE WHEN normalization_method = 'unresolved' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6)
     AS unresolved_rate FROM all_rows WHERE record_type = 'lab_test' GROUP BY ALL""")
+ORACLE["quality_sketches"] = sql(PIPELINE, """SELECT clinic_id, count(*) AS n,
+    count(DISTINCT document_id) AS documents, count(DISTINCT test_name_original) AS test_names,
+    true AS counts_within, true AS median_within
+    FROM all_rows WHERE record_type = 'lab_test' GROUP BY clinic_id""")
+ORACLE["streamed_quality"] = ORACLE["quality_sketches"]
 ORACLE["error_rate_daily"] = sql(FILES, """SELECT CAST(date_str AS DATE) AS day, count(*) AS seen,
     count(reason) AS failed, round(count(reason)::DOUBLE / count(*), 6) AS error_rate
     FROM paths GROUP BY date_str HAVING count(reason)::DOUBLE / count(*) > 0.01""")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.inputs import dims, raw_results, report_files, table
 from labweave import functions as fn
-from labweave.operators import dedup, mapping, matching, measures, sinks, snapshots, stats
+from labweave.operators import dedup, mapping, matching, measures, sinks, sketches, snapshots, stats
 from labweave.plans import pipeline, reports
 from labweave.session import scratch_path
 from labweave.sources.config import Dims, alias_pool, small
@@ -628,6 +628,40 @@ def unresolved_rate(spark, sf):
         "clinic_id", "day", "n", F.round("unresolved_rate", 6).alias("unresolved_rate"))
 
 
+def _within(estimates: DataFrame, rows: DataFrame) -> DataFrame:
+    """Exact counts per source, and whether the estimates keep to their stated error."""
+    lab = rows.filter("record_type = 'lab_test'").select(
+        "clinic_id", "document_id", "test_name_original", "result_value")
+    median = F.col("e.median")
+    exact = lab.alias("r").join(F.broadcast(estimates.alias("e")), "clinic_id").groupBy("clinic_id").agg(
+        F.count("*").alias("n"), F.countDistinct("document_id").alias("documents"),
+        F.countDistinct("test_name_original").alias("test_names"),
+        F.first("e.documents").alias("d"), F.first("e.test_names").alias("t"), F.first("rows").alias("rows"),
+        F.avg((F.col("result_value") < median).cast("int")).alias("below"),
+        F.avg((F.col("result_value") <= median).cast("int")).alias("up_to"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= sketches.DISTINCT_ERROR * F.col(b)
+    return exact.select(
+        "clinic_id", "n", "documents", "test_names",
+        (near("d", "documents") & near("t", "test_names") & (F.col("rows") == F.col("n"))).alias(
+            "counts_within"),
+        ((F.col("below") <= 0.5 + sketches.RANK_ERROR)
+         & (F.col("up_to") >= 0.5 - sketches.RANK_ERROR)).alias("median_within"))
+
+
+@query
+def quality_sketches(spark, sf):
+    """Day sketches merged by source, held against exact counts."""
+    rows = _run(spark, sf).rows
+    days = sketches.day_sketches(rows)
+    return _within(sketches.read_sketches(sketches.merge_sketches(days, "clinic_id")), rows)
+
+
+@query
+def streamed_quality(spark, sf):
+    """The same sketches from two micro-batches, read from the stream's table."""
+    return _within(pipeline.stored_quality(spark, _streamed(spark, sf), "clinic_id"), _run(spark, sf).rows)
+
+
 @query
 def error_rate_daily(spark, sf):
     files = scan_paths(spark, sf)

@@ -14,6 +14,7 @@ from labweave.operators.dedup import dedup_documents, flag_repeats, keep_first,
 from labweave.operators.matching import UNRESOLVED, UNRESOLVED_METHOD, match_names
 from labweave.operators.measures import measure
 from labweave.operators.skew import HOT_ROWS
+from labweave.operators.sketches import day_sketches, merge_sketches, read_sketches
 from labweave.operators.stats import FILE_COUNTS, ROW_COUNTS, clinic_stats, run_summary
 from labweave.session import checkpoint, configure
 from labweave.sources.config import Dims, dims_from_folder
@@ -173,6 +174,7 @@ LAYOUT = {
     "runs": (["run_id"], [], []),
     "suppressed": (["file_path", "run"], [], []),
     "kept_keys": ([], [], []),
+    "quality": (["clinic_id", "date_str", "run"], [], []),
 }
 
 
@@ -190,6 +192,7 @@ def write_result(
         "audit": sinks.audit_rows(result.documents, result.rows),
         "runs": run_log(result, started),
         "suppressed": result.suppressed.withColumn("run", F.lit(run_id)),
+        "quality": day_sketches(result.rows).withColumn("run", F.lit(run_id)),
         **(more or {}),
     }
     deltas = []
@@ -208,3 +211,17 @@ def stored_stats(spark: SparkSession, out: str) -> DataFrame | None:
     found = sinks.read_table(spark, f"{out}/clinic_stats")
     return None if found is None else found.groupBy("clinic_id").agg(
         *[F.sum(c).alias(c) for c in FILE_COUNTS + ROW_COUNTS])
+
+
+def stored_quality(spark: SparkSession, out: str, *by: str, since: str | None = None,
+                   until: str | None = None) -> DataFrame | None:
+    """Distinct counts and quantiles per ``by`` (``clinic_id``, ``date_str``, both or none) over the days
+    from ``since`` to ``until``, merged from the sketches of all runs and batches at ``out``."""
+    found = sinks.read_table(spark, f"{out}/quality")
+    if found is None:
+        return None
+    days = [F.col("date_str") >= since] * (since is not None) + [
+        F.col("date_str") <= until] * (until is not None)
+    for d in days:
+        found = found.filter(d)
+    return read_sketches(merge_sketches(found, *by))
