@@ -176,35 +176,56 @@ def suppressed_rows(suppressed: DataFrame) -> DataFrame:
     )
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """The first row per key. An aggregate, not a ranking window: each task sends one row per
     key, so a key with many copies does not meet in one place."""
-    first = lambda rows: rows.groupBy(*keys).agg(
-        F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_r")).select("_r.*")
-    return _of_repeated(df, keys, first)
+    return _of_repeated(df, keys, order, F.min, F.min_by, hot_rows)
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
     """The last row per key, e.g. the latest run or the latest version."""
-    last = lambda rows: rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_r")).select("_r.*")
-    return _of_repeated(df, keys, last)
+    return _of_repeated(df, keys, order, F.max, F.max_by, hot_rows)
 
 
-def _of_repeated(df: DataFrame, keys: Sequence[str], settle) -> DataFrame:
-    """``settle`` on the rows of keys that occur more than once, all others as they are.
+def _of_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], best, best_by,
+                 hot_rows: int) -> DataFrame:
+    """The best row of each key that occurs more than once, all other rows as they are.
 
-    Whole rows are sorted and moved only where a key repeats. The repeated keys are found on the
-    key columns alone and landed; if there are too many to broadcast, all rows are settled.
+    The repeated keys are found on the key columns alone and landed. While they fit a broadcast, no
+    other row is moved. Beyond that rows meet them by key in hashed, unsorted joins; rows of a key with
+    more than ``hot_rows`` stay where they are, since such keys are few.
     """
     many = checkpoint(
-        df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(
-            *[F.col(k).alias(f"_m_{k}") for k in keys]), "repeated")
-    if not fits_broadcast(many):
-        return settle(df)
+        df.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(
+            *[F.col(k).alias(f"_m_{k}") for k in keys], "_n"), "repeated")
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
-    many = F.broadcast(many)
-    return df.join(many, on, "left_anti").unionByName(settle(df.join(many, on, "left_semi")))
+    if fits_broadcast(many):
+        many = F.broadcast(many.drop("_n"))
+        rows = df.join(many, on, "left_semi")
+        best_rows = rows.groupBy(*keys).agg(
+            best_by(F.struct(*df.columns), F.struct(*order)).alias("_r")).select("_r.*")
+        return df.join(many, on, "left_anti").unionByName(best_rows)
+    hot = broadcast_if_small(many.filter(F.col("_n") > hot_rows).drop("_n"))
+    others = df.join(hot, on, "left_anti")
+    keyed = many.filter(F.col("_n") <= hot_rows).drop("_n").hint("shuffle_hash")
+    repeated = others.join(keyed, on, "left_semi").unionByName(df.join(hot, on, "left_semi"))
+    return others.join(keyed, on, "left_anti").unionByName(
+        _best_landed(checkpoint(repeated, "repeated-rows"), keys, order, best))
+
+
+def _best_landed(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str], best) -> DataFrame:
+    """The best of each key's rows in a landed table: only keys, order and place in the files are
+    sorted, whole rows are looked up by place. Of equal rows the place decides."""
+    placed = rows.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    won = placed.groupBy(*keys).agg(best(F.struct(
+        F.struct(*order).alias("_order"), "_file", "_row")).alias("_best")).select(
+        F.col("_best._file").alias("_won_file"), F.col("_best._row").alias("_won_row"))
+    return placed.join(
+        won.hint("shuffle_hash"), (F.col("_file") == F.col("_won_file")) & (F.col("_row") == F.col("_won_row")),
+        "left_semi").drop("_file", "_row")
 
 
 def flag_repeats(

@@ -141,3 +141,30 @@ def test_upsert_table(spark, tmp_path):
     assert got == want
     sinks.upsert_parquet(two, path, ["id"], reset=True)
     assert sinks.read_table(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1_000])
+def test_first_and_last_beyond_the_broadcast_bound(spark, monkeypatch, hot_rows):
+    """More repeated keys than a broadcast takes: joins by key, hot keys apart, the same rows."""
+    rng = random.Random(hot_rows)
+    keys = [None, "hot", *map(str, range(30))]
+    rows = [(rng.choice(keys) if rng.random() < 0.6 else "hot", rng.choice([None, *range(9)]), i, {"i": i})
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, o int, i int, m map<string,int>").repartition(5)
+    first, last = {}, {}
+    for k, o, i, m in rows:
+        place = (o is not None, o or 0, i)
+        first[k] = min(first.get(k, (place,)), (place,))
+        last[k] = max(last.get(k, (place,)), (place,))
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda df: False)
+    for keep, want in ((dedup.keep_first, first), (dedup.keep_last, last)):
+        kept = keep(df, ["k"], ["o", "i"], hot_rows=hot_rows)
+        assert kept.columns == df.columns
+        assert sorted((r["i"], r["m"]["i"]) for r in kept.collect()) == sorted(
+            (v[0][2],) * 2 for v in want.values())
+
+
+def test_equal_rows_beyond_the_broadcast_bound_leave_one(spark, monkeypatch):
+    df = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)], "k string, o int")
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda df: False)
+    assert sorted(map(tuple, dedup.keep_first(df, ["k"], ["o"]).collect())) == [("a", 1), ("b", 2)]
