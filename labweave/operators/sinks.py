@@ -70,7 +70,7 @@ def error_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def audit_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row per document: the raw body beside its standardised rows, in order.
+    """One row per document: the raw body and its two identities beside its standardised rows, in order.
 
     The rows gathered into one array all come from one file, whose text a single task has
     parsed already.
@@ -83,5 +83,5 @@ def audit_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
     )
     return documents.select(
         F.coalesce("document_id", "file_path").alias("document_id"), "clinic_id",
-        "file_path", F.col("body").alias("raw"),
+        "file_path", F.col("body").alias("raw"), "dedup_key", "content_hash",
     ).join(per_file, "file_path", "left").withColumnRenamed("file_path", "source_file")

@@ -11,6 +11,9 @@ the filters and columns of the query, and never sorted or shuffled while the new
 ``fold`` keeps deltas few: it joins the newest ones as long as they are not much smaller than
 what lies below, so a row is rewritten a logarithmic number of times.
 
+A retraction is a delta of values, not of rows: older rows with one of them in its columns are gone,
+in keyed and other tables alike. What the same run writes besides is newer than its retraction.
+
 Deltas can be laid out by partition columns, and within files sorted by lookup columns, which also get
 Parquet Bloom filters; a search for one value then skips the row groups without it.
 
@@ -46,6 +49,8 @@ class Delta:
     keys: tuple[str, ...] = ()
     by: tuple[str, ...] = ()
     lookup: tuple[str, ...] = ()
+    #: Not empty: a retraction, whose values in these columns older deltas lose.
+    gone: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -57,13 +62,14 @@ class Snapshot:
     numbered: dict[str, int] = field(default_factory=dict)
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as its own object."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def _listed(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
@@ -74,7 +80,7 @@ def snapshot(spark: SparkSession, root: str, number: int | None = None) -> Snaps
         names = [n for n in names if int(n[:-5]) == number]
     if not names:
         return Snapshot()
-    fs, p = _fs(spark, f"{root}/{LOG}/{names[-1]}")
+    fs, p = filesystem(spark, f"{root}/{LOG}/{names[-1]}")
     stream = fs.open(p)
     try:
         raw = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
@@ -90,8 +96,8 @@ def _publish(spark: SparkSession, root: str, snap: Snapshot) -> None:
     body = json.dumps({"number": snap.number, "numbered": snap.numbered,
                        "tables": {t: [asdict(d) for d in ds] for t, ds in snap.tables.items()}})
     final = f"{root}/{LOG}/{snap.number:012d}.json"
-    fs, target = _fs(spark, final)
-    _, aside = _fs(spark, f"{root}/{LOG}/.{snap.number:012d}-{uuid.uuid4().hex}")
+    fs, target = filesystem(spark, final)
+    _, aside = filesystem(spark, f"{root}/{LOG}/.{snap.number:012d}-{uuid.uuid4().hex}")
     out = fs.create(aside, False)
     out.write(bytearray(body, "utf-8"))
     out.close()
@@ -123,6 +129,14 @@ def write_delta(
     return table, Delta(folder, run, rows, schema.json(), tuple(keys), tuple(by), tuple(lookup))
 
 
+def write_retraction(
+    values: DataFrame, root: str, table: str, on: Sequence[str], *, run: str,
+) -> tuple[str, Delta]:
+    """Write the distinct values of ``on`` whose older rows :func:`publish` is to take away."""
+    name, delta = write_delta(values.select(*on).distinct(), root, table, run=run)
+    return name, replace(delta, gone=tuple(on))
+
+
 def publish(
     spark: SparkSession, root: str, deltas: Iterable[tuple[str, Delta]], *, run: str,
     number: int | None = None, reset: bool = False,
@@ -151,16 +165,29 @@ def _rows(spark: SparkSession, root: str, table: str, delta: Delta) -> DataFrame
     return spark.read.schema(schema).parquet(f"{root}/{table}/{delta.folder}").select(*schema.names)
 
 
+def _without(rows: DataFrame, newer: DataFrame, on: Sequence[str]) -> DataFrame:
+    newer = newer.select(*[F.col(c).alias(f"_newer_{c}") for c in on])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_newer_{c}")) for c in on])
+    return rows.join(newer, same, "left_anti")
+
+
 def _merged(spark: SparkSession, root: str, table: str, deltas: Sequence[Delta]) -> DataFrame:
     parts = [_rows(spark, root, table, d) for d in deltas]
-    keys = deltas[-1].keys
-    if keys:
-        for i in range(len(parts) - 1):
-            newer = reduce(DataFrame.unionByName, [p.select(*keys) for p in parts[i + 1:]]).select(
-                *[F.col(k).alias(f"_newer_{k}") for k in keys])
-            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_newer_{k}")) for k in keys])
-            parts[i] = parts[i].join(newer, same, "left_anti")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    merged = []
+    for i, (delta, part) in enumerate(zip(deltas, parts)):
+        if delta.gone:
+            continue
+        newer = [(d, p) for d, p in zip(deltas[i + 1:], parts[i + 1:])]
+        same_keys = [p.select(*delta.keys) for d, p in newer if not d.gone] if delta.keys else []
+        if same_keys:
+            part = _without(part, reduce(DataFrame.unionByName, same_keys), delta.keys)
+        for on in dict.fromkeys(d.gone for d, _ in newer if d.gone):
+            part = _without(part, reduce(DataFrame.unionByName, [
+                p for d, p in newer if d.gone == on]), on)
+        merged.append(part)
+    if not merged:  # retractions alone
+        return parts[0].limit(0)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), merged)
 
 
 def read(spark: SparkSession, root: str, table: str, *, number: int | None = None) -> DataFrame | None:
@@ -180,13 +207,17 @@ def fold(spark: SparkSession, root: str, table: str, *, ratio: int = FOLD_RATIO,
         return 0
     first = len(deltas) - 1
     above = max(deltas[-1].rows, 1) if deltas else 0
-    while first > 0 and (not ratio or deltas[first - 1].rows < ratio * above):
+    # A retraction acts on what lies below it, so only a fold of all deltas may use it up.
+    while first > 0 and (not ratio or (
+            not deltas[first - 1].gone and deltas[first - 1].rows < ratio * above)):
         first -= 1
         above += deltas[first].rows
     group = deltas[first:]
-    if len(group) < 2:
+    if len(group) < 2 or group[-1].gone and first:
+        return 0
+    last = next((d for d in reversed(group) if not d.gone), None)
+    if last is None:
         return 0
-    last = group[-1]
     merged = _merged(spark, root, table, group)
     _, joined = write_delta(merged, root, table, run="fold", keys=last.keys, by=last.by,
                             lookup=last.lookup)
@@ -204,7 +235,7 @@ def vacuum(spark: SparkSession, root: str, *, keep: int = 10,
     live = {f"{t}/{d.folder}" for n in names[-keep:]
             for t, ds in snapshot(spark, root, int(n[:-5])).tables.items() for d in ds}
     gone = 0
-    fs, base = _fs(spark, root)
+    fs, base = filesystem(spark, root)
     tables = [s.getPath() for s in fs.listStatus(base)
               if s.isDirectory() and s.getPath().getName() != LOG] if fs.exists(base) else []
     for t in tables:
@@ -214,5 +245,5 @@ def vacuum(spark: SparkSession, root: str, *, keep: int = 10,
                     s.getModificationTime()):
                 gone += fs.delete(s.getPath(), True)
     for n in names[:-keep]:
-        fs.delete(_fs(spark, f"{root}/{LOG}/{n}")[1], False)
+        fs.delete(filesystem(spark, f"{root}/{LOG}/{n}")[1], False)
     return gone

@@ -181,9 +181,12 @@ LAYOUT = {
 def write_result(
     result: RunResult, out: str, *, reset: bool = False, started=None, number: int | None = None,
     writer: str | None = None, more: dict[str, DataFrame] | None = None,
+    gone: dict[str, DataFrame] | None = None,
 ) -> bool:
     """Write all tables of a run and make them visible together; a failure ahead of that leaves the
-    former state everywhere. ``writer`` and ``number`` name a numbered batch, which counts once."""
+    former state everywhere. ``writer`` and ``number`` name a numbered batch, which counts once.
+    ``more`` adds tables or takes the place of a run's own; ``gone`` names values, per table, whose
+    rows of former runs go."""
     spark, run_id = result.rows.sparkSession, result.run_id
     tables = {
         "records": load_rows(result.rows),
@@ -195,7 +198,8 @@ def write_result(
         "quality": day_sketches(result.rows).withColumn("run", F.lit(run_id)),
         **(more or {}),
     }
-    deltas = []
+    deltas = [snapshots.write_retraction(values, out, name, values.columns, run=run_id)
+              for name, values in (gone or {}).items()]
     for name, df in tables.items():
         keys, by, lookup = LAYOUT[name]
         deltas.append(snapshots.write_delta(

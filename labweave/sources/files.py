@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -43,11 +44,12 @@ def split_path(path: Column | str, root: str) -> list[Column]:
 
 def read_files(
     spark: SparkSession, root: str, *, stream: bool = False, clinics: Sequence[str] = (),
-    dates: Sequence[str] = (), **options,
+    dates: Sequence[str] = (), folders: Sequence[str] = (), **options,
 ) -> DataFrame:
     """``clinic_id, date_str, path_parts, file_path, content`` of every ``*.json`` under root.
 
-    ``clinics`` and ``dates`` leave all other folders unlisted.
+    ``clinics`` and ``dates`` leave all other folders unlisted, and so do ``folders``, full paths
+    below root as :func:`qualified` writes them.
     """
     root = qualified(spark, root)
     reader = spark.readStream if stream else spark.read
@@ -58,11 +60,15 @@ def read_files(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .options(**options)
-        .load(f"{root}{_folders(clinics, dates)}")
+        .load([_no_glob(f) for f in folders] if folders else f"{root}{_folders(clinics, dates)}")
     )
     return raw.select(*split_path("path", root), F.col("path").alias("file_path"), "content")
 
 
+def _no_glob(path: str) -> str:
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def _folders(clinics: Sequence[str], dates: Sequence[str]) -> str:
     one_of = lambda names: "{" + ",".join(names) + "}" if names else "*"
     return (f"/{one_of(clinics)}" + (f"/{one_of(dates)}" if dates else "")) if clinics or dates else ""

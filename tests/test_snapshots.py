@@ -115,3 +115,38 @@ def test_a_lookup_skips_partitions_and_row_groups(spark, tmp_path):
     hit = table.filter(F.col("doc") == wanted)
     assert 1 <= scanned(hit) < 20_000 and hit.count() == 1
     assert scanned(table.filter(F.col("doc") == "absent")) == 0
+
+
+def test_a_retraction_takes_older_rows_only(spark, tmp_path):
+    """Against a dict of rows: keyed and other tables, folds in between, nulls like any value."""
+    root = str(tmp_path / "r")
+
+    def write(run, rows, gone=None):
+        deltas = []
+        for table, keys in (("keyed", ["k"]), ("plain", [])):
+            if gone is not None:
+                deltas.append(snapshots.write_retraction(
+                    spark.createDataFrame(gone, "f string"), root, table, ["f"], run=run))
+            deltas.append((table, snapshots.write_delta(
+                spark.createDataFrame(rows, "k int, f string"), root, table, run=run, keys=keys)[1]))
+        snapshots.publish(spark, root, deltas, run=run)
+
+    def read(table):
+        return sorted(map(tuple, snapshots.read(spark, root, table).collect()), key=str)
+
+    write("a", [(1, "x"), (2, "y"), (3, None)])
+    write("b", [(2, "x"), (4, "z")])
+    assert read("keyed") == [(1, "x"), (2, "x"), (3, None), (4, "z")]
+    write("c", [(5, "x")], gone=[("x",), (None,), ("x",)])
+    # 2 moved to x, which went: its older row under y stays away
+    assert read("keyed") == [(4, "z"), (5, "x")]
+    assert read("plain") == [(2, "y"), (4, "z"), (5, "x")]
+    write("d", [(6, "z")])
+    for table in ("keyed", "plain"):
+        want = read(table)
+        assert snapshots.fold(spark, root, table, few=1) <= 2  # not across the retraction
+        assert read(table) == want
+        snapshots.fold(spark, root, table, ratio=0)
+        assert read(table) == want and len(snapshots.snapshot(spark, root).tables[table]) == 1
+    write("e", [], gone=[("z",)])
+    assert read("keyed") == [(5, "x")] and read("plain") == [(2, "y"), (5, "x")]
