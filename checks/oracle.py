@@ -658,3 +658,6 @@ ORACLE["match_similar_levenshtein"] = sql(PART_MATCH[:4], """SELECT name_norm, a
         SELECT name_norm, alias_norm, canonical, levenshtein(name_norm, alias_norm) AS distance,
           1 - levenshtein(name_norm, alias_norm) / greatest(length(name_norm), length(alias_norm))::DOUBLE AS score
         FROM names, alias WHERE name_norm <> '') WHERE score >= 0.85 - 1e-9) WHERE rn = 1""")
+ORACLE["replayed_records"] = ORACLE["stored_records"]
+ORACLE["replayed_letters"] = ORACLE["dead_letters"]
+ORACLE["replayed_stats"] = ORACLE["clinic_stats"]

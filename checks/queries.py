@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,7 @@ from checks.inputs import dims, raw_results, report_files, table
 from labweave import functions as fn
 from labweave.operators import dedup, mapping, matching, measures, sinks, sketches, snapshots, stats
 from labweave.plans import pipeline, reports
+from labweave.plans.replay import replay_files
 from labweave.session import scratch_path
 from labweave.sources.config import Dims, alias_pool, small
 from labweave.sources.files import parse_documents
@@ -565,16 +567,20 @@ def _written(spark, sf) -> str:
     return _WRITTEN[key]
 
 
+STORED = [
+    "file_path", "id", "document_id", "clinic_id", "record_type", "patient_name",
+    "test_name_canonical", "test_name_original", "result_value", "result_text",
+    "unit_canonical", "range_low", "range_high", "range_source", "test_analytics",
+    "normalization_method", "duplicate_within_report", "page_number", "medicine",
+    "generic_name", "claim_no", "reports_date",
+]
+
+
 @query
 def stored_records(spark, sf):
     """Files to stored rows: parse, suppress, map, match, measure, flag, collapse by id."""
     result = pipeline.process(report_files(spark, sf), dims(spark))
-    return pipeline.load_rows(result.rows).select(
-        "file_path", "id", "document_id", "clinic_id", "record_type", "patient_name",
-        "test_name_canonical", "test_name_original", "result_value", "result_text",
-        "unit_canonical", "range_low", "range_high", "range_source", "test_analytics",
-        "normalization_method", "duplicate_within_report", "page_number", "medicine",
-        "generic_name", "claim_no", "reports_date")
+    return pipeline.load_rows(result.rows).select(*STORED)
 
 
 @query
@@ -805,6 +811,40 @@ def _drain(df: DataFrame, mode: str, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out")
 
 
+_REPLAYS: dict[tuple[str, str], str] = {}
+
+
+def _replayed(spark, sf) -> str:
+    """Folder of the tables of a run that lacked one source's layout, after its replay with all."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _REPLAYS:
+        out, files, all_dims = scratch_path(spark, "replayed"), report_files(spark, sf), dims(spark)
+        poor = replace(all_dims, clinic=all_dims.clinic.filter("clinic_id <> 'gamma'"))
+        pipeline.write_result(pipeline.process(files, poor), out)
+        replay_files(files, all_dims, out)
+        _REPLAYS[key] = out
+    return _REPLAYS[key]
+
+
+@query
+def replayed_records(spark, sf):
+    """Records after the replay: those of a run that had all layouts at once."""
+    return sinks.read_table(spark, f"{_replayed(spark, sf)}/records").select(*STORED)
+
+
+@query
+def replayed_letters(spark, sf):
+    """Letters after the replay: what a run with all layouts leaves."""
+    return sinks.error_log(spark, f"{_replayed(spark, sf)}/dead_letter").groupBy(
+        "file_path", "clinic_id", "stage", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def replayed_stats(spark, sf):
+    """Counts by source, the replay's differences added."""
+    return pipeline.stored_stats(spark, _replayed(spark, sf))
+
+
 @query
 def streamed_counts(spark, sf):
     """Event types counted over a stream; the last state is the answer."""
