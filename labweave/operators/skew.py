@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labweave.session import checkpoint
-from labweave.sources.config import fits_broadcast
+from labweave.sources.config import broadcast_if_small, fits_broadcast
 
 HOT_ROWS = 2_000_000
 
@@ -52,17 +52,17 @@ def split_hot_join(
     ``counts`` has the keys and ``n``, the rows ``left`` has for each. A key above
     ``hot_rows`` is cut into ``ceil(n / hot_rows)`` parts by a hash of the ``spread`` columns
     and its right row is repeated once per part, so no task gets more than about
-    ``hot_rows`` rows of one key. The hot list has at most rows / hot_rows entries, which
-    bounds the broadcast.
+    ``hot_rows`` rows of one key. The hot list has at most rows / hot_rows entries; it is landed
+    and broadcast only if it measures small.
     """
     keys = list(keys)
-    hot = counts.filter(F.col("n") > hot_rows).select(
+    hot = broadcast_if_small(checkpoint(counts.filter(F.col("n") > hot_rows).select(
         *[F.col(k).alias(f"_h_{k}") for k in keys],
         F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_parts"),
-    )
+    ), "hot-keys"))
 
     def with_parts(df: DataFrame) -> DataFrame:
-        out = df.join(F.broadcast(hot), _same(keys, "_h_"), "left")
+        out = df.join(hot, _same(keys, "_h_"), "left")
         return out.withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop(
             *[f"_h_{k}" for k in keys]
         )
