@@ -14,7 +14,7 @@ from labweave.operators.sketches import day_sketches
 from labweave.operators.stats import FILE_COUNTS, ROW_COUNTS, clinic_stats, run_summary
 from labweave.plans.pipeline import RunResult, standardise, unresolved_errors, write_result
 from labweave.session import checkpoint, configure
-from labweave.sources.config import Dims, dims_from_folder
+from labweave.sources.config import Dims, dims_from_folder, measured
 from labweave.sources.files import (
     file_errors, good_documents, parse_documents, qualified, read_files,
 )
@@ -81,19 +81,19 @@ def replay_files(
     asked = checkpoint(failed_files(spark, out, reasons), "letters")
     if asked.isEmpty():
         return None
-    parsed = checkpoint(parse_documents(
-        files.join(asked.select("file_path"), "file_path", "left_semi"), dims.clinic), "documents")
-    again = checkpoint(asked.join(parsed.select("file_path"), "file_path", "left_semi"), "replayed")
+    parsed = checkpoint(parse_documents(files.join(
+        measured(asked.select("file_path")), "file_path", "left_semi"), dims.clinic), "documents")
+    again = checkpoint(asked.join(measured(parsed.select("file_path")), "file_path", "left_semi"), "replayed")
     if again.isEmpty():
         return None
 
     audit = sinks.read_table(spark, f"{out}/audit")
-    paths = again.select(F.col("file_path").alias("source_file"))
+    paths = measured(again.select(F.col("file_path").alias("source_file")))
     before = checkpoint(audit.join(paths, "source_file", "left_semi"), "before")
     good = good_documents(parsed)
     docs, dropped = good, good.limit(0)
     if dedup:
-        was_kept = before.select(F.col("source_file").alias("file_path"))
+        was_kept = measured(before.select(F.col("source_file").alias("file_path")))
         stay = good.join(was_kept, "file_path", "left_semi")
         come = good.join(was_kept, "file_path", "left_anti")
         seen = audit.join(paths, "source_file", "left_anti").select("dedup_key", "content_hash").unionByName(
@@ -120,7 +120,7 @@ def replay_files(
         more["kept_keys"] = docs.select(F.col("dedup_key").alias("k"), F.col("content_hash").alias("h"))
     write_result(result, out, started=started, more=more, gone={
         "records": again.select("file_path"), "dead_letter": again.select("file_path"),
-        "audit": paths, "quality": days})
+        "audit": again.select(F.col("file_path").alias("source_file")), "quality": days})
     return result
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labweave.operators import snapshots
+from labweave.sources import config
 
 
 def put(spark, root, rows, run, schema="id int, part string, v int", **options):
@@ -150,3 +151,26 @@ def test_a_retraction_takes_older_rows_only(spark, tmp_path):
         assert read(table) == want and len(snapshots.snapshot(spark, root).tables[table]) == 1
     write("e", [], gone=[("z",)])
     assert read("keyed") == [(5, "x")] and read("plain") == [(2, "y"), (5, "x")]
+
+
+def test_many_newer_keys_meet_the_older_rows_in_a_shuffle(spark, tmp_path, monkeypatch):
+    """Ids are nearly all of a file's bytes, but Spark's estimate takes a column's even share of them."""
+    monkeypatch.setattr(config, "BROADCAST_ROWS", 50)
+    root, schema = str(tmp_path), "id string, a string, b string, c string, d string"
+    for run, size in (("old", 200), ("new", 100)):
+        rows = [(f"{i:064d}", "x", "x", "x", run) for i in range(size)]
+        put(spark, root, rows, run, schema=schema)
+    found = snapshots.read(spark, root, "t")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.groupBy("d").count().orderBy("d").collect() == [("new", 100), ("old", 100)]
+
+
+def test_many_retracted_values_meet_the_older_rows_in_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(config, "BROADCAST_ROWS", 50)
+    root = str(tmp_path)
+    put(spark, root, [(i, "a", 0) for i in range(200)], "old")
+    gone = spark.range(100).selectExpr("cast(id as int) as id")
+    snapshots.publish(spark, root, [snapshots.write_retraction(gone, root, "t", ["id"], run="r")], run="r")
+    found = snapshots.read(spark, root, "t")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 100
