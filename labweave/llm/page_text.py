@@ -7,11 +7,11 @@ ahead). The text lines of page and candidate are aligned by longest common subse
 
 - A candidate is a copy if what the two do *not* share is alike (half the five-word shingles
   of the smaller rest) or next to nothing (a tenth of the shared words): copies delete nothing.
-- The nearest candidate that is no copy is the partner; lines shared with it are the site's own, not
-  the page's, and are deleted.
-- Inside an article (or main) element a passage that some pages share may well be the article's own.
-  What goes there are the lines at its start and end that all candidates share, copies aside, if
-  these are ``EDGE`` lines or more and ``SEVERAL`` candidates or more.
+- The nearest candidate that is no copy is the partner of every page, marked up or not; lines shared
+  with it are the site's own, not the page's, and are deleted.
+- Inside an article (or main) element a passage that some pages share may well be the article's own,
+  so a check gives these lines back. What stays deleted are the lines at its start and end that all
+  candidates share, copies aside, if these are ``EDGE`` lines or more and ``SEVERAL`` candidates or more.
 - Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments that the
   markup names go even if no other page has them.
 
@@ -29,7 +29,6 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import takewhile
 
@@ -216,22 +215,29 @@ def main_text(
     lines: list[tuple[str, int]], found: Iterable[set[int] | None]
 ) -> tuple[str, int]:
     """What is left of a page after its differences with its candidates, nearest first
-    (:func:`shared_lines` of each), and the number of lines that the differences alone removed."""
+    (:func:`shared_lines` of each), and the number of lines that the differences alone removed.
+
+    Every page loses the lines that it shares with its partner. Those of an article come back unless
+    they are the site's edges of it; what the markup names goes in any case."""
     sets = (x for x in found if x is not None)
+    deleted = partner = next(sets, set())
     inside = [i for i, (_, z) in enumerate(lines) if z == MAIN]
-    if not inside:
-        gone = next(sets, set())
-        own = [i for i, (_, z) in enumerate(lines) if z == OTHER]
-    else:
-        sets = list(sets)
-        votes = Counter(i for x in sets for i in x)
-        gone, own = set(), inside
-        for side in (inside, inside[::-1]):
-            gone.update(takewhile(lambda i: votes[i] == len(sets), side))
-        if len(sets) < SEVERAL or len(gone) < EDGE:
-            gone = set()
-    return ("\n\n".join(lines[i][0] for i in own if i not in gone),
-            sum(i in gone for i in own))
+    if inside:
+        deleted = _edges(inside, [partner])
+        if len(deleted) >= EDGE:
+            others = list(sets)
+            deleted = _edges(inside, [partner, *others]) if 1 + len(others) >= SEVERAL else set()
+        if len(deleted) < EDGE:
+            deleted = set()
+    own = inside or [i for i, (_, z) in enumerate(lines) if z == OTHER]
+    return ("\n\n".join(lines[i][0] for i in own if i not in deleted),
+            sum(i in deleted for i in own))
+
+
+def _edges(inside: list[int], sets: list[set[int]]) -> set[int]:
+    """The lines at the start and end of an article that are in all ``sets``."""
+    shared = set.intersection(*sets)
+    return {i for side in (inside, inside[::-1]) for i in takewhile(shared.__contains__, side)}
 
 
 def _alike(a: str, b: str) -> int:
@@ -323,28 +329,26 @@ class _Run:
         self.key = (row["to"], row["host"])
         self.content, self.lines = row["content"], unpack(row["lines"])
         self.texts = [t for t, _ in self.lines]
-        main = [t for t, z in self.lines if z == MAIN]
-        self.edges = {main[0], main[-1]} if main else set()
         self.first = self.last = row["path"]
         self.rows: list[tuple] = []
         self.found: dict[int, set[int] | None] = {}
-        self.results: dict[tuple, tuple[str, int]] = {}
+        self.results: dict[tuple, tuple[str, int, int]] = {}
 
     def add(self, row: dict) -> None:
         self.last = row["path"]
         if row["own"]:
             self.rows.append((row["page_id"], row["url"], row["path"]))
 
-    def result(self, path: str, near: list[tuple[_Run, str]]) -> tuple[str, int]:
-        """Text of a page at ``path``; ``near`` holds runs with their nearest path, nearest first."""
+    def result(self, path: str, near: list[tuple[_Run, str]]) -> tuple[str, int, int]:
+        """Text of a page at ``path``, lines removed and lines shared with its partner; ``near`` holds
+        runs with their nearest path, nearest first."""
         order = tuple(sorted(
             (k for k, (r, _) in enumerate(near) if r.content != self.content),
             key=lambda k: -_alike(path, near[k][1])))
         if order not in self.results:
-            asked = order
-            if self.edges and sum(not self.edges.isdisjoint(near[k][0].texts) for k in order) < SEVERAL:
-                asked = ()  # too few candidates share an edge of the article
-            self.results[order] = main_text(self.lines, (self.shared(k, near) for k in asked))
+            partner = next((x for k in order if (x := self.shared(k, near)) is not None), set())
+            self.results[order] = (
+                *main_text(self.lines, (self.shared(k, near) for k in order)), len(partner))
         return self.results[order]
 
     def shared(self, k: int, near: list[tuple[_Run, str]]) -> set[int] | None:
@@ -354,8 +358,9 @@ class _Run:
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text, n_chars, n_shared`` for every row of ``pages`` (page_id, url, html);
-    ``n_shared`` lines were removed for being shared alone."""
+    """``page_id, url, text, n_chars, n_shared, n_partner`` for every row of ``pages`` (page_id, url,
+    html); ``n_shared`` lines were removed for being shared alone, ``n_partner`` lines, marked ones
+    among them, are shared with the page's partner."""
     spark = pages.sparkSession
     kinds = dict(pages.dtypes)
     placed = _placed(pages)
@@ -385,7 +390,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
         F.lit(None).cast(kinds["page_id"]).alias("page_id"),
         F.lit(None).cast("string").alias("url"), "lines", "at.*", "to", F.lit(False).alias("own")))
     sorted_pages = sent.repartition(parts, "to").sortWithinPartitions("to", *_KEY, "url")
-    names = ["page_id", "url", "text", "n_chars", "n_shared"]
+    names = ["page_id", "url", "text", "n_chars", "n_shared", "n_partner"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_type = None
@@ -401,11 +406,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
                 if k + d < len(runs):
                     near.append((runs[k + d], runs[k + d].first))
             for page_id, url, path in here.rows:
-                text, n_shared = here.result(path, near)
-                out.append((page_id, url, text, len(text), n_shared))
+                text, n_shared, n_partner = here.result(path, near)
+                out.append((page_id, url, text, len(text), n_shared, n_partner))
 
         def flush() -> pa.RecordBatch:
-            types = [id_type, pa.string(), pa.string(), pa.int64(), pa.int64()]
+            types = [id_type, pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             cols = list(zip(*out))
             out.clear()
             return pa.RecordBatch.from_arrays(
@@ -438,4 +443,4 @@ def extract_text(pages: DataFrame) -> DataFrame:
             yield flush()
 
     return in_arrow(sorted_pages, run, f"page_id {kinds['page_id']}, url string, text string, "
-                                       "n_chars long, n_shared long")
+                                       "n_chars long, n_shared long, n_partner long")

@@ -113,6 +113,18 @@ def test_shared_passage_of_articles_stays(spark):
     assert texts(spark, rows) == [(["As we always say.", f"Item {k} is new."], 0) for k in range(7)]
 
 
+def test_articles_are_differenced_too(spark):
+    """The partner's step runs on pages that mark their article, with one sibling or more; a copy is no
+    partner, and a lone page has none."""
+    page = lambda k: (f"<nav>Go there</nav><article><p>As we always say.</p><p>Item {k} came in new today, "
+                      f"number {k * 7} of {k} boxes.</p></article><footer>Imprint</footer>")
+    rows = [(k, f"https://q.example/{k}", page(k)) for k in range(2)] + [
+        (9, "https://q.example/0?copy", page(0)), (10, "https://r.example/", page(5))]
+    out = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: (r.n_shared, r.n_partner) for r in out} == {0: (0, 3), 1: (0, 3), 9: (0, 3), 10: (0, 0)}
+    assert all(r.text.startswith("As we always say.\n\nItem ") for r in out)
+
+
 def plain(rows):
     """Every page against its neighbouring runs, over the sorted list at once."""
     def place(url):
