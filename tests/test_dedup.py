@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from labweave.operators import dedup, sinks, skew
 from labweave.operators.skew import split_hot_join
+from labweave.plans import pipeline
+from labweave.session import checkpoint
 
 
 def greedy(rows, seen_k=(), seen_h=()):
@@ -168,3 +170,37 @@ def test_equal_rows_beyond_the_broadcast_bound_leave_one(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)], "k string, o int")
     monkeypatch.setattr(dedup, "fits_broadcast", lambda df: False)
     assert sorted(map(tuple, dedup.keep_first(df, ["k"], ["o"]).collect())) == [("a", 1), ("b", 2)]
+
+
+@pytest.mark.parametrize("fits", [True, False])
+@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
+def test_first_of_landed_rows_moves_no_row(spark, monkeypatch, fits, hot_rows):
+    """Beyond one bitmap's rows in a file, null keys, many copies of one key: the same rows, in their files."""
+    rows = spark.range(0, 70_000, 1, 2).select(
+        F.when(F.col("id") % 5 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, None).otherwise(
+            (F.col("id") % 40_000).cast("string")).alias("k"),
+        (-F.col("id")).alias("o"), F.create_map(F.lit("i"), "id").alias("m"))
+    landed = checkpoint(rows.coalesce(1).unionByName(rows.limit(3)))
+    want = {}
+    for r in landed.collect():
+        want[r["k"]] = min(want.get(r["k"], 0), r["o"])
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda df: fits)
+    kept = dedup.keep_first_landed(landed, ["k"], ["o"], hot_rows=hot_rows)
+    assert kept.columns == landed.columns
+    got = kept.collect()
+    assert {r["k"]: r["o"] for r in got} == want and len(got) == len(want)
+    assert all(r["m"]["i"] == -r["o"] for r in got)
+    if fits:
+        assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_rows_are_counted_on_keys_and_places(spark, monkeypatch):
+    """Beyond the broadcast bound whole rows were landed again, and shuffled, even to be counted."""
+    landed = checkpoint(spark.createDataFrame(
+        [("a", 2, "x"), ("a", 1, "y"), ("b", 5, None)], "id string, o int, wide string"))
+    monkeypatch.setattr(pipeline.mapping, "ORDER", ["o"])
+    names, real = [], dedup.checkpoint
+    monkeypatch.setattr(dedup, "checkpoint", lambda df, name: names.append((name, df.columns)) or real(df, name))
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda df: df.columns[0] == "_in")
+    assert pipeline.load_rows(landed).count() == 2
+    assert names and not any("wide" in cols for _, cols in names)
