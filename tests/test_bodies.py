@@ -6,6 +6,7 @@ import json
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from checks import queries
 from labweave.functions.json_paths import json_path, path_text
 from labweave.operators import dedup
 from labweave.session import checkpoint, shared_dir
@@ -82,3 +83,17 @@ def test_a_long_list_of_copies_sorts_no_bodies(spark, monkeypatch):
     assert (kept.count(), dropped.count()) == (60, 40)
     text = kept._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_suppressed_files_make_no_rows(spark, tmp_path, monkeypatch):
+    """The list of copies had waited for the standardising of every report."""
+    spark.range(400).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, id) AS ts", "id % 9 AS user_id",
+        "'view' AS event_type", "cast(id AS double) AS value", "'{}' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries.pipeline, "standardise", lambda *a, **o: 1 / 0)
+    got = {r["file_path"].rsplit("/", 1)[1] for r in queries.QUERIES["suppressed_files"](spark, str(tmp_path)).collect()}
+    known = [n for n in range(100) if n % 5 < 4]
+    cut = {n for n in known if n % 11 == 0}  # a file cut short leaves no keys, so its copies stay
+    want = {f"{n:010d}_b.json" for n in known if n % 7 == 0 and n % 5 < 2 and n not in cut}
+    assert got == want | {f"{n:010d}_c.json" for n in known if n % 13 == 0 and n not in cut}
