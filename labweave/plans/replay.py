@@ -8,11 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labweave.operators import sinks, snapshots
-from labweave.operators.dedup import greedy_kept, split_by_kept, suppressed_rows
+from labweave.operators.dedup import greedy_kept, placed, split_by_kept, suppressed_rows
 from labweave.operators.skew import HOT_ROWS
 from labweave.operators.sketches import day_sketches
 from labweave.operators.stats import FILE_COUNTS, ROW_COUNTS, clinic_stats, run_summary
-from labweave.plans.pipeline import RunResult, standardise, unresolved_errors, write_result
+from labweave.plans.pipeline import (
+    RunResult, loaded_ids, standardise, unresolved_errors, write_result,
+)
 from labweave.session import checkpoint, configure
 from labweave.sources.config import Dims, dims_from_folder, measured
 from labweave.sources.files import (
@@ -93,6 +95,7 @@ def replay_files(
     good = good_documents(parsed)
     docs, dropped = good, good.limit(0)
     if dedup:
+        good = good_documents(placed(parsed))
         was_kept = measured(before.select(F.col("source_file").alias("file_path")))
         stay = good.join(was_kept, "file_path", "left_semi")
         come = good.join(was_kept, "file_path", "left_anti")
@@ -110,7 +113,7 @@ def replay_files(
         run_id=f"replay-{uuid.uuid4()}", documents=docs, suppressed=suppressed, rows=rows,
         errors=file_errors(parsed).unionByName(errors).unionByName(unresolved_errors(rows)),
         stats=_difference(clinic_stats(parsed, suppressed, rows), _stats_before(again, old_rows)),
-        summary=run_summary(parsed, suppressed, rows, rows.select("id").distinct()),
+        summary=run_summary(parsed, suppressed, rows, loaded_ids(rows)),
     )
     place = ["clinic_id", "date_str"]
     days = checkpoint(old_rows.select(*place).unionByName(rows.select(*place)).distinct(), "days")

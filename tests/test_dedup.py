@@ -204,3 +204,45 @@ def test_stored_rows_are_counted_on_keys_and_places(spark, monkeypatch):
     monkeypatch.setattr(dedup, "fits_broadcast", lambda df: df.columns[0] == "_in")
     assert pipeline.load_rows(landed).count() == 2
     assert names and not any("wide" in cols for _, cols in names)
+
+
+@pytest.mark.parametrize("hot", [2, 10**6])
+def test_repeats_of_landed_rows_move_no_row(spark, monkeypatch, hot):
+    """Beyond the broadcast bound all rows, wide as they are, had been shuffled and sorted to meet the groups."""
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", None]) if i % 9 == 0 else f"n{i}", rng.choice(["x", None]), rng.choice(
+        [None, "1", "2"]), rng.choice([None, "", "odd"]), i * 0.5) for i in range(400)]
+    landed = checkpoint(spark.createDataFrame(
+        rows, "o int, name string, result string, page_number string, flag_reason string, wide double").repartition(3))
+    want = dedup.flag_repeats(landed, ["name", "result"], ["o"])
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda df: df.columns[0] == "_in")
+    got = dedup.flag_repeats(dedup.placed(landed), ["name", "result"], ["o"], hot_rows=hot)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:  # rows that are not flagged, the first half of the union, meet the bitmaps alone
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Exchange hashpartitioning" not in plan.split("_at#")[0].split("ShuffledHashJoin")[0]
+
+
+def test_kept_documents_of_landed_ones_move_no_body(spark, monkeypatch):
+    """A list of copies beyond the broadcast bound had shuffled every body, once per use."""
+    docs = checkpoint(spark.range(100).select(
+        F.when(F.col("id") != 7, F.array(F.lpad(F.col("id").cast("string"), 3, "0"))).alias("path_parts"),
+        F.parse_json(F.lit("{}")).alias("body")).repartition(3))
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda df: df.columns[0] == "_in")
+    kept, dropped = dedup.split_by_kept(
+        dedup.placed(docs), docs.filter("path_parts[0] < '060'"), "path_parts")
+    assert kept.columns == dropped.columns == docs.columns
+    assert (kept.count(), dropped.count()) == (60, 40)  # with the one that has no path
+    for df in (kept, dropped):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_left_as_they_are_without_dedup(spark):
+    docs = checkpoint(spark.range(3))
+    kept, dropped = dedup.dedup_documents(dedup.placed(docs), enabled=False)
+    assert kept.columns == docs.columns and kept.count() == 3 and dropped.count() == 0
