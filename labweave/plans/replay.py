@@ -16,7 +16,7 @@ from labweave.plans.pipeline import (
     RunResult, loaded_ids, standardise, unresolved_errors, write_result,
 )
 from labweave.session import checkpoint, configure
-from labweave.sources.config import Dims, dims_from_folder, measured
+from labweave.sources.config import Dims, dims_from_folder, fits_broadcast, measured
 from labweave.sources.files import (
     file_errors, good_documents, parse_documents, qualified, read_files,
 )
@@ -83,15 +83,18 @@ def replay_files(
     asked = checkpoint(failed_files(spark, out, reasons), "letters")
     if asked.isEmpty():
         return None
-    parsed = checkpoint(parse_documents(files.join(
-        measured(asked.select("file_path")), "file_path", "left_semi"), dims.clinic), "documents")
+    # Beyond the broadcast bound the list is hashed, so that no bodies are sorted.
+    list_ = asked.select("file_path")
+    list_ = F.broadcast(list_) if fits_broadcast(list_) else list_.hint("shuffle_hash")
+    parsed = checkpoint(parse_documents(files.join(list_, "file_path", "left_semi"), dims.clinic), "documents")
     again = checkpoint(asked.join(measured(parsed.select("file_path")), "file_path", "left_semi"), "replayed")
     if again.isEmpty():
         return None
 
     audit = sinks.read_table(spark, f"{out}/audit")
     paths = measured(again.select(F.col("file_path").alias("source_file")))
-    before = checkpoint(audit.join(paths, "source_file", "left_semi"), "before")
+    # Only what is counted of the rows moves, no bodies.
+    before = checkpoint(_narrow(audit, *_COUNTED).join(paths, "source_file", "left_semi"), "before")
     good = good_documents(parsed)
     docs, dropped = good, good.limit(0)
     if dedup:
@@ -117,7 +120,8 @@ def replay_files(
     )
     place = ["clinic_id", "date_str"]
     days = checkpoint(old_rows.select(*place).unionByName(rows.select(*place)).distinct(), "days")
-    more = {"quality": _days_anew(audit.join(paths, "source_file", "left_anti"), rows, days).withColumn(
+    more = {"quality": _days_anew(
+        _narrow(audit, *_SKETCHED).join(paths, "source_file", "left_anti"), rows, days).withColumn(
         "run", F.lit(result.run_id))}
     if "kept_keys" in snapshots.snapshot(spark, out).tables:  # a stream's history
         more["kept_keys"] = docs.select(F.col("dedup_key").alias("k"), F.col("content_hash").alias("h"))
@@ -127,9 +131,22 @@ def replay_files(
     return result
 
 
-def _audited(audit: DataFrame) -> DataFrame:
+#: Columns of the audited rows that statistics and days are counted from, and those of the sketches.
+_COUNTED = ["date_str", "normalization_method", "test_analytics", "duplicate_within_report"]
+_SKETCHED = ["date_str", "record_type", "document_id", "test_name_original", "normalization_method",
+             "result_value"]
+
+
+def _narrow(audit: DataFrame, *columns: str) -> DataFrame:
+    """Files with their source and, as one array each, these columns of the rows kept beside them."""
+    return audit.select("source_file", "clinic_id", *[F.col(f"rows.{c}").alias(c) for c in columns])
+
+
+def _audited(narrow: DataFrame) -> DataFrame:
     """The standardised rows kept beside the documents."""
-    return audit.select("clinic_id", F.explode("rows").alias("_row")).select("clinic_id", "_row.*")
+    columns = [c for c in narrow.columns if c not in ("source_file", "clinic_id")]
+    return narrow.select("clinic_id", F.explode(F.arrays_zip(*columns)).alias("_row")).select(
+        "clinic_id", *[F.col(f"_row.{c}").alias(c) for c in columns])
 
 
 def _stats_before(again: DataFrame, rows: DataFrame) -> DataFrame:
@@ -152,5 +169,4 @@ def _days_anew(audit: DataFrame, rows: DataFrame, days: DataFrame) -> DataFrame:
     others = _audited(others).join(
         days.select(*day), F.col("clinic_id").eqNullSafe(F.col("_clinic"))
         & F.col("date_str").eqNullSafe(F.col("_day")), "left_semi")
-    cols = [c for c in others.columns if c in rows.columns]
-    return day_sketches(others.select(*cols).unionByName(rows.select(*cols)))
+    return day_sketches(others.unionByName(rows.select(*others.columns)))

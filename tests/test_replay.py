@@ -1,5 +1,6 @@
 """Dead letters run again after the configuration was mended."""
 
+import importlib
 import json
 from pathlib import Path
 
@@ -65,3 +66,25 @@ def test_replay_equals_a_full_run_by_the_new_configuration(spark, tmp_path):
     assert not any(d.gone for ds in snapshots.snapshot(spark, out).tables.values() for d in ds)
     assert tables(spark, out) == want
     assert replay(spark, source, good, out, reasons=["no such reason"]) is None
+
+
+def test_replay_beyond_the_broadcast_bound_sorts_and_moves_no_bodies(spark, tmp_path, monkeypatch):
+    source, good = sample.write_reports(tmp_path / "in"), sample.write_config(tmp_path / "good")
+    whole, out = str(tmp_path / "whole"), str(tmp_path / "out")
+    pipeline.run(spark, source, good, whole)
+    pipeline.run(spark, source, poor_config(tmp_path / "poor"), out)
+    module, landed = importlib.import_module("labweave.plans.replay"), {}
+    kept = module.checkpoint
+
+    def noted(df, name="stage", **options):
+        landed.setdefault(name, df)
+        return kept(df, name, **options)
+
+    monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(module, "checkpoint", noted)
+    assert replay(spark, source, good, out) is not None
+    plan = landed["documents"]._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [file_path" in plan and "SortMergeJoin [file_path" not in plan
+    # Of what was there before only what is counted: neither bodies nor whole rows.
+    assert landed["before"].columns == ["source_file", "clinic_id", *module._COUNTED]
+    assert tables(spark, out) == tables(spark, whole)
