@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from labweave import functions as fn
 from labweave.functions.json_paths import is_object
+from labweave.sources.files import _valid_utf8
 
 
 def evaluate(spark, inputs, build):
@@ -216,3 +217,16 @@ def test_document_key_skips_absent_parts(spark):
         F.parse_json(c), F.array(F.lit("$['d']"), F.lit("$['c']")), F.lit("other")))
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert got == [sha("1|2"), sha("1"), "other", sha("1")]
+
+
+def test_utf8_is_judged_as_by_a_check_of_all_bytes(spark):
+    random.seed(5)
+    odd = [b"", b"abc", "ä€😀".encode(), "\ufffd".encode(), b"\xc0\x80", b"\xed\xa0\x80", b"\xf4\x90\x80\x80", b"\xe2\x82",
+           b"a\xffb", b"\xef\xbf\xbe", None]
+    odd += [bytes(random.choices(b"a\x7f\x80\x9f\xa0\xbf\xc2\xe0\xed\xef\xf0\xf4\xf5\xff", k=random.randint(1, 5)))
+            for _ in range(3000)]
+    odd += [b"ok " + "é".encode() * 3 + b for b in odd if b]
+    df = spark.createDataFrame([(x,) for x in odd], "x binary").select(F.col("x").cast("string").alias("t"))
+    rows = df.select(_valid_utf8(F.col("t")).alias("got"), F.is_valid_utf8("t").alias("want")).collect()
+    assert all(r["got"] == r["want"] for r in rows)
+    assert {r["want"] for r in rows} == {True, False, None}
